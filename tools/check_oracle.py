@@ -81,6 +81,19 @@ def main():
             print(f"FAIL {n}: columns spark={sorted(scols)} oracle={sorted(ocols)}")
             bad += 1
             continue
+        tmap = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+        def st(t):
+            if t.startswith("array<"):
+                return st(t[6:-1]) + "[]"
+            return tmap.get(t, t)
+        stypes = dict((k, st(v)) for k, v in sdf.dtypes)
+        otypes = dict((d[0], str(d[1])) for d in cur.description)
+        tdiff = {k: (stypes[k], otypes[k]) for k in stypes if stypes[k] != otypes.get(k)}
+        if tdiff:
+            print(f"WARN {n}: types differ {tdiff}")
         cols = sorted(scols)
         a, b = rows_of(cols, srows), rows_of(cols, orows)
         if len(srows) != len(orows) or a != b:

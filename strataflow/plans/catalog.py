@@ -41,7 +41,11 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = fn
         if sql is not None:
-            ORACLE[name] = oracle_prelude() + sql
+            body = sql.strip()
+            if body[:4].upper() == "WITH":
+                ORACLE[name] = oracle_prelude() + "," + body[4:]
+            else:
+                ORACLE[name] = oracle_prelude() + body
         return fn
 
     return deco

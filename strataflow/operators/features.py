@@ -190,6 +190,7 @@ def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     """F7 fit on the train rows (already through :func:`prepare`)."""
     spark = train.sparkSession
     num, cat, cyc, ords = _groups(train, cfg)
+    train = train.persist()  # several small fit jobs read it; released below
     parts = []
     if num:
         med = fit_median(train, num)
@@ -218,6 +219,7 @@ def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     for p in parts[1:]:
         table = table.union(p)
     table = spark.createDataFrame(table.collect(), MODEL_SCHEMA)  # small: features x stats (+ categories)
+    train.unpersist()
     return FeatureModel(table, num, cat, cyc, ords)
 
 

@@ -161,6 +161,15 @@ def sample_complexity(train: DataFrame, n_features: int, min_ratio: float = 3.0)
                       F.round(ratio, 6).alias("ratio"), (ratio >= F.lit(min_ratio)).alias("passed"))
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows where both are non-null; null (instead
+    of an ANSI divide-by-zero error) when either side is constant."""
+    x, y = x.cast("double"), y.cast("double")
+    xm = F.when(y.isNotNull(), x)
+    ym = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_samp(xm, ym), F.stddev_samp(xm) * F.stddev_samp(ym))
+
+
 def row_minmax(cols: list[str], eps: float = 1e-10) -> list[Column]:
     """Each value scaled by the row's min / max across ``cols``."""
     lo = F.least(*[c(x) for x in cols])

@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import c
+from strataflow.functions.columns import c, safe_corr
 from strataflow.functions.ranking import exact_quantiles, value_counts_cumulative, with_scalar
 
 
@@ -100,8 +100,8 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, pairwise complete, in one
     aggregate (nulls in either column skip the row for that pair)."""
     pairs = [(a, b) for a, b in combinations(cols, 2)]
-    exprs = [F.corr(c(a).cast("double"), c(b).cast("double")).alias(f"{a}\u0001{b}") for a, b in pairs]
-    exprs += [F.corr(c(a).cast("double"), c(a).cast("double")).alias(f"{a}\u0001{a}") for a in cols]
+    exprs = [safe_corr(c(a), c(b)).alias(f"{a}\u0001{b}") for a, b in pairs]
+    exprs += [safe_corr(c(a), c(a)).alias(f"{a}\u0001{a}") for a in cols]
     wide = df.agg(*exprs)
     names = [f"{a}\u0001{b}" for a, b in pairs] + [f"{a}\u0001{a}" for a in cols]
     t = wide.unpivot([], names, "pair", "corr")
@@ -114,7 +114,7 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def target_correlation(df: DataFrame, cols: list[str], target: Column) -> DataFrame:
     """Correlation of each feature with a (binary) target, ranked by |r|."""
-    wide = df.agg(*[F.corr(c(x).cast("double"), target.cast("double")).alias(x) for x in cols])
+    wide = df.agg(*[safe_corr(c(x), target).alias(x) for x in cols])
     t = wide.unpivot([], cols, "feature", "corr")
     return (t.select("feature", _r(F.col("corr")).alias("corr"), _r(F.abs("corr")).alias("abs_corr"))
              .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("abs_corr"), "feature")).cast("bigint")))

@@ -20,6 +20,7 @@ ORACLE: dict[str, str] = {}
 
 _MODULES = (
     "strataflow.plans.q_quality",
+    "strataflow.plans.q_io",
     "strataflow.plans.q_columns",
     "strataflow.plans.q_profile",
     "strataflow.plans.q_sampling",

@@ -311,8 +311,9 @@ def surrogate_tree(scored: DataFrame, feature_names: list[str], features: str =
     """A depth-3 tree fitted to the model's predictions; fidelity =
     agreement with the model; rules as one row per tree line."""
     d = with_vector(scored, features).withColumn("_y", F.col(prediction).cast("double"))
-    tree = DecisionTreeClassifier(featuresCol=VEC, labelCol="_y", maxDepth=max_depth, seed=0).fit(d)
-    agree = tree.transform(d).agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("fidelity"),
+    tree = DecisionTreeClassifier(featuresCol=VEC, labelCol="_y", maxDepth=max_depth, seed=0,
+                                  predictionCol="_tp", rawPredictionCol="_traw", probabilityCol="_tprob").fit(d)
+    agree = tree.transform(d).agg(F.avg((F.col("_tp") == F.col("_y")).cast("double")).alias("fidelity"),
                                   F.count(F.lit(1)).alias("n"))
     lines = tree.toDebugString.splitlines()[1:]
     rules = []

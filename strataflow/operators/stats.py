@@ -37,8 +37,10 @@ def welch_pairs(runs: DataFrame, group: str = "experiment", metric: str = "macro
     m = group_moments(runs, group, metric)
     p = pair_table(m, group)
     se2a, se2b = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
-    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2a + se2b)
-    dfw = F.pow(se2a + se2b, 2) / (F.pow(se2a, 2) / (F.col("n_a") - 1) + F.pow(se2b, 2) / (F.col("n_b") - 1))
+    # zero variance on both sides -> null t (p treated as 1.0), not an ANSI error
+    t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(se2a + se2b))
+    dfw = F.try_divide(F.pow(se2a + se2b, 2),
+                       F.pow(se2a, 2) / (F.col("n_a") - 1) + F.pow(se2b, 2) / (F.col("n_b") - 1))
     n_pairs = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # over the k*(k-1)/2 pair rows
     out = p.select(F.col(f"{group}_a").alias("group_a"), F.col(f"{group}_b").alias("group_b"),
                    "n_a", "n_b", _r(F.col("mean_a")).alias("mean_a"), _r(F.col("mean_b")).alias("mean_b"),

@@ -21,18 +21,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.session import materialize
+
 
 def _cols(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _balanced_sum(terms: list[Column]) -> Column:
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def bucket_of(bounds: str, v: Column) -> Column:
+    """Index of the bucket of ``v`` given a sorted boundary array column.
+
+    Measured at sf0.1: ``size(filter(bounds, b -> b < v))`` runs ~4x faster
+    than an unrolled sum of 63 element comparisons, whose generated method
+    grows past the JIT size limit and runs interpreted.
+    """
+    return F.size(F.filter(bounds, lambda b: b < v))
+
+
+def count_below(bounds: Column | list, n: int, v: Column, inclusive: bool = False) -> Column:
+    """Number of the ``n`` sorted bounds below ``v`` (``<=`` if inclusive),
+    as a sum of comparisons - for short lists of literals only."""
+    items = bounds if isinstance(bounds, list) else [bounds[i] for i in range(n)]
+    terms = [((b <= v) if inclusive else (b < v)).cast("int") for b in items]
+    return _balanced_sum(terms) if terms else F.lit(0)
+
+
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a ONE-row table to every row (broadcast)."""
     return df.join(F.broadcast(one_row), how="cross")
 
 
 def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str, Column] | None = None,
-                            descending: bool = False, n_buckets: int = 64) -> DataFrame:
+                            descending: bool = False, n_buckets: int = 64,
+                            materialize_distinct: bool = True) -> DataFrame:
     """Distinct values per group with cumulative sums in value order.
 
     Returns ``by..., value, <w>, <w>_cum, <w>_before, <w>_total`` for every
@@ -48,13 +75,17 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
               .agg(*[F.sum(w).alias(k) for k, w in weights.items()]))
     ordv = (-F.col(value)) if descending else F.col(value)
     base = base.withColumn("_ov", ordv.cast("double"))
+    if materialize_distinct:
+        # the distinct table feeds the bounds, the bucket totals and the final
+        # window: compute it once instead of re-scanning the input each time
+        base = materialize(base)
     fr = [i / n_buckets for i in range(1, n_buckets)]
     bounds = base.groupBy(*by).agg(F.percentile_approx("_ov", fr, 10000).alias("_bounds"))
     if by:
         based = base.join(F.broadcast(bounds), by)
     else:
         based = with_scalar(base, bounds)
-    based = based.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < F.col("_ov")))).drop("_bounds")
+    based = based.withColumn("_bk", bucket_of("_bounds", F.col("_ov"))).drop("_bounds")
     key = by + ["_bk"]
     tot = based.groupBy(*key).agg(*[F.sum(k).alias(f"_bt_{k}") for k in weights])
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +110,6 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), n_buckets
     one task.  Returns ``by..., q, value``."""
     by = _cols(by)
     cum = value_counts_cumulative(df, value, by, n_buckets=n_buckets)
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
     n = F.col("n_total")
 
     def lo(q):
@@ -94,8 +124,10 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), n_buckets
     q = F.col(out)
     nq = F.col("n_total")
     lo_c, hi_c = F.floor(q * (nq - 1)), F.ceil(q * (nq - 1))
-    hits = cum.select(*by, value, "n_total", "n_before", "n_cum",
-                      F.explode(F.filter(qarr, lambda qq: hit(lo(qq)) | hit(hi(qq)))).alias(out))
+    # only the (at most two per quantile) distinct values around each target rank survive
+    cand = F.array(*[F.when(hit(lo(F.lit(float(x)))) | hit(hi(F.lit(float(x)))), F.lit(float(x))) for x in qs])
+    hits = (cum.select(*by, value, "n_total", "n_before", "n_cum", F.explode(cand).alias(out))
+               .where(F.col(out).isNotNull()))
     agg = hits.groupBy(*by, out).agg(
         F.max(F.when((F.col("n_before") <= lo_c) & (lo_c < F.col("n_cum")), F.col(value))).alias("_xlo"),
         F.max(F.when((F.col("n_before") <= hi_c) & (hi_c < F.col("n_cum")), F.col(value))).alias("_xhi"),
@@ -138,7 +170,7 @@ def global_rank(df: DataFrame, order: list[str] | str, by=(), n_buckets: int = 2
         bounds = df.groupBy(*by).agg(F.percentile_approx(ordnum, fr, 10000).alias("_bounds")) if by else \
             df.agg(F.percentile_approx(ordnum, fr, 10000).alias("_bounds"))
         based = df.join(F.broadcast(bounds), by) if by else with_scalar(df, bounds)
-        based = based.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < ordnum))).drop("_bounds")
+        based = based.withColumn("_bk", bucket_of("_bounds", ordnum)).drop("_bounds")
     key = by + ["_bk"]
     tot = based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)

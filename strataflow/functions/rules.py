@@ -15,12 +15,16 @@ def predict_argmax(probs: Column) -> Column:
     return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
 
 
-def predict_threshold(probs: Column, tau: float | Column, minority: int = 2) -> Column:
+def predict_threshold(probs: Column, tau: float | Column, minority: int = 2, n_classes: int | None = 3) -> Column:
     """K2: minority when ``p[minority] >= tau``, else the argmax of the
-    other classes (ties -> lowest)."""
+    other classes (ties -> lowest).  With ``n_classes`` known the masking is
+    plain element access (generated code) instead of a lambda."""
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
     p_min = probs[minority]
-    others = F.transform(probs, lambda p, i: F.when(i == minority, F.lit(-1.0)).otherwise(p))
+    if n_classes:
+        others = F.array(*[F.lit(-1.0) if i == minority else probs[i] for i in range(n_classes)])
+    else:
+        others = F.transform(probs, lambda p, i: F.when(i == minority, F.lit(-1.0)).otherwise(p))
     return F.when(p_min >= t, F.lit(minority)).otherwise(predict_argmax(others)).cast("int")
 
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.functions.ranking import value_counts_cumulative
+from strataflow.functions.ranking import count_below, value_counts_cumulative
 from strataflow.functions.rules import predict_threshold
 
 EPS = float.fromhex("0x1.0p-52")  # float64 machine epsilon
@@ -181,7 +181,7 @@ def threshold_confusion(df: DataFrame, taus: list[float], probs: str = "probs",
     other = predict_threshold(F.col(probs), F.lit(2.0), minority)  # tau > 1: never minority
     pm = F.col(probs)[minority]
     small = (df.select(*by, F.col(label).alias("label"), other.alias("_other"),
-                       F.size(F.filter(tarr, lambda t: t <= pm)).alias("_b"))
+                       count_below([F.lit(float(t)) for t in taus], len(taus), pm, inclusive=True).alias("_b"))
                .groupBy(*by, "label", "_other", "_b").agg(F.count(F.lit(1)).alias("n")))
     ex = small.select(*by, "label", "_other", "_b", "n",
                       F.posexplode(tarr).alias("_j", "tau"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c, safe_corr
-from strataflow.functions.ranking import exact_quantiles, value_counts_cumulative, with_scalar
+from strataflow.functions.ranking import count_below, exact_quantiles, value_counts_cumulative, with_scalar
 
 
 def _r(x: Column, nd: int = 6) -> Column:
@@ -122,25 +122,45 @@ def target_correlation(df: DataFrame, cols: list[str], target: Column) -> DataFr
 
 # ---------------------------------------------------------------- mutual information
 
+def bin_edges(df: DataFrame, numeric: list[str], n_bins: int = 10) -> dict[str, list[float]]:
+    """Exact equal-frequency bin edges per numeric column.
+
+    A value's bin is ``min(n_bins - 1, floor(n_before * n_bins / n))`` with
+    ``n_before`` the number of smaller values (ties share a bin).  That bin
+    is >= j exactly when the value is >= ``t_j``, the smallest value with
+    ``n_before * n_bins >= j * n``; so ``n_bins - 1`` edges per column (a
+    small result) define the binning, and rows are binned by a projection.
+    """
+    if not numeric:
+        return {}
+    t = tall(df, numeric).where(F.col("value").isNotNull())
+    cum = value_counts_cumulative(t, "value", by="feature")
+    edges = cum.groupBy("feature").agg(*[
+        F.min(F.when(F.col("n_before") * n_bins >= j * F.col("n_total"), F.col("value"))).alias(f"t{j}")
+        for j in range(1, n_bins)]).collect()  # features x (n_bins - 1) values
+    return {r["feature"]: [r[f"t{j}"] for j in range(1, n_bins) if r[f"t{j}"] is not None] for r in edges}
+
+
+def binned(df: DataFrame, numeric: list[str], categorical: list[str], n_bins: int = 10,
+           keep: list[str] = ()) -> DataFrame:
+    """Wide table of bin labels (string) per feature, plus ``keep`` columns."""
+    edges = bin_edges(df, numeric, n_bins)
+    cols = [c(k) for k in keep]
+    for x in numeric:
+        e = edges.get(x, [])
+        b = count_below([F.lit(float(v)) for v in e], len(e), c(x).cast("double"), inclusive=True) if e else F.lit(0)
+        cols.append(F.when(c(x).isNotNull(), b.cast("string")).alias(x))
+    cols += [c(x).cast("string").alias(x) for x in categorical]
+    return df.select(*cols)
+
+
 def discretize(df: DataFrame, numeric: list[str], categorical: list[str], id_col: str,
                n_bins: int = 10) -> DataFrame:
     """Tall ``(id, feature, bin)``: numeric columns in equal-frequency bins by
     exact rank (ties share a bin), categorical columns by value."""
-    parts = []
-    if numeric:
-        t = tall(df, numeric, [id_col]).where(F.col("value").isNotNull())
-        cum = value_counts_cumulative(t, "value", by="feature")
-        binmap = cum.select("feature", "value",
-                            F.least(F.lit(n_bins - 1),
-                                    F.floor(F.col("n_before") * n_bins / F.col("n_total"))).cast("string").alias("bin"))
-        parts.append(t.join(binmap, ["feature", "value"]).select(id_col, "feature", "bin"))
-    if categorical:
-        s = df.select(c(id_col), *[c(x).cast("string").alias(x) for x in categorical])
-        parts.append(s.unpivot([id_col], categorical, "feature", "bin").where(F.col("bin").isNotNull()))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    feats = list(numeric) + list(categorical)
+    w = binned(df, numeric, categorical, n_bins, keep=[id_col])
+    return w.unpivot([id_col], feats, "feature", "bin").where(F.col("bin").isNotNull())
 
 
 def mi_from_joint(joint: DataFrame, group: list[str]) -> DataFrame:
@@ -157,10 +177,12 @@ def mi_from_joint(joint: DataFrame, group: list[str]) -> DataFrame:
 def mutual_info_target(df: DataFrame, numeric: list[str], categorical: list[str], target: str,
                        id_col: str, n_bins: int = 10) -> DataFrame:
     """Binned MI of each feature with the target, ranked."""
-    bins = discretize(df, numeric, categorical, id_col, n_bins)
-    y = df.select(c(id_col), c(target).cast("string").alias("b")).where(F.col("b").isNotNull())
-    joint = (bins.join(y, id_col).groupBy("feature", F.col("bin").alias("a"), "b")
-                 .agg(F.count(F.lit(1)).alias("n")))
+    feats = list(numeric) + list(categorical)
+    w = binned(df.withColumn("_y", c(target).cast("string")), numeric, categorical, n_bins, keep=["_y"])
+    arr = F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("a")) for x in feats])
+    ex = w.where(F.col("_y").isNotNull()).select(F.col("_y").alias("b"), F.explode(arr).alias("s"))
+    joint = (ex.select("s.feature", "s.a", "b").where(F.col("a").isNotNull())
+               .groupBy("feature", "a", "b").agg(F.count(F.lit(1)).alias("n")))
     mi = mi_from_joint(joint, ["feature"])
     return (mi.select("feature", _r(F.col("mi")).alias("mi"))
               .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mi"), "feature")).cast("bigint")))
@@ -174,8 +196,7 @@ def mutual_info_matrix(df: DataFrame, numeric: list[str], categorical: list[str]
     partial aggregate shrinks that to pairs x bins^2 before the shuffle.
     """
     feats = list(numeric) + list(categorical)
-    bins = discretize(df, numeric, categorical, id_col, n_bins)
-    wide = bins.groupBy(id_col).pivot("feature", feats).agg(F.first("bin"))
+    wide = binned(df, numeric, categorical, n_bins)
     pairs = list(combinations(sorted(feats), 2))
     arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                              c(a).alias("a"), c(b).alias("b")) for a, b in pairs])

@@ -15,6 +15,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -62,6 +63,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (reliable ``checkpoint``, never a machine-local one): later
+    references read the files instead of recomputing the input, and a lost
+    executor does not force a recomputation from the source."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -202,12 +202,13 @@ def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
         parts.append(sc.select(F.lit("num"), "feature", F.lit("scale"), "scale", F.lit(None).cast("string")))
     if cat or ords:
         mode_cols = cat + list(ords)
-        mode = fit_mode(train, mode_cols)
+        mode_rows = fit_mode(train, mode_cols).collect()  # one row per column
+        mode_vals = {r["feature"]: r["mode"] for r in mode_rows}
+        mode = spark.createDataFrame([(r["feature"], r["mode"]) for r in mode_rows], "feature string, mode string")
         parts.append(mode.select(F.when(F.col("feature").isin(*cat), "cat").otherwise("ord") if cat else F.lit("ord"),
                                  "feature", F.lit("mode"), F.lit(None).cast("double"), F.col("mode")))
     if cat:
         filled = train.select(*cat)
-        mode_vals = {r["feature"]: r["mode"] for r in fit_mode(train, cat).collect()}
         filled = filled.select(*[F.coalesce(c(x).cast("string"), F.lit(mode_vals.get(x))).alias(x) for x in cat])
         cats = fit_categories(filled, cat)
         parts.append(cats.select(F.lit("cat"), "feature", F.lit("category"), F.col("code").cast("double"),

@@ -262,3 +262,20 @@ SELECT bin, round(CAST(0.0 + bin * 5500.0 AS DOUBLE), 6) AS bin_start, count(*)
 GROUP BY 1""")
 def q_histogram(spark, sf_dir):
     return D.histogram(tables(spark, sf_dir).records(), "x1", 0.0, 110000.0, 20)
+
+
+@register("select_mutual_info", f"""
+SELECT feature, round(mi, 6) AS score, row_number() OVER (ORDER BY round(mi, 6) DESC, feature) <= 3 AS selected
+FROM {MI_TARGET_SQL}""")
+def q_select_mutual_info(spark, sf_dir):
+    from strataflow.operators import selection as G
+    return G.select_mutual_info(tables(spark, sf_dir).records(), MI_NUM, MI_CAT, "severity", "row_id", k=3)
+
+
+@register("selection_report", f"""
+SELECT feature, row_number() OVER (ORDER BY round(mi, 6) DESC, feature) <= 2 AS selected, round(mi, 6) AS score
+FROM {MI_TARGET_SQL}""")
+def q_selection_report(spark, sf_dir):
+    from strataflow.operators import selection as G
+    return G.selection_report(tables(spark, sf_dir).records(), "mutual_info", MI_NUM + MI_CAT, "severity", k=2,
+                              categorical=MI_CAT)

@@ -17,6 +17,9 @@ from strataflow.config import FeatureConfig, MONTH_NAMES, WEEKDAY_NAMES
 from strataflow.functions import columns as B
 from strataflow.functions.columns import c
 from strataflow.functions.ranking import exact_quantiles
+from strataflow.session import materialize
+
+INLINE_CATEGORIES = 10_000  # above this a column's categories are joined, not inlined as a literal map
 
 MODEL_SCHEMA = T.StructType([
     T.StructField("grp", T.StringType()),
@@ -83,14 +86,19 @@ def fit_categories(train: DataFrame, cols: list[str]) -> DataFrame:
                         .cast("int"))
 
 
-def apply_categories(df: DataFrame, cols: list[str], cats: DataFrame, prefix: str = "") -> DataFrame:
-    """F5 transform: code per column, unseen/null -> -1.  One broadcast join
-    per column against the (small) category table."""
+def apply_categories(df: DataFrame, cols: list[str], cats: DataFrame, prefix: str = "",
+                     broadcast_limit: int = 1_000_000) -> DataFrame:
+    """F5 transform: code per column, unseen/null -> -1.  One left join per
+    column against its category table - broadcast when the category count
+    is checked to be under ``broadcast_limit``, otherwise a shuffle join."""
+    counts = {r["feature"]: r["n"] for r in cats.where(F.col("feature").isin(*cols)).groupBy("feature")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
     out = df
     for x in cols:
         m = cats.where(F.col("feature") == x).select(F.col("value").alias(f"_v_{x}"),
                                                      F.col("code").alias(f"_c_{x}"))
-        out = out.join(F.broadcast(m), c(x).cast("string") == F.col(f"_v_{x}"), "left")
+        m = F.broadcast(m) if counts.get(x, 0) <= broadcast_limit else m
+        out = out.join(m, c(x).cast("string") == F.col(f"_v_{x}"), "left")
         out = out.withColumn(prefix + x, F.coalesce(F.col(f"_c_{x}"), F.lit(-1))).drop(f"_v_{x}", f"_c_{x}")
     return out
 
@@ -219,7 +227,8 @@ def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     table = parts[0]
     for p in parts[1:]:
         table = table.union(p)
-    table = spark.createDataFrame(table.collect(), MODEL_SCHEMA)  # small: features x stats (+ categories)
+    # stays distributed (categories can be many): written once, lineage cut
+    table = materialize(table.select(*[F.col(f.name).cast(f.dataType) for f in MODEL_SCHEMA.fields]))
     train.unpersist()
     return FeatureModel(table, num, cat, cyc, ords)
 
@@ -228,8 +237,14 @@ def transform_pipeline(df: DataFrame, model: FeatureModel, keep: list[str] = ("r
                        vector: str | None = "features") -> DataFrame:
     """F7 transform: one projection (plus one broadcast join per categorical
     column).  Output columns ``group__col`` and, optionally, an array."""
-    rows = model.table.collect()
+    # per-feature statistics only (features x stats rows); categories stay in the table
+    rows = model.table.where(F.col("stat") != "category").collect()
     st = {(r["feature"], r["stat"]): (r["num"], r["text"]) for r in rows}
+    n_cats = {r["feature"]: r["n"] for r in model.table.where(F.col("stat") == "category")
+              .groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [x for x in model.categorical if n_cats.get(x, 0) <= INLINE_CATEGORIES]
+    if small:
+        rows = rows + model.table.where((F.col("stat") == "category") & F.col("feature").isin(*small)).collect()
     sel = [c(k) for k in keep if k in df.columns]
     for x in model.numeric:
         med, mean, scale = st[(x, "median")][0], st[(x, "mean")][0], st[(x, "scale")][0]
@@ -247,14 +262,14 @@ def transform_pipeline(df: DataFrame, model: FeatureModel, keep: list[str] = ("r
     for x in model.categorical:
         v = F.coalesce(c(x).cast("string"), F.lit(st[(x, "mode")][1]))
         pairs = cat_maps.get(x, [])
-        if len(pairs) <= 10000:
+        if x in small:
             m = F.create_map(*[y for k, code in pairs for y in (F.lit(k), F.lit(code))]) if pairs else None
             code = F.coalesce(m[v], F.lit(-1)) if m is not None else F.lit(-1)
             sel.append(code.cast("double").alias(f"cat__{x}"))
-        else:  # very many categories: broadcast join instead of a literal map
+        else:  # very many categories: a join instead of a literal map
             sel.append(v.alias(f"cat__{x}"))
     out = df.select(*sel)
-    big = [x for x in model.categorical if len(cat_maps.get(x, [])) > 10000]
+    big = [x for x in model.categorical if x not in small]
     if big:
         cats = model.table.where(F.col("stat") == "category").select(
             "feature", F.col("text").alias("value"), F.col("num").cast("int").alias("code"))

@@ -70,7 +70,23 @@ def oracle_prelude() -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the available cores.
+
+    A parquet file with a single row group scans as ONE task, so all the
+    per-row work before the first shuffle would run on one core.  Such scans
+    get a round-robin repartition to the default parallelism; a scan that
+    already has enough splits (any large table) is returned untouched - no
+    extra shuffle at scale.  Planning only, no job.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 class Tables:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.ranking import count_below, value_counts_cumulative
 from strataflow.functions.rules import predict_threshold
+from strataflow.session import materialize
 
 EPS = float.fromhex("0x1.0p-52")  # float64 machine epsilon
 
@@ -39,8 +40,10 @@ def confusion_matrix(df: DataFrame, labels: list[int] = (0, 1, 2), by=(), label:
     lab = F.array(*[F.lit(int(x)) for x in labels])
     grid = groups.select(*by, F.explode(lab).alias("label")).select(*by, "label",
                                                                     F.explode(lab).alias("prediction"))
-    return grid.join(counts, by + ["label", "prediction"], "left").select(
+    cm = grid.join(counts, by + ["label", "prediction"], "left").select(
         *by, "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    # groups x k^2 rows, read by every metric derived from it: one pass over the scored rows
+    return materialize(cm)
 
 
 def per_class(cm: DataFrame, by=()) -> DataFrame:
@@ -183,6 +186,7 @@ def threshold_confusion(df: DataFrame, taus: list[float], probs: str = "probs",
     small = (df.select(*by, F.col(label).alias("label"), other.alias("_other"),
                        count_below([F.lit(float(t)) for t in taus], len(taus), pm, inclusive=True).alias("_b"))
                .groupBy(*by, "label", "_other", "_b").agg(F.count(F.lit(1)).alias("n")))
+    small = materialize(small)  # groups x k x k x (taus + 1) rows; the data is read once
     ex = small.select(*by, "label", "_other", "_b", "n",
                       F.posexplode(tarr).alias("_j", "tau"))
     pred = F.when(F.col("_b") >= F.col("_j") + 1, F.lit(minority)).otherwise(F.col("_other"))

@@ -59,7 +59,7 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str, Column] | None = None,
                             descending: bool = False, n_buckets: int = 64,
-                            materialize_distinct: bool = True) -> DataFrame:
+                            materialize_distinct: bool = True, direct_limit: int = 1_000_000) -> DataFrame:
     """Distinct values per group with cumulative sums in value order.
 
     Returns ``by..., value, <w>, <w>_cum, <w>_before, <w>_total`` for every
@@ -79,6 +79,17 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
         # the distinct table feeds the bounds, the bucket totals and the final
         # window: compute it once instead of re-scanning the input each time
         base = materialize(base)
+        # distinct values, not rows, bound a group's window: when every group has
+        # at most ``direct_limit`` of them one window per group is safe and cheaper
+        largest = base.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        if largest <= direct_limit:
+            w = Window.partitionBy(*by).orderBy("_ov").rowsBetween(Window.unboundedPreceding, 0)
+            wall = Window.partitionBy(*by)
+            out = base.select(*by, value, *weights, *[F.sum(k).over(w).alias(f"{k}_cum") for k in weights],
+                              *[F.sum(k).over(wall).alias(f"{k}_total") for k in weights])
+            for k in weights:
+                out = out.withColumn(f"{k}_before", F.col(f"{k}_cum") - F.col(k))
+            return out
     fr = [i / n_buckets for i in range(1, n_buckets)]
     bounds = base.groupBy(*by).agg(F.percentile_approx("_ov", fr, 10000).alias("_bounds"))
     if by:
@@ -104,12 +115,12 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), n_buckets: int = 64,
-                    out: str = "q", value_out: str = "value") -> DataFrame:
+                    out: str = "q", value_out: str = "value", direct_limit: int = 1_000_000) -> DataFrame:
     """Exact linear-interpolation quantiles (same definition as SQL
     ``percentile`` / ``quantile_cont``) per group, without holding a group in
     one task.  Returns ``by..., q, value``."""
     by = _cols(by)
-    cum = value_counts_cumulative(df, value, by, n_buckets=n_buckets)
+    cum = value_counts_cumulative(df, value, by, n_buckets=n_buckets, direct_limit=direct_limit)
     n = F.col("n_total")
 
     def lo(q):

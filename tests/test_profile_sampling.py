@@ -9,13 +9,14 @@ from strataflow.operators import profile as D
 from strataflow.operators import sampling as E
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("direct_limit", [0, 1_000_000])  # two-level plan and one-window plan
+def test_exact_quantiles_match_numpy(spark, direct_limit):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.normal(size=500).round(2), np.full(300, 1.5)])  # heavy tie
     groups = rng.integers(0, 3, size=len(vals))
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, v double")
-    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", n_buckets=8)
-           .collect()}
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", n_buckets=8,
+                                                                 direct_limit=direct_limit).collect()}
     for g in range(3):
         for q in (0.1, 0.5, 0.95):
             assert got[(g, q)] == pytest.approx(np.quantile(vals[groups == g], q), abs=1e-9)

@@ -9,6 +9,8 @@ text is used by the oracle queries.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -107,10 +109,14 @@ class Tables:
         return self._cache[name]
 
     def _view(self, name: str, sources: tuple[str, ...]) -> DataFrame:
+        """The stand-in SQL over DataFrame arguments (``spark.sql`` binds each
+        ``{name}`` to a private view), so no session-wide view is replaced."""
         if name not in self._cache:
+            args = {s: (self.base(s) if s in BASE_TABLES else self._cache[s]) for s in sources}
+            sql = STANDIN_SQL[name]
             for s in sources:
-                self.base(s).createOrReplaceTempView(s) if s in BASE_TABLES else self._cache[s].createOrReplaceTempView(s)
-            self._cache[name] = self.spark.sql(STANDIN_SQL[name])
+                sql = re.sub(rf"\bFROM {s}\b", f"FROM {{{s}}}", sql)
+            self._cache[name] = self.spark.sql(sql, **args)
         return self._cache[name]
 
     def records(self) -> DataFrame:

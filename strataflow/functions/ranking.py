@@ -53,8 +53,15 @@ def count_below(bounds: Column | list, n: int, v: Column, inclusive: bool = Fals
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a ONE-row table to every row (broadcast)."""
-    return df.join(F.broadcast(one_row), how="cross")
+    """Attach the values of a ONE-row aggregate to every row as literals.
+
+    The aggregate runs as its own small job and only its single row comes to
+    the driver; the data side gets plain literal columns (no join).
+    """
+    row = one_row.first()
+    cols = [F.lit(None if row is None else row[c]).cast(one_row.schema[c].dataType).alias(c)
+            for c in one_row.columns]
+    return df.select("*", *cols)
 
 
 def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str, Column] | None = None,

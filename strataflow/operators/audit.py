@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import safe_corr
-from strataflow.functions.ranking import exact_quantiles, with_scalar
+from strataflow.functions.ranking import exact_quantiles
 
 
 def _r(x, nd=6):
@@ -118,11 +118,12 @@ def box_overlap(df: DataFrame, vec: str, group: Column, pos: str, neg: str, widt
     table; the test is ``forall`` over ``zip_with``."""
     g = df.withColumn("_g", group)
     t = tall1(g.where(F.col("_g") == pos), vec)
-    st = t.groupBy("dim").agg(F.avg(vec).alias("m"), F.stddev_samp(vec).alias("s"))
-    bounds = st.agg(F.array_sort(F.collect_list(F.struct("dim", (F.col("m") - width * F.col("s")).alias("lo"),
-                                                         (F.col("m") + width * F.col("s")).alias("hi")))).alias("b"))
+    st = t.groupBy("dim").agg(F.avg(vec).alias("m"), F.stddev_samp(vec).alias("s")).orderBy("dim").collect()
+    # one (lo, hi) per dimension -> two p-length literal arrays
+    lo = F.array(*[F.lit(None if r["s"] is None else float(r["m"] - width * r["s"])).cast("double") for r in st])
+    hi = F.array(*[F.lit(None if r["s"] is None else float(r["m"] + width * r["s"])).cast("double") for r in st])
     neg_rows = g.where(F.col("_g") == neg).select(F.col(vec).cast("array<double>").alias("_v"))
-    j = with_scalar(neg_rows, bounds)
+    j = neg_rows.select("_v", F.arrays_zip(lo.alias("lo"), hi.alias("hi")).alias("b"))
     inside = F.forall(F.zip_with("_v", "b", lambda v, bd: (v >= bd["lo"]) & (v <= bd["hi"])), lambda x: x)
     return j.agg(F.count(F.lit(1)).alias("n_neg"), _r(F.avg(inside.cast("double"))).alias("overlap"))
 

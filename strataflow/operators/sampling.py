@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c
-from strataflow.functions.ranking import HASH_SPAN, global_rank, hash_order
+from strataflow.functions.ranking import HASH_SPAN, global_rank, hash_order, with_scalar
 
 
 def _dec(x: float) -> Column:
@@ -106,7 +106,7 @@ def balanced_resample(df: DataFrame, weight: Column, n_out: int | Column | None,
     """
     tot = df.agg(F.sum(weight).alias("_wsum"), F.count(F.lit(1)).alias("_nrows"))
     target = F.col("_nrows") if n_out is None else (n_out if isinstance(n_out, Column) else F.lit(n_out))
-    j = df.withColumn("_w", weight).join(F.broadcast(tot), how="cross")  # one-row scalar table
+    j = with_scalar(df.withColumn("_w", weight), tot)  # one-row totals as literals
     e = target * F.col("_w") / F.col("_wsum")
     copies = (F.floor(e) + (hash_uniform(c(key), seed) < (e - F.floor(e))).cast("bigint")).cast("int")
     j = j.withColumn("_copies", copies).where(F.col("_copies") > 0)
@@ -121,7 +121,7 @@ def ordered_holdout(df: DataFrame, order: list[str] | str, share: float = 0.9, o
     the hold-out.  The rank uses the two-level plan."""
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     ranked = global_rank(df, [order] if isinstance(order, str) else list(order), n_buckets=n_buckets, out="_rank")
-    j = ranked.join(F.broadcast(n), how="cross")  # one-row scalar table
+    j = with_scalar(ranked, n)  # row count as a literal
     cut = F.floor(_dec(share) * F.col("_n"))
     return j.withColumn(out, F.col("_rank") > cut).drop("_rank", "_n")
 

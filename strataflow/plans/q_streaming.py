@@ -22,3 +22,21 @@ def q_stream_validate(spark, sf_dir):
     q = S.validate_stream(spark, src, r.schema, RECORDS_CONTRACT, out, ck, max_files_per_trigger=1)
     q.awaitTermination(600)
     return S.rule_totals(spark.read.parquet(out))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Test-split feature rows arrive as files; each micro-batch is scored by
+    the champion (PCA encoder + focal logistic model)."""
+    from pyspark.sql import functions as F
+    from strataflow.operators import models as J
+    from strataflow.plans.q_fitted import feature_table, latent_table, pca_fit
+    feats, _ = feature_table(spark, sf_dir)
+    champ = J.Champion(pca_fit(spark, sf_dir).encoder(), J.train_focal(latent_table(spark, sf_dir), 3))
+    src = IO.fresh_path(spark, "score-src")
+    feats.where(F.col("split") == "test").repartition(3).write.parquet(src)
+    out, ck = IO.fresh_path(spark, "score-out"), IO.fresh_path(spark, "score-ck")
+    schema = spark.read.parquet(src).schema
+    q = S.score_stream(spark, src, schema, champ, out, ck, keep=["row_id", "label"])
+    q.awaitTermination(600)
+    return spark.read.parquet(out)

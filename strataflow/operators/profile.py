@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c, safe_corr
+from strataflow.session import materialize
 from strataflow.functions.ranking import count_below, exact_quantiles, value_counts_cumulative, with_scalar
 
 
@@ -183,7 +184,7 @@ def mutual_info_target(df: DataFrame, numeric: list[str], categorical: list[str]
     ex = w.where(F.col("_y").isNotNull()).select(F.col("_y").alias("b"), F.explode(arr).alias("s"))
     joint = (ex.select("s.feature", "s.a", "b").where(F.col("a").isNotNull())
                .groupBy("feature", "a", "b").agg(F.count(F.lit(1)).alias("n")))
-    mi = mi_from_joint(joint, ["feature"])
+    mi = materialize(mi_from_joint(joint, ["feature"]))  # one row per feature, reused downstream
     return (mi.select("feature", _r(F.col("mi")).alias("mi"))
               .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mi"), "feature")).cast("bigint")))
 
@@ -202,7 +203,7 @@ def mutual_info_matrix(df: DataFrame, numeric: list[str], categorical: list[str]
                              c(a).alias("a"), c(b).alias("b")) for a, b in pairs])
     ex = wide.select(F.explode(arr).alias("s")).select("s.*").where(F.col("a").isNotNull() & F.col("b").isNotNull())
     joint = ex.groupBy("feature_a", "feature_b", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    mi = mi_from_joint(joint, ["feature_a", "feature_b"])
+    mi = materialize(mi_from_joint(joint, ["feature_a", "feature_b"]))  # one row per pair; read twice
     mx = mi.agg(F.max("mi").alias("_mx"))
     return with_scalar(mi, mx).select(
         "feature_a", "feature_b", _r(F.col("mi")).alias("mi"),

@@ -58,7 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset
             conf_dir = None
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="strataflow-ckpt-")
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        conf_dir = tempfile.mkdtemp(prefix="strataflow-ckpt-")  # local mode / tests only
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

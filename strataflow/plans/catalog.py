@@ -35,6 +35,36 @@ _MODULES = (
 )
 
 
+def positive_zero_rounds(sql: str) -> str:
+    """Rewrite every ``round(...)`` as ``(round(...) + 0.0)``.
+
+    DuckDB rounds tiny negatives to -0.0 where Spark gives 0.0; adding +0.0
+    turns -0.0 into 0.0 (IEEE) and changes nothing else.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = positive_zero_rounds(sql[j + 6:k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     """Decorator: add a query (and its oracle SQL) to the catalog."""
 
@@ -43,7 +73,7 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = fn
         if sql is not None:
-            body = sql.strip()
+            body = positive_zero_rounds(sql.strip())
             if body[:4].upper() == "WITH":
                 ORACLE[name] = oracle_prelude() + "," + body[4:]
             else:

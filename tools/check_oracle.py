@@ -27,8 +27,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        r = round(v, 5)
-        return 0.0 if r == 0 else r
+        if v == 0:
+            return repr(v)  # strict: -0.0 and 0.0 hash differently in a value hash
+        return repr(round(v, 5))
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):

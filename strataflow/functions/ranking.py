@@ -173,7 +173,7 @@ HASH_SPAN = float(16 ** 15)
 
 
 def global_rank(df: DataFrame, order: list[str] | str, by=(), n_buckets: int = 256,
-                bucket: Column | None = None, out: str = "rank") -> DataFrame:
+                bucket: Column | None = None, out: str = "rank", totals: DataFrame | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(by).orderBy(*order)``
     computed with the two-level plan.  The first ``order`` column must be
     numeric.  ``bucket`` may give an order-preserving bucket directly (e.g.
@@ -190,7 +190,7 @@ def global_rank(df: DataFrame, order: list[str] | str, by=(), n_buckets: int = 2
         based = df.join(F.broadcast(bounds), by) if by else with_scalar(df, bounds)
         based = based.withColumn("_bk", bucket_of("_bounds", ordnum)).drop("_bounds")
     key = by + ["_bk"]
-    tot = based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
+    tot = totals if totals is not None else based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*key, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
     j = based.join(F.broadcast(offs), key)

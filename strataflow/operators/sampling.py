@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c
 from strataflow.functions.ranking import HASH_SPAN, global_rank, hash_order, with_scalar
+from strataflow.session import materialize
 
 
 def _dec(x: float) -> Column:
@@ -52,7 +53,14 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     class by ``md5(key-seed)``: the rank is computed with a two-level plan
     (hash-prefix buckets), so a dominant class is not one task.
     """
-    counts = df.groupBy(c(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
+    h, num = hash_order(c(key), seed)
+    hashed = df.withColumn("_h", h).withColumn("_hn", num)
+    bucket = F.floor(F.col("_hn") / F.lit(HASH_SPAN / n_buckets)).cast("int")
+    # rows per (class, hash bucket): one pass, classes x n_buckets rows; it gives
+    # both the class sizes for the quotas and the bucket offsets for the ranks
+    totals = materialize(hashed.withColumn("_bk", bucket).groupBy(c(label).alias(label), "_bk")
+                         .agg(F.count(F.lit(1)).alias("_bt")))
+    counts = totals.groupBy(label).agg(F.sum("_bt").alias("n"))
     n_all = F.sum("n").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding,
                                                                  Window.unboundedFollowing))
     k_test = F.ceil(_dec(test_share) * n_all).cast("bigint")
@@ -63,10 +71,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
                                                                            Window.unboundedFollowing))
     k_val = F.ceil(_dec(round(rel_val, 12)) * n_rest_all).cast("bigint")
     q_val = allocate(rem, k_val, label, n="n_rest", out="n_val").join(rem.select(label, "n_test"), label)
-    h, num = hash_order(c(key), seed)
-    hashed = df.withColumn("_h", h).withColumn("_hn", num)
-    bucket = F.floor(F.col("_hn") / F.lit(HASH_SPAN / n_buckets)).cast("int")
-    ranked = global_rank(hashed, ["_hn", "_h", key], by=label, bucket=bucket, out="_rank")
+    ranked = global_rank(hashed, ["_hn", "_h", key], by=label, bucket=bucket, out="_rank", totals=totals)
     # quotas: one row per class -> broadcast
     j = ranked.join(F.broadcast(q_val.select(label, "n_test", "n_val")), label)
     split = (F.when(F.col("_rank") <= F.col("n_test"), F.lit("test"))

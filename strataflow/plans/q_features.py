@@ -139,7 +139,8 @@ def pipeline_frame(spark, sf_dir):
     r = tables(spark, sf_dir).records()
     prepared = FE.prepare(r, cfg)
     s = split_records(spark, sf_dir).select("row_id", "split")
-    prepared = prepared.join(s, "row_id")
+    # read by the fit (train rows) and by the transform (all rows): computed once
+    prepared = prepared.join(s, "row_id").persist()
     model = FE.fit_pipeline(train_of(prepared), cfg)
     return FE.transform_pipeline(prepared, model, keep=["row_id", "split", "label"]), model
 

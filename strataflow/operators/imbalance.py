@@ -7,7 +7,10 @@ and a p x p covariance), never data rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,28 +70,35 @@ def synthetic_count(df: DataFrame, label: str, minority, target_ratio: float, mi
 def fit_gaussian(df: DataFrame, features: str) -> tuple[np.ndarray, np.ndarray, int]:
     """Mean and covariance (sample) of an array column, in one distributed pass.
 
-    Each row emits its p*(p+1)/2 products; the partial aggregate reduces them
-    per partition, so the shuffle is p^2 values per partition.
+    Each partition reduces its rows to (n, sum x, X^T X) with numpy (a BLAS
+    product per Arrow batch); the per-partition partials are summed in Spark
+    as (index, value) rows, so only p + p^2 numbers reach the driver.
     """
-    p = df.select(F.size(features).alias("p")).where(F.col("p") > 0).first()
-    if p is None:
+    def part(batches):
+        n, s, ss = 0, None, None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].values])
+            n += len(x)
+            s = x.sum(0) if s is None else s + x.sum(0)
+            ss = x.T @ x if ss is None else ss + x.T @ x
+        if n:
+            yield pd.DataFrame({"n": [n], "s": [s.tolist()], "ss": [ss.ravel().tolist()]})
+
+    parts = df.select(features).mapInPandas(part, "n long, s array<double>, ss array<double>")
+    flat = parts.select(F.col("n"), F.posexplode(F.concat("s", "ss")).alias("i", "v"))
+    tot = flat.groupBy("i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()  # p + p^2 rows
+    if not tot:
         raise ValueError("no rows to fit")
-    p = p["p"]
-    x = F.col(features)
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.transform(
-        F.sequence(i, F.lit(p - 1)), lambda j: F.struct(i.alias("i"), j.alias("j"),
-                                                         (x[i] * x[j]).cast("double").alias("xy")))))
-    prods = (df.select(F.explode(pairs).alias("s")).select("s.*")
-               .groupBy("i", "j").agg(F.sum("xy").alias("sxy")).collect())  # p(p+1)/2 rows
-    sums = (df.select(F.posexplode(features).alias("i", "v")).groupBy("i")
-              .agg(F.sum(F.col("v").cast("double")).alias("s"), F.count(F.lit(1)).alias("n")).collect())
-    n = max(r["n"] for r in sums)
-    mean = np.zeros(p)
-    for r in sums:
-        mean[r["i"]] = r["s"] / n
-    sxy = np.zeros((p, p))
-    for r in prods:
-        sxy[r["i"], r["j"]] = sxy[r["j"], r["i"]] = r["sxy"]
+    m = len(tot)
+    p = int((-1 + math.isqrt(1 + 4 * m)) // 2)  # m = p + p^2
+    vals = np.zeros(m)
+    for r in tot:
+        vals[r["i"]] = r["v"]
+    n = int(tot[0]["n"])
+    mean = vals[:p] / n
+    sxy = vals[p:].reshape(p, p)
     cov = (sxy - n * np.outer(mean, mean)) / max(n - 1, 1)
     return mean, cov, n
 

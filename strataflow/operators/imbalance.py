@@ -112,18 +112,22 @@ def sample_gaussian(spark: SparkSession, n: int, mean: np.ndarray, cov: np.ndarr
     reproducible.
     """
     p = len(mean)
-    L = np.linalg.cholesky(cov + ridge * np.eye(p))
+    chol = np.linalg.cholesky(cov + ridge * np.eye(p))
+    mu = np.asarray(mean, dtype=np.float64)
     parts = num_partitions or max(1, min(200, n // 50000 + 1))
     base = spark.range(0, n, 1, parts)
-    z = F.array(*[F.randn(seed * 1000 + j) for j in range(p)])
-    base = base.select("id", z.alias("_z"))
-    rows = []
-    for i in range(p):
-        li = F.array(*[F.lit(float(v)) for v in L[i, : i + 1]])
-        dot = F.aggregate(F.zip_with(li, F.slice("_z", 1, i + 1), lambda a, b: a * b), F.lit(0.0),
-                          lambda acc, v: acc + v)
-        rows.append(F.lit(float(mean[i])) + dot)
-    return base.select("id", F.array(*rows).alias(out))
+
+    def gen(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ids = pdf["id"].to_numpy()
+            # seeded by (seed, first id of the batch): fixed for a given range partitioning
+            rng = np.random.default_rng([int(seed), int(ids[0])])
+            z = rng.standard_normal((len(ids), p))
+            yield pd.DataFrame({"id": ids, out: list(mu + z @ chol.T)})
+
+    return base.mapInPandas(gen, f"id long, `{out}` array<double>")
 
 
 def _synthetic_key(df: DataFrame, key: str) -> Column:

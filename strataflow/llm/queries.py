@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, packing, pii, simhash, toxicity
+from strataflow.llm import (chat, decontaminate, langid, packing, passages, pii, sharding, simhash, toxicity, vectors)
 from strataflow.llm.common import crc_bucket, read_table
 
 
@@ -21,6 +21,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.with_digest(passages.remove_repeats(docs, with_text=False)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), drop=("text",))
@@ -59,19 +65,48 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[f"n_{k}" for k in pii.BASE], "base_sha256", "spans")
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, size = vectors.build_index(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return vectors.nearest(index, size, index.where("vec_id % 100 = 0"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = chat.format_pairs(chat.pair_by_opening(chat.conversations(turns)))
+    return made.select(
+        "chosen_id", "rejected_id", "n_common", "prompt", "chosen_completion", "rejected_completion",
+        *[F.array_join(F.transform(f"{side}_mask", lambda x: F.concat_ws(
+            ":", x["start"].cast("string"), x["end"].cast("string"))), ",").alias(f"{side}_mask")
+          for side in ("chosen", "rejected")])
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    prototypes = langid.learn(docs.where(crc_bucket("doc_id", 5) != 0))
+    return langid.predict(docs.select("doc_id", "text"), prototypes, drop=("text",)).select(
+        "doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return packing.pack(docs)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign(docs, drop=("text",))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_pii, op7_simhash, op9_packing)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op2_passages, op3_decontaminate, op4_pii, op5_vectors, op6_chat, op7_simhash, op8_langid,
+        op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,7 +24,7 @@ QUERIES = 2000   # queries in a block, on average
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col)
     good = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
-    return (vectors.where(good & F.exists(v, lambda x: x != 0))
+    return (vectors.where(F.col(id_col).isNotNull() & good & F.exists(v, lambda x: x != 0))
             .select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v")))
 
 
@@ -41,8 +41,8 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
                 ) -> tuple[DataFrame, int]:
     """A written table ``row, vec_id, v, places`` of every usable vector, and the vectors' length.
 
-    Vectors that are null, zero, or hold null or non-finite components, and those of another length than most
-    pivots, are left out. Pivots: the ``pivots`` (256 at most) rows of least id hash.
+    Vectors that are null, zero, or hold null or non-finite components, those of another length than most
+    pivots, and those with a null id are left out. Pivots: the ``pivots`` (256 at most) rows of least id hash.
     """
     if not 1 <= pivots <= 256:
         raise ValueError("1 to 256 pivots")
@@ -84,8 +84,8 @@ def nearest(index: DataFrame, size: int, queries: DataFrame, k: int = 10, share:
         own = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).select("row", "vec_id", "v", "places").collect()
         shipped = spark.sparkContext.broadcast((
             np.array([r["row"] for r in own], dtype=np.int64), np.array([r["vec_id"] for r in own], dtype=np.int64),
-            np.array([r["v"] for r in own], dtype=np.float64).reshape(len(own), -1),
-            np.array([np.frombuffer(r["places"], dtype=np.uint8) for r in own], dtype=np.int16).reshape(len(own), -1)))
+            np.array([r["v"] for r in own], dtype=np.float64),
+            np.array([np.frombuffer(r["places"], dtype=np.uint8) for r in own], dtype=np.int16)))
         found = index.mapInArrow(_search(shipped, size, k, share, least),
                                  "query_row long, query_id long, row long, vec_id long, score double")
         parts.append(stage(found, "found") if blocks > 1 else found)

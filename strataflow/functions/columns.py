@@ -7,12 +7,19 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN (if it is floating) as null: both are missing."""
+    kind = df.schema[name].dataType if name in df.columns else None
+    return F.when(~F.isnan(c(name)), c(name)) if isinstance(kind, (T.DoubleType, T.FloatType)) else c(name)
+
+
 def select_present(df: DataFrame, want: list[str], keep: list[str] = ()) -> DataFrame:
     """B1: wanted columns that exist (plus helper columns in ``keep``), in order."""
     cols = [x for x in dict.fromkeys(list(want) + list(keep)) if x in df.columns]

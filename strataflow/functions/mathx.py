@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _betacf(a: float, b: float, x: float, max_iter: int = 300, eps: float = 3e-16) -> float:
-    """Continued fraction for the incomplete beta (modified Lentz)."""
+def _betacf(a: float, b: float, x: float, max_iter: int = 1_000_000, eps: float = 3e-15) -> float:
+    """Continued fraction for the incomplete beta (modified Lentz), to convergence."""
     tiny = 1e-300
     qab, qap, qam = a + b, a + 1.0, a - 1.0
     c, d = 1.0, 1.0 - qab * x / qap
@@ -38,8 +38,8 @@ def _betacf(a: float, b: float, x: float, max_iter: int = 300, eps: float = 3e-1
         delta = d * c
         h *= delta
         if abs(delta - 1.0) < eps:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta did not converge at a={a}, b={b}, x={x}")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -73,7 +73,13 @@ def t_ppf(q: float, df: float) -> float:
     """Quantile of Student's t by bisection on the CDF."""
     if df <= 0 or not np.isfinite(df):
         return float("nan")
-    lo, hi = -1e3, 1e3
+    if not 0.0 < q < 1.0:
+        return math.copysign(math.inf, q - 0.5)
+    lo, hi = -1.0, 1.0
+    while t_cdf(lo, df) > q:
+        lo *= 2.0
+    while t_cdf(hi, df) < q:
+        hi *= 2.0
     for _ in range(200):
         mid = (lo + hi) / 2.0
         if t_cdf(mid, df) < q:
@@ -90,16 +96,13 @@ def ks_p_asymptotic(d: float, n1: int, n2: int) -> float:
         return float("nan")
     en = math.sqrt(n1 * n2 / (n1 + n2))
     lam = (en + 0.12 + 0.11 / en) * d
-    if lam < 1e-8:
+    if lam <= 0.0:
         return 1.0
-    s, sign = 0.0, 1.0
-    for k in range(1, 101):
-        term = sign * 2.0 * math.exp(-2.0 * k * k * lam * lam)
-        s += term
-        if abs(term) < 1e-12:
-            break
-        sign = -sign
-    return min(1.0, max(0.0, s))
+    if lam < 1.0:
+        # the series of the distribution function, which converges fast for small lambda
+        below = sum(math.exp(-((2 * k - 1) * math.pi) ** 2 / (8.0 * lam * lam)) for k in range(1, 20))
+        return min(1.0, max(0.0, 1.0 - math.sqrt(2.0 * math.pi) / lam * below))
+    return min(1.0, max(0.0, 2.0 * sum((-1) ** (k - 1) * math.exp(-2.0 * k * k * lam * lam) for k in range(1, 20))))
 
 
 # ------------------------------------------------------------------ Pandas UDFs

@@ -6,12 +6,13 @@ of the data or more.  These helpers use a two-level plan instead:
 
 1. pre-aggregate to distinct ``(group, value)`` with counts - hot values
    collapse to one row, so skew on a value cannot hurt;
-2. cut each group's value range into ``n_buckets`` ranges whose boundaries
-   come from ``percentile_approx`` (a mergeable sketch);
+2. cut each group's value range into ranges of about ``bucket_rows`` values
+   (so their number follows the counts) whose boundaries come from
+   ``percentile_approx`` (a mergeable sketch);
 3. per-bucket totals (groups x buckets rows, small) give each bucket's
    offset through a window over that small table;
 4. a window partitioned by ``(group, bucket)`` accumulates counts inside
-   a bucket, so every task holds ~1/n_buckets of a group's distinct values.
+   a bucket, so a task holds about ``bucket_rows`` distinct values of a group.
 
 The result is exact: bucket boundaries only decide where work is split.
 """
@@ -64,9 +65,26 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *cols)
 
 
+BUCKET_ROWS = 100_000
+
+
+def cuts(rows: int, bucket_rows: int) -> list[float]:
+    """Shares at which ``rows`` ordered rows are cut into buckets of about ``bucket_rows``."""
+    n = max(1, -(-rows // bucket_rows))
+    return [i / n for i in range(1, n)]
+
+
+def _bucketed(df: DataFrame, by: list[str], v: Column, shares: list[float]) -> DataFrame:
+    """``df`` with ``_bk``, the bucket of ``v`` among its group's quantiles at ``shares``."""
+    if not shares:
+        return df.withColumn("_bk", F.lit(0))
+    bounds = F.percentile_approx(v, shares, max(10_000, 10 * len(shares))).alias("_bounds")
+    based = df.join(df.groupBy(*by).agg(bounds), by) if by else with_scalar(df, df.agg(bounds))
+    return based.withColumn("_bk", bucket_of("_bounds", v)).drop("_bounds")
+
+
 def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str, Column] | None = None,
-                            descending: bool = False, n_buckets: int = 64,
-                            materialize_distinct: bool = True, direct_limit: int = 1_000_000) -> DataFrame:
+                            descending: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Distinct values per group with cumulative sums in value order.
 
     Returns ``by..., value, <w>, <w>_cum, <w>_before, <w>_total`` for every
@@ -82,36 +100,19 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
               .agg(*[F.sum(w).alias(k) for k, w in weights.items()]))
     ordv = (-F.col(value)) if descending else F.col(value)
     base = base.withColumn("_ov", ordv.cast("double"))
-    if materialize_distinct:
-        # the distinct table feeds the bounds, the bucket totals and the final
-        # window: compute it once instead of re-scanning the input each time
-        base = materialize(base)
-        # distinct values, not rows, bound a group's window: when every group has
-        # at most ``direct_limit`` of them one window per group is safe and cheaper
-        largest = base.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        if largest <= direct_limit:
-            w = Window.partitionBy(*by).orderBy("_ov").rowsBetween(Window.unboundedPreceding, 0)
-            wall = Window.partitionBy(*by)
-            out = base.select(*by, value, *weights, *[F.sum(k).over(w).alias(f"{k}_cum") for k in weights],
-                              *[F.sum(k).over(wall).alias(f"{k}_total") for k in weights])
-            for k in weights:
-                out = out.withColumn(f"{k}_before", F.col(f"{k}_cum") - F.col(k))
-            return out
-    fr = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = base.groupBy(*by).agg(F.percentile_approx("_ov", fr, 10000).alias("_bounds"))
-    if by:
-        based = base.join(F.broadcast(bounds), by)
-    else:
-        based = with_scalar(base, bounds)
-    based = based.withColumn("_bk", bucket_of("_bounds", F.col("_ov"))).drop("_bounds")
+    # the distinct table feeds the bounds, the bucket totals and the final
+    # window: compute it once instead of re-scanning the input each time
+    base = materialize(base)
+    largest = base.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    fr = cuts(largest, bucket_rows)
+    based = _bucketed(base, by, F.col("_ov"), fr)
     key = by + ["_bk"]
     tot = based.groupBy(*key).agg(*[F.sum(k).alias(f"_bt_{k}") for k in weights])
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*by)
     offs = tot.select(*key, *[F.coalesce(F.sum(f"_bt_{k}").over(wb), F.lit(0)).alias(f"_off_{k}") for k in weights],
                       *[F.sum(f"_bt_{k}").over(wall).alias(f"{k}_total") for k in weights])
-    # offs has groups x n_buckets rows: bounded by parameters, safe to broadcast
-    j = based.join(F.broadcast(offs), key)
+    j = based.join(offs, key)  # a row for each bucket; its measured size decides how it is joined
     win = Window.partitionBy(*key).orderBy("_ov").rowsBetween(Window.unboundedPreceding, 0)
     out = j.select(*by, value, *weights,
                    *[(F.col(f"_off_{k}") + F.sum(k).over(win)).alias(f"{k}_cum") for k in weights],
@@ -121,13 +122,13 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
     return out
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), n_buckets: int = 64,
-                    out: str = "q", value_out: str = "value", direct_limit: int = 1_000_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), out: str = "q",
+                    value_out: str = "value", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Exact linear-interpolation quantiles (same definition as SQL
     ``percentile`` / ``quantile_cont``) per group, without holding a group in
     one task.  Returns ``by..., q, value``."""
     by = _cols(by)
-    cum = value_counts_cumulative(df, value, by, n_buckets=n_buckets, direct_limit=direct_limit)
+    cum = value_counts_cumulative(df, value, by, bucket_rows=bucket_rows)
     n = F.col("n_total")
 
     def lo(q):
@@ -158,41 +159,73 @@ def exact_median(df: DataFrame, value: str, by=(), value_out: str = "median") ->
     return exact_quantiles(df, value, [0.5], by, value_out=value_out).drop("q")
 
 
-def hash_order(key: Column, seed) -> tuple[Column, Column]:
-    """Seeded pseudo-random order: ``md5(key || '-' || seed)``.
+def hash_hex(purpose: str, key: Column, seed) -> Column:
+    """Seeded pseudo-random order: ``md5(purpose | key | seed)`` in hex.
 
-    Returns ``(hex, num)`` where ``num`` (first 60 bits, numeric) sorts like
-    the hex string; ties on ``num`` are broken by the hex string.
+    Every operator names its own purpose: with one hash for all, a sample of a
+    split would be drawn from the hashes that the split has left over.
     """
-    h = F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")))
-    num = F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
-    return h, num
+    return F.md5(F.concat(F.lit(f"{purpose}|"), key.cast("string"), F.lit(f"|{seed}")))
 
 
-HASH_SPAN = float(16 ** 15)
+def hash_order(purpose: str, key: Column, seed) -> tuple[Column, Column]:
+    """``(hex, num)`` where ``num`` (first 60 bits, numeric) sorts like the
+    hex string; ties on ``num`` are broken by the hex string."""
+    h = hash_hex(purpose, key, seed)
+    return h, F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
-def global_rank(df: DataFrame, order: list[str] | str, by=(), n_buckets: int = 256,
-                bucket: Column | None = None, out: str = "rank", totals: DataFrame | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: list[str] | str, by=(), out: str = "rank",
+                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(by).orderBy(*order)``
     computed with the two-level plan.  The first ``order`` column must be
-    numeric.  ``bucket`` may give an order-preserving bucket directly (e.g.
-    the leading bits of a hash), which saves the boundary pass."""
-    by = _cols(by)
-    keys = _cols(order)
-    ordnum = F.col(keys[0])
-    if bucket is not None:
-        based = df.withColumn("_bk", bucket)
-    else:
-        fr = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = df.groupBy(*by).agg(F.percentile_approx(ordnum, fr, 10000).alias("_bounds")) if by else \
-            df.agg(F.percentile_approx(ordnum, fr, 10000).alias("_bounds"))
-        based = df.join(F.broadcast(bounds), by) if by else with_scalar(df, bounds)
-        based = based.withColumn("_bk", bucket_of("_bounds", ordnum)).drop("_bounds")
+    numeric.  The input is read several times: hand in a written table if it
+    is costly to compute."""
+    by, keys = _cols(by), _cols(order)
+    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    based = _bucketed(df, by, F.col(keys[0]), cuts(largest, bucket_rows))
     key = by + ["_bk"]
-    tot = totals if totals is not None else based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
+    tot = based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*key, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
-    j = based.join(F.broadcast(offs), key)
+    j = based.join(offs, key)
     win = Window.partitionBy(*key).orderBy(*keys)
     return j.withColumn(out, (F.col("_off") + F.row_number().over(win)).cast("bigint")).drop("_bk", "_off")
+
+
+SMALL = 1000
+
+
+def hash_cutoffs(df: DataFrame, group: str, hashed: Column, ranks: dict, step: int = 3) -> dict:
+    """The hash of each wanted rank: ``{(group value, rank): hex}`` for ``ranks`` = ``{group value: [rank, ...]}``.
+
+    Ranks count from 1 in order of the hash within the group.  Each pass counts
+    rows by group and the next ``step`` hex digits, keeps the prefix that holds
+    each rank and goes on inside it, until the prefix holds at most ``SMALL``
+    rows, whose hashes are read.  So nothing is sorted, and only counts (4096
+    for each group and rank) and a few hashes reach the driver.
+    """
+    wanted = {(g, r): ("", r, None) for g, rs in ranks.items() for r in rs if r > 0}  # prefix, rank inside, rows
+    found: dict = {}
+    rows = df.select(F.col(group).alias("_g"), hashed.alias("_h"))
+    depth = 0
+    while wanted:
+        inside = F.lit(False)
+        for g, prefix in {(g, prefix) for (g, _), (prefix, _, _) in wanted.items()}:
+            inside = inside | (F.col("_g").eqNullSafe(F.lit(g)) & F.col("_h").startswith(prefix))
+        own = rows.where(inside)
+        last = all(n is not None and n <= SMALL for _, _, n in wanted.values()) or depth + step >= 32
+        digits = 32 if last else depth + step
+        counts: dict = {}
+        for r in own.groupBy("_g", F.substring("_h", 1, digits).alias("p")).count().collect():
+            counts.setdefault((r["_g"], r["p"][:depth]), []).append((r["p"], r["count"]))
+        for (g, rank), (prefix, left, _) in wanted.items():
+            for p, n in sorted(counts[g, prefix]):
+                if left <= n:
+                    wanted[g, rank] = (p, left, n)
+                    break
+                left -= n
+        depth = digits
+        if last:
+            found, wanted = {k: p for k, (p, _, _) in wanted.items()}, {}
+    return found

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from strataflow.config import FeatureConfig, MONTH_NAMES, WEEKDAY_NAMES
 from strataflow.functions import columns as B
-from strataflow.functions.columns import c
+from strataflow.functions.columns import c, present
 from strataflow.functions.ranking import exact_quantiles
 from strataflow.session import materialize
 
@@ -35,7 +35,7 @@ class LeakageError(ValueError):
 
 
 def _tall(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[c(x).cast("double").alias(x) for x in cols]).unpivot([], cols, "feature", "value")
+    return df.select(*[present(df, x).cast("double").alias(x) for x in cols]).unpivot([], cols, "feature", "value")
 
 
 def _tall_str(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -64,14 +64,14 @@ def fit_mode(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def fit_mean(train: DataFrame, cols: list[str]) -> DataFrame:
     """F3 fit: mean per column."""
-    return train.agg(*[F.avg(c(x)).alias(x) for x in cols]).unpivot([], cols, "feature", "mean")
+    return train.agg(*[F.avg(present(train, x)).alias(x) for x in cols]).unpivot([], cols, "feature", "mean")
 
 
 def fit_scale(train: DataFrame, cols: list[str]) -> DataFrame:
     """F4 fit: mean and POPULATION std; zero (or undefined) std -> 1."""
     aggs = []
     for x in cols:
-        aggs += [F.avg(c(x)).alias(f"{x}\u0001m"), F.stddev_pop(c(x)).alias(f"{x}\u0001s")]
+        aggs += [F.avg(present(train, x)).alias(f"{x}\u0001m"), F.stddev_pop(present(train, x)).alias(f"{x}\u0001s")]
     wide = train.agg(*aggs)
     rows = [F.struct(F.lit(x).alias("feature"), F.col(f"`{x}\u0001m`").alias("mean"),
                      F.when(F.col(f"`{x}\u0001s`") > 0, F.col(f"`{x}\u0001s`")).otherwise(F.lit(1.0)).alias("scale"))

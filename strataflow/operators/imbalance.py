@@ -74,12 +74,15 @@ def fit_gaussian(df: DataFrame, features: str) -> tuple[np.ndarray, np.ndarray,
     product per Arrow batch); the per-partition partials are summed in Spark
     as (index, value) rows, so only p + p^2 numbers reach the driver.
     """
+    head = df.select(features).first()
+    shift = np.asarray(head[0], dtype=np.float64) if head else 0.0  # raw sums of large values would cancel
+
     def part(batches):
         n, s, ss = 0, None, None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].values])
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].values]) - shift
             n += len(x)
             s = x.sum(0) if s is None else s + x.sum(0)
             ss = x.T @ x if ss is None else ss + x.T @ x
@@ -100,32 +103,44 @@ def fit_gaussian(df: DataFrame, features: str) -> tuple[np.ndarray, np.ndarray,
     mean = vals[:p] / n
     sxy = vals[p:].reshape(p, p)
     cov = (sxy - n * np.outer(mean, mean)) / max(n - 1, 1)
-    return mean, cov, n
+    return mean + shift, cov, n
+
+
+ROWS_PER_TASK = 50_000
+
+
+def keyed_normals(ids: np.ndarray, p: int, seed: int) -> np.ndarray:
+    """Standard normals by row and dimension: Box-Muller on two hashed counters each."""
+    def uniform(stream: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            x = (ids.astype(np.uint64)[:, None] * np.uint64(2 * p) + np.arange(p, dtype=np.uint64) * np.uint64(2)
+                 + np.uint64(stream))
+            x = (x ^ np.uint64(seed % 2 ** 32) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(0x9E3779B97F4A7C15)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            x ^= x >> np.uint64(31)
+        return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+
+    return np.sqrt(-2.0 * np.log(uniform(0))) * np.cos(2.0 * np.pi * uniform(1))
 
 
 def sample_gaussian(spark: SparkSession, n: int, mean: np.ndarray, cov: np.ndarray, seed: int,
                     out: str = "features", ridge: float = 1e-6, num_partitions: int | None = None) -> DataFrame:
     """Draw ``n`` rows of N(mean, cov) in executors: ``mean + L @ randn``.
 
-    ``L`` (Cholesky of ``cov + ridge*I``) is a p x p literal; rows come from
-    ``spark.range`` with a fixed partition count so ``randn(seed)`` is
-    reproducible.
+    ``L`` (Cholesky of ``cov + ridge*I``) is a p x p literal; a row's normals
+    follow from the seed and its id, however rows are dealt to tasks.
     """
     p = len(mean)
     chol = np.linalg.cholesky(cov + ridge * np.eye(p))
     mu = np.asarray(mean, dtype=np.float64)
-    parts = num_partitions or max(1, min(200, n // 50000 + 1))
-    base = spark.range(0, n, 1, parts)
+    base = spark.range(0, n, 1, num_partitions or n // ROWS_PER_TASK + 1)
 
     def gen(batches):
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ids = pdf["id"].to_numpy()
-            # seeded by (seed, first id of the batch): fixed for a given range partitioning
-            rng = np.random.default_rng([int(seed), int(ids[0])])
-            z = rng.standard_normal((len(ids), p))
-            yield pd.DataFrame({"id": ids, out: list(mu + z @ chol.T)})
+            if len(pdf):
+                ids = pdf["id"].to_numpy()
+                yield pd.DataFrame({"id": ids, out: list(mu + keyed_normals(ids, p, seed) @ chol.T)})
 
     return base.mapInPandas(gen, f"id long, `{out}` array<double>")
 
@@ -170,12 +185,11 @@ def augment_latent(df: DataFrame, label: str, z: str, minority: int, target_rati
     stats = (df.where(c(label) == minority).select(F.posexplode(z).alias("i", "v"))
                .groupBy("i").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
                .orderBy("i").collect())  # one row per dimension
-    spark = df.sparkSession
-    rows = spark.range(0, n_syn, 1, max(1, min(200, n_syn // 50000 + 1)))
-    zs = F.array(*[F.lit(float(r["m"])) + F.lit(float(r["s"] or 0.0)) * F.randn(seed * 1000 + r["i"])
-                   for r in stats])
-    syn = rows.select(_synthetic_key(df, key), zs.alias(z),
-                      F.lit(minority).cast(df.schema[label].dataType).alias(label), F.lit(True).alias("is_synthetic"))
+    centre = np.array([float(r["m"]) for r in stats])
+    syn = sample_gaussian(df.sparkSession, n_syn, centre, np.diag([float(r["s"] or 0.0) ** 2 for r in stats]), seed,
+                          out=z, ridge=1e-12)
+    syn = syn.select(_synthetic_key(df, key), z,
+                     F.lit(minority).cast(df.schema[label].dataType).alias(label), F.lit(True).alias("is_synthetic"))
     return base.unionByName(syn.withColumn(z, F.col(z).cast(df.schema[z].dataType)), allowMissingColumns=True)
 
 

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import c, safe_corr
+from strataflow.functions.columns import c, present, safe_corr
 from strataflow.session import materialize
 from strataflow.functions.ranking import count_below, exact_quantiles, value_counts_cumulative, with_scalar
 
@@ -24,14 +26,14 @@ def _r(x: Column, nd: int = 6) -> Column:
 def tall(df: DataFrame, cols: list[str], id_cols: list[str] = (), name: str = "feature",
          value: str = "value") -> DataFrame:
     """Unpivot ``cols`` (cast to double) into ``(id..., feature, value)``."""
-    casted = df.select(*[c(x) for x in id_cols], *[c(x).cast("double").alias(x) for x in cols])
+    casted = df.select(*[c(x) for x in id_cols], *[present(df, x).cast("double").alias(x) for x in cols])
     return casted.unpivot(list(id_cols), list(cols), name, value)
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Null count and rate per column, only columns with nulls."""
     cols = cols or df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c(x)).alias(x) for x in cols])
+    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(present(df, x)).alias(x) for x in cols])
     t = wide.unpivot(["_n"], cols, "column_name", "n_present")
     return (t.select("column_name", (F.col("_n") - F.col("n_present")).alias("n_null"),
                      _r((F.col("_n") - F.col("n_present")) / F.col("_n")).alias("null_rate"))
@@ -97,20 +99,45 @@ def group_means(df: DataFrame, by: Column | str, cols: list[str], key_name: str
         F.count(F.lit(1)).alias("n"), *[_r(F.avg(c(x))).alias(f"mean_{x}") for x in cols])
 
 
+def pairwise_correlation(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Pearson correlations, pairwise complete, unrounded; NaN where a column is constant or pairs are missing.
+
+    One pass: each Arrow batch adds the products X'X, X'M, (X^2)'M and M'M of its values X and presence M, so
+    only 4 p^2 numbers a task are shuffled.  Values are shifted by the first row, which keeps the sums exact
+    enough for columns with a large mean."""
+    p = len(cols)
+    data = df.select(*[c(x).cast("double").alias(f"c{i}") for i, x in enumerate(cols)])
+    first = data.first()
+    shift = np.array([0.0 if first is None or first[i] is None or not np.isfinite(first[i]) else first[i] for i in range(p)])
+
+    def products(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(p)]).astype(float) - shift
+            m = np.isfinite(x).astype(float)
+            x = np.where(m > 0, x, 0.0)
+            total += np.stack([x.T @ x, x.T @ m, (x * x).T @ m, m.T @ m])
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["v"])
+
+    rows = (data.mapInArrow(products, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+            .groupBy("i").agg(F.sum("v").alias("v")).collect())  # 4 p^2 numbers
+    flat = np.zeros(4 * p * p)
+    for r in rows:
+        flat[r["i"]] = r["v"]
+    xy, x, xx, n = flat.reshape(4, p, p)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov, var = xy - x * x.T / n, xx - x * x / n
+        var = np.where(var <= 1e-12 * xx, 0.0, var)
+        r = cov / np.sqrt(var * var.T)
+    return np.where(np.isfinite(r), np.clip(r, -1.0, 1.0), np.nan)
+
+
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, pairwise complete, in one
-    aggregate (nulls in either column skip the row for that pair)."""
-    pairs = [(a, b) for a, b in combinations(cols, 2)]
-    exprs = [safe_corr(c(a), c(b)).alias(f"{a}\u0001{b}") for a, b in pairs]
-    exprs += [safe_corr(c(a), c(a)).alias(f"{a}\u0001{a}") for a in cols]
-    wide = df.agg(*exprs)
-    names = [f"{a}\u0001{b}" for a, b in pairs] + [f"{a}\u0001{a}" for a in cols]
-    t = wide.unpivot([], names, "pair", "corr")
-    t = t.select(F.split("pair", "\u0001").alias("p"), "corr")
-    one = t.select(F.col("p")[0].alias("feature_a"), F.col("p")[1].alias("feature_b"), "corr")
-    other = t.where(F.col("p")[0] != F.col("p")[1]).select(
-        F.col("p")[1].alias("feature_a"), F.col("p")[0].alias("feature_b"), "corr")
-    return one.unionByName(other).withColumn("corr", _r(F.col("corr")))
+    """Pearson correlation of every ordered pair, pairwise complete, from one pass (p^2 rows)."""
+    m = pairwise_correlation(df, cols)
+    rows = [(a, b, None if np.isnan(m[i, j]) else float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    return out.withColumn("corr", _r(F.col("corr")))
 
 
 def target_correlation(df: DataFrame, cols: list[str], target: Column) -> DataFrame:
@@ -155,15 +182,6 @@ def binned(df: DataFrame, numeric: list[str], categorical: list[str], n_bins: in
     return df.select(*cols)
 
 
-def discretize(df: DataFrame, numeric: list[str], categorical: list[str], id_col: str,
-               n_bins: int = 10) -> DataFrame:
-    """Tall ``(id, feature, bin)``: numeric columns in equal-frequency bins by
-    exact rank (ties share a bin), categorical columns by value."""
-    feats = list(numeric) + list(categorical)
-    w = binned(df, numeric, categorical, n_bins, keep=[id_col])
-    return w.unpivot([id_col], feats, "feature", "bin").where(F.col("bin").isNotNull())
-
-
 def mi_from_joint(joint: DataFrame, group: list[str]) -> DataFrame:
     """``sum p_ab ln(p_ab / (p_a p_b))`` from joint counts ``(group..., a, b, n)``."""
     g = Window.partitionBy(*group)
@@ -222,8 +240,10 @@ def feature_ranking(df: DataFrame, numeric: list[str], categorical: list[str], m
         aggs += [F.count(c(x)).alias(f"{x}\u0001nn"), F.stddev_samp(c(x)).alias(f"{x}\u0001sd"),
                  F.avg(c(x)).alias(f"{x}\u0001mean")]
     for x in categorical:
-        aggs += [F.count(c(x)).alias(f"{x}\u0001nn"), F.countDistinct(c(x)).alias(f"{x}\u0001nd")]
+        aggs += [F.count(c(x)).alias(f"{x}\u0001nn")]
     wide = df.agg(*aggs)
+    for x in categorical:  # each on its own: several distinct counts in one aggregate repeat every row
+        wide = with_scalar(wide, df.agg(F.countDistinct(c(x)).alias(f"{x}\u0001nd")))
     rows = []
     for x in numeric:
         nn, sd, mean = (F.col(f"`{x}\u0001{s}`") for s in ("nn", "sd", "mean"))
@@ -290,11 +310,13 @@ def table_summary(df: DataFrame, sums: list[str] = (), ranges: list[str] = (), d
 
     Sums run in fixed-point decimal (``sum_scale`` digits), so the result does
     not depend on the order partitions are combined in."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+    out = df.agg(F.count(F.lit(1)).alias("n_rows"),
                   *[F.sum(c(x).cast(f"decimal(18,{sum_scale})")).cast("double").alias(f"sum_{x}") for x in sums],
                   *[F.min(c(x)).alias(f"min_{x}") for x in ranges],
-                  *[F.max(c(x)).alias(f"max_{x}") for x in ranges],
-                  *[F.countDistinct(c(x)).alias(f"distinct_{x}") for x in distinct])
+                  *[F.max(c(x)).alias(f"max_{x}") for x in ranges])
+    for x in distinct:  # each on its own: several distinct counts in one aggregate repeat every row
+        out = with_scalar(out, df.agg(F.countDistinct(c(x)).alias(f"distinct_{x}")))
+    return out
 
 
 def class_coverage(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:

@@ -86,6 +86,8 @@ def _rule_counts(rule: Rule, schema: T.StructType) -> tuple[Column, Column]:
     """(checked, ok) conditional-count expressions for one rule."""
     c = F.col(f"`{rule.column}`")
     dtype = schema[rule.column].dataType
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        c = F.when(~F.isnan(c), c)  # NaN is missing
     if rule.kind == "not_null":
         return F.count(F.lit(1)), F.count(c)
     if rule.kind == "between":

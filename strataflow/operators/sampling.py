@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c
-from strataflow.functions.ranking import HASH_SPAN, global_rank, hash_order, with_scalar
+from strataflow.functions.ranking import global_rank, hash_cutoffs, hash_hex, hash_order, with_scalar
 from strataflow.session import materialize
 
 
@@ -22,9 +22,9 @@ def _dec(x: float) -> Column:
     return F.lit(Decimal(repr(float(x)))).cast("decimal(20,12)")
 
 
-def hash_uniform(key: Column, seed) -> Column:
-    """Deterministic U[0,1) from ``md5(key-seed)`` (first 32 bits)."""
-    h = F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")))
+def hash_uniform(purpose: str, key: Column, seed) -> Column:
+    """Deterministic U[0,1) from the seeded hash of ``purpose`` and ``key`` (first 32 bits)."""
+    h = hash_hex(purpose, key, seed)
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
 
 
@@ -44,60 +44,52 @@ def allocate(counts: DataFrame, total_k: Column, label: str = "label", n: str =
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, val_share: float = 0.2,
-                     seed: int = 42, split_col: str = "split", n_buckets: int = 256) -> DataFrame:
+                     seed: int = 42, split_col: str = "split") -> DataFrame:
     """Exact stratified train / val / test split.
 
     Test takes ``ceil(test_share * n)`` rows, val takes
     ``ceil(val_share / (1 - test_share) * (n - n_test))`` of the rest; each is
-    divided over classes by largest remainder.  Rows are ranked inside their
-    class by ``md5(key-seed)``: the rank is computed with a two-level plan
-    (hash-prefix buckets), so a dominant class is not one task.
+    divided over classes by largest remainder.  A class's rows are ordered by
+    the seeded hash of the key; rows up to its n_test-th hash are test, up to
+    its (n_test + n_val)-th val.  Only the two cut-off hashes of each class are
+    looked up (see ``hash_cutoffs``); the rows themselves are labelled where
+    they are, without a shuffle or a sort.  Rows with one key go together.
     """
-    h, num = hash_order(c(key), seed)
-    hashed = df.withColumn("_h", h).withColumn("_hn", num)
-    bucket = F.floor(F.col("_hn") / F.lit(HASH_SPAN / n_buckets)).cast("int")
-    # rows per (class, hash bucket): one pass, classes x n_buckets rows; it gives
-    # both the class sizes for the quotas and the bucket offsets for the ranks
-    totals = materialize(hashed.withColumn("_bk", bucket).groupBy(c(label).alias(label), "_bk")
-                         .agg(F.count(F.lit(1)).alias("_bt")))
-    counts = totals.groupBy(label).agg(F.sum("_bt").alias("n"))
-    n_all = F.sum("n").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding,
-                                                                 Window.unboundedFollowing))
-    k_test = F.ceil(_dec(test_share) * n_all).cast("bigint")
-    q_test = allocate(counts, k_test, label, out="n_test")
+    h = hash_hex("split", c(key), seed)
+    counts = df.groupBy(c(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
+    # over the per-class table only: a few rows
+    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    k_test = F.ceil(_dec(test_share) * F.sum("n").over(whole)).cast("bigint")
+    q_test = materialize(allocate(counts, k_test, label, out="n_test"))
     rem = q_test.select(label, (F.col("n") - F.col("n_test")).alias("n_rest"), "n_test")
     rel_val = val_share / (1.0 - test_share)
-    n_rest_all = F.sum("n_rest").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding,
-                                                                           Window.unboundedFollowing))
-    k_val = F.ceil(_dec(round(rel_val, 12)) * n_rest_all).cast("bigint")
-    q_val = allocate(rem, k_val, label, n="n_rest", out="n_val").join(rem.select(label, "n_test"), label)
-    ranked = global_rank(hashed, ["_hn", "_h", key], by=label, bucket=bucket, out="_rank", totals=totals)
-    # quotas: one row per class -> broadcast
-    j = ranked.join(F.broadcast(q_val.select(label, "n_test", "n_val")), label)
-    split = (F.when(F.col("_rank") <= F.col("n_test"), F.lit("test"))
-              .when(F.col("_rank") <= F.col("n_test") + F.col("n_val"), F.lit("val"))
-              .otherwise(F.lit("train")))
-    return j.withColumn(split_col, split).drop("_h", "_hn", "_rank", "n_test", "n_val")
-
-
-def k_fold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold",
-           n_buckets: int = 256) -> DataFrame:
+    k_val = F.ceil(_dec(round(rel_val, 12)) * F.sum("n_rest").over(whole)).cast("bigint")
+    quota = (allocate(rem, k_val, label, n="n_rest", out="n_val")
+             .join(rem.select(label, "n_test"), label).collect())  # one row per class
+    ranks = {r[label]: (r["n_test"], r["n_test"] + r["n_val"]) for r in quota}
+    last = hash_cutoffs(df, label, h, ranks)
+    split = F.lit("train")
+    for g, (n_test, n_val) in ranks.items():
+        mine = c(label).eqNullSafe(F.lit(g))
+        split = (F.when(mine & (h <= last.get((g, n_test), "")), F.lit("test"))
+                  .when(mine & (h <= last.get((g, n_val), "")), F.lit("val")).otherwise(split))
+    return df.withColumn(split_col, split)
+
+
+def k_fold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold") -> DataFrame:
     """Stratified k-fold assignment: fold = (rank within class - 1) mod k."""
-    h, num = hash_order(c(key), seed)
-    hashed = df.withColumn("_h", h).withColumn("_hn", num)
-    bucket = F.floor(F.col("_hn") / F.lit(HASH_SPAN / n_buckets)).cast("int")
-    ranked = global_rank(hashed, ["_hn", "_h", key], by=label, bucket=bucket, out="_rank")
+    h, num = hash_order("fold", c(key), seed)
+    ranked = global_rank(df.withColumn("_h", h).withColumn("_hn", num), ["_hn", "_h", key], by=label, out="_rank")
     return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_hn", "_rank")
 
 
-def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42, purpose: str = "sample") -> DataFrame:
     """Fixed-size sample without replacement (all rows when fewer).
 
     ``orderBy(hash).limit(n)`` runs as a per-partition top-n followed by one
     merge of at most partitions x n rows: bounded by the sample size.
     """
-    h = F.md5(F.concat(c(key).cast("string"), F.lit(f"-{seed}")))
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    return df.withColumn("_h", hash_hex(purpose, c(key), seed)).orderBy("_h", key).limit(n).drop("_h")
 
 
 def balanced_resample(df: DataFrame, weight: Column, n_out: int | Column | None, key: str,
@@ -113,19 +105,19 @@ def balanced_resample(df: DataFrame, weight: Column, n_out: int | Column | None,
     target = F.col("_nrows") if n_out is None else (n_out if isinstance(n_out, Column) else F.lit(n_out))
     j = with_scalar(df.withColumn("_w", weight), tot)  # one-row totals as literals
     e = target * F.col("_w") / F.col("_wsum")
-    copies = (F.floor(e) + (hash_uniform(c(key), seed) < (e - F.floor(e))).cast("bigint")).cast("int")
+    copies = (F.floor(e) + (hash_uniform("copies", c(key), seed) < (e - F.floor(e))).cast("bigint")).cast("int")
     j = j.withColumn("_copies", copies).where(F.col("_copies") > 0)
     out = j.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return out.drop("_w", "_wsum", "_nrows", "_copies")
 
 
 def ordered_holdout(df: DataFrame, order: list[str] | str, share: float = 0.9, out: str = "holdout",
-                    n_buckets: int = 256) -> DataFrame:
+                    ) -> DataFrame:
     """E5: the first ``int(share * n)`` rows by an explicit order key (first
     column numeric, the others break ties) are kept for fitting, the rest are
     the hold-out.  The rank uses the two-level plan."""
     n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_rank(df, [order] if isinstance(order, str) else list(order), n_buckets=n_buckets, out="_rank")
+    ranked = global_rank(df, [order] if isinstance(order, str) else list(order), out="_rank")
     j = with_scalar(ranked, n)  # row count as a literal
     cut = F.floor(_dec(share) * F.col("_n"))
     return j.withColumn(out, F.col("_rank") > cut).drop("_rank", "_n")

@@ -26,7 +26,7 @@ def pair_table(moments: DataFrame, group: str = "experiment") -> DataFrame:
     """All unordered group pairs (a < b) of the k-row moment table."""
     a = moments.select(*[F.col(x).alias(f"{x}_a") for x in moments.columns])
     b = moments.select(*[F.col(x).alias(f"{x}_b") for x in moments.columns])
-    return a.join(F.broadcast(b), F.col(f"{group}_a") < F.col(f"{group}_b"))
+    return a.join(b, F.col(f"{group}_a") < F.col(f"{group}_b"))  # k rows a side, one for each group
 
 
 def welch_pairs(runs: DataFrame, group: str = "experiment", metric: str = "macro_f1",
@@ -83,7 +83,10 @@ def select_winner(pairs_with_p: DataFrame, tiebreak: list[str]) -> DataFrame:
     b_wins = pairs_with_p.where(sig & (F.col("mean_b") > F.col("mean_a"))).select(
         F.col("group_b").alias("g"), F.col("mean_b").alias("mean"))
     cands = a_wins.unionByName(b_wins).distinct()
-    agg = cands.agg(F.max_by("g", F.struct("mean", F.lit(0))).alias("best"), F.count(F.lit(1)).alias("n_candidates"))
+    place = F.coalesce(F.array_position(F.array(*[F.lit(g) for g in tiebreak]), F.col("g")), F.lit(0))
+    # of equal means the first in the tiebreak order, groups outside it last
+    first = F.struct("mean", F.when(place > 0, -place).otherwise(F.lit(-1 - len(tiebreak))), F.lit(0))
+    agg = cands.agg(F.max_by("g", first).alias("best"), F.count(F.lit(1)).alias("n_candidates"))
     return agg.select(F.coalesce("best", F.lit(tiebreak[0])).alias("winner"), "n_candidates")
 
 
@@ -98,8 +101,13 @@ def quality_gates(runs: DataFrame, group: str = "experiment", f1: str = "macro_f
 
 def evaluate_families(runs: DataFrame, tiebreak: list[str], group: str = "experiment", metric: str = "macro_f1",
                       recall: str = "class_recall", alpha: float = 0.05, f1_gate: float = 0.30,
-                      recall_gate: float = 0.50) -> DataFrame:
-    """M1-M6 together: the evaluation report row (winner, its means, gates)."""
+                      recall_gate: float = 0.50, families: list[str] = ()) -> DataFrame:
+    """M1-M6 together: the evaluation report row (winner, its means, gates).  Each of ``families`` must have a
+    run with both metrics."""
+    complete = {r[group] for r in runs.where(F.col(metric).isNotNull() & F.col(recall).isNotNull())
+                .select(group).distinct().collect()}  # one row per family
+    if absent := [g for g in families if g not in complete]:
+        raise ValueError(f"no complete run of {absent}")
     pairs = welch_pairs(runs, group, metric, alpha, with_p=True)
     win = select_winner(pairs, tiebreak)
     gates = quality_gates(runs, group, metric, recall, f1_gate, recall_gate)

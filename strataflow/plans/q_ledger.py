@@ -90,7 +90,8 @@ def q_mean_ci(spark, sf_dir):
 
 @register("select_winner")
 def q_select_winner(spark, sf_dir):
-    return M.evaluate_families(latest(spark, sf_dir), tiebreak=["click", "view", "purchase"])
+    return M.evaluate_families(latest(spark, sf_dir), tiebreak=["click", "view", "purchase"],
+                               families=["click", "view", "purchase"])
 
 
 @register("quality_gates", f"""WITH {LR}

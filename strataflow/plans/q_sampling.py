@@ -31,7 +31,7 @@ cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY 1),
 q1 AS {_alloc_sql('cnt', 'n', '0.2', 'n_test')},
 r1 AS (SELECT label, n - n_test AS n_rest, n_test FROM q1),
 q2 AS {_alloc_sql('r1', 'n_rest', '0.25', 'n_val', 'n_test')},
-rk AS (SELECT lab.*, row_number() OVER (PARTITION BY label ORDER BY md5(row_id || '-42'), row_id) AS rnk FROM lab),
+rk AS (SELECT lab.*, row_number() OVER (PARTITION BY label ORDER BY md5('split|' || row_id || '|42'), row_id) AS rnk FROM lab),
 splits AS (SELECT row_id, label, CASE WHEN rnk <= n_test THEN 'test' WHEN rnk <= n_test + n_val THEN 'val'
                   ELSE 'train' END AS split FROM rk JOIN q2 USING (label))"""
 
@@ -70,7 +70,7 @@ def q_class_coverage(spark, sf_dir):
 
 @register("k_fold", f"""
 SELECT label, CAST((rnk - 1) % 5 AS INTEGER) AS fold, count(*) AS n FROM (
-  SELECT {LABEL_SQL} AS label, row_number() OVER (PARTITION BY severity ORDER BY md5(row_id || '-7'), row_id) AS rnk
+  SELECT {LABEL_SQL} AS label, row_number() OVER (PARTITION BY severity ORDER BY md5('fold|' || row_id || '|7'), row_id) AS rnk
   FROM records) GROUP BY 1, 2""")
 def q_k_fold(spark, sf_dir):
     f = E.k_fold(labelled(spark, sf_dir), "label", "row_id", k=5, seed=7)
@@ -78,7 +78,7 @@ def q_k_fold(spark, sf_dir):
 
 
 @register("hash_sample", """
-SELECT row_id, severity FROM records ORDER BY md5(row_id || '-42'), row_id LIMIT 5000""")
+SELECT row_id, severity FROM records ORDER BY md5('sample|' || row_id || '|42'), row_id LIMIT 5000""")
 def q_hash_sample(spark, sf_dir):
     return E.hash_sample(tables(spark, sf_dir).records().select("row_id", "severity"), 5000, "row_id", 42)
 
@@ -89,7 +89,7 @@ cw AS (SELECT label, CAST((SELECT count(*) FROM x) AS DOUBLE) / (3 * count(*)) A
 j AS (SELECT x.row_id, x.label, cw.w FROM x JOIN cw USING (label)),
 e AS (SELECT row_id, label, (SELECT count(*) FROM x) * w / (SELECT sum(w) FROM j) AS e FROM j),
 c AS (SELECT row_id, label, CAST(floor(e) AS BIGINT) + CAST(
-        CAST(CAST('0x' || substr(md5(row_id || '-42'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < e - floor(e)
+        CAST(CAST('0x' || substr(md5('copies|' || row_id || '|42'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < e - floor(e)
         AS BIGINT) AS copies FROM e)
 SELECT label, count(*) AS n_rows, count(DISTINCT row_id) AS n_distinct, max(copies) AS max_copies
 FROM c, range(1, copies + 1) GROUP BY 1""")

@@ -10,6 +10,9 @@ from strataflow.sources import io as IO
 from strataflow.sources.tables import tables
 from strataflow.streaming import monitor as S
 
+FILE_ROWS = 20_000  # rows of an arriving file
+FILES = 8           # files in a micro-batch
+
 
 @register("stream_validate", rules_sql(Q.build_suite(RECORDS_CONTRACT)))
 def q_stream_validate(spark, sf_dir):
@@ -17,10 +20,10 @@ def q_stream_validate(spark, sf_dir):
     and the per-batch counts add up to the whole-table rule results."""
     r = tables(spark, sf_dir).records()
     src = IO.fresh_path(spark, "stream-src")
-    r.repartition(4).write.parquet(src)
+    r.write.option("maxRecordsPerFile", FILE_ROWS).parquet(src)
     out, ck = IO.fresh_path(spark, "stream-out"), IO.fresh_path(spark, "stream-ck")
-    q = S.validate_stream(spark, src, r.schema, RECORDS_CONTRACT, out, ck, max_files_per_trigger=1)
-    q.awaitTermination(600)
+    q = S.validate_stream(spark, src, r.schema, RECORDS_CONTRACT, out, ck, max_files_per_trigger=FILES)
+    q.awaitTermination()
     return S.rule_totals(spark.read.parquet(out))
 
 
@@ -34,9 +37,9 @@ def q_stream_score(spark, sf_dir):
     feats, _ = feature_table(spark, sf_dir)
     champ = J.Champion(pca_fit(spark, sf_dir).encoder(), J.train_focal(latent_table(spark, sf_dir), 3))
     src = IO.fresh_path(spark, "score-src")
-    feats.where(F.col("split") == "test").repartition(3).write.parquet(src)
+    feats.where(F.col("split") == "test").write.option("maxRecordsPerFile", FILE_ROWS).parquet(src)
     out, ck = IO.fresh_path(spark, "score-out"), IO.fresh_path(spark, "score-ck")
     schema = spark.read.parquet(src).schema
     q = S.score_stream(spark, src, schema, champ, out, ck, keep=["row_id", "label"])
-    q.awaitTermination(600)
+    q.awaitTermination()
     return spark.read.parquet(out)

@@ -19,7 +19,7 @@ _DEFAULTS = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "strataflow", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with AQE on and the UI off.
 
@@ -30,7 +30,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:  # otherwise the cluster's own value holds
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("STRATAFLOW_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():

@@ -76,19 +76,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan over the available cores.
-
-    A parquet file with a single row group scans as ONE task, so all the
-    per-row work before the first shuffle would run on one core.  Such scans
-    get a round-robin repartition to the default parallelism; a scan that
-    already has enough splits (any large table) is returned untouched - no
-    extra shuffle at scale.  Planning only, no job.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """The scan as it is, unless the session sets ``strataflow.scan.partitions``: then its rows are dealt to
+    that many partitions.  For local runs on files of a single row group, which one task reads; a cluster leaves
+    the setting alone."""
+    n = df.sparkSession.conf.get("strataflow.scan.partitions", "")
+    return df.repartition(int(n)) if n else df
 
 
 class Tables:

@@ -2,9 +2,10 @@
 
 The original pipeline is batch-only; these helpers run the same contract
 validation (C1-C6) and champion scoring (K5) on data that keeps arriving in
-a folder.  ``foreachBatch`` hands each micro-batch to the batch operator and
-appends the result; the checkpoint location makes the stream restartable
-with exactly-once file output.
+a folder.  ``foreachBatch`` hands each micro-batch to the batch operator.  A
+batch may be handed out again after a failure, so each writes a folder of its
+own, ``batch_id=<n>``, over what an earlier attempt has left: the output holds
+every batch exactly once.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from strataflow.operators import quality as Q
 def validate_stream(spark: SparkSession, source_dir: str, schema: T.StructType, contracts, out_path: str,
                     checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = None):
     """Validate every arriving micro-batch against the contract suite; rule
-    results (one row per rule and batch) are appended to ``out_path``."""
+    results (one row per rule and batch) are added to ``out_path``."""
     rules = Q.build_suite(contracts)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -28,8 +29,7 @@ def validate_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     Q.pre_validate(stream, rules)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        res = Q.run_rules(batch, rules).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        res.write.mode("append").parquet(out_path)
+        Q.run_rules(batch, rules).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -54,8 +54,7 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, cha
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         scored = champion.score(batch, features)
-        scored.select(*keep, "prediction", F.lit(batch_id).cast("bigint").alias("batch_id")) \
-            .write.mode("append").parquet(out_path)
+        scored.select(*keep, "prediction").write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -16,7 +16,7 @@ def _vecs(spark, z, offset=0):
 def test_bandwidth_exact_vs_numpy(spark):
     rng = np.random.default_rng(0)
     z = rng.normal(size=(101, 2))
-    bw = DR.median_bandwidth(_vecs(spark, z), "z", "k", n_blocks=3, n_bins=64)
+    bw = DR.median_bandwidth(_vecs(spark, z), "z", "k", n_bins=64)
     iu = np.triu_indices(len(z), 1)
     d = np.sqrt(((z[:, None, :] - z[None, :, :]) ** 2).sum(-1))[iu]
     assert bw == pytest.approx(np.median(d) / math.sqrt(2), rel=1e-9)
@@ -26,7 +26,7 @@ def test_mmd_matches_numpy_and_detects_shift(spark):
     rng = np.random.default_rng(1)
     ref, new = rng.normal(size=(100, 2)), rng.normal(size=(50, 2))
     x, y = _vecs(spark, ref), _vecs(spark, new, 1000)
-    bw = DR.median_bandwidth(x, "z", "k", n_blocks=4)
+    bw = DR.median_bandwidth(x, "z", "k")
     assert 0.5 < bw < 5
     g = 1 / (2 * bw * bw)
 
@@ -35,7 +35,7 @@ def test_mmd_matches_numpy_and_detects_shift(spark):
     kxx, kyy = k(ref, ref), k(new, new)
     mmd2 = ((kxx.sum() - np.trace(kxx)) / (100 * 99) + (kyy.sum() - np.trace(kyy)) / (50 * 49)
             - 2 * k(ref, new).mean())
-    got = DR.mmd_rbf(x, y, "z", "k", bw, n_blocks=4)
+    got = DR.mmd_rbf(x, y, "z", "k", bw)
     assert got == pytest.approx(math.sqrt(max(mmd2, 0)), abs=1e-9) and got >= 0
     assert not DR.detect_drift(x, y, "z", "k").first()["is_drifted"]
     assert DR.detect_drift(x, _vecs(spark, new + 10, 1000), "z", "k").first()["is_drifted"]

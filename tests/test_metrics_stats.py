@@ -109,7 +109,7 @@ def test_penalty_example(spark):
 
 def test_correlation_mask_drops_second():
     c = np.array([[1, .99, .1], [.99, 1, .2], [.1, .2, 1]])
-    assert G.correlation_mask(c, 0.95) == [True, False, True]
+    assert G.correlated_out(["a", "b", "c"], c, 0.95) == {"b"}
 
 
 def test_selector_errors():
@@ -138,3 +138,35 @@ def test_median_prune(spark):
     out = N.median_prune(df, n_startup=3, n_warmup=2)
     pr = {r["trial"]: r["pruned_at"] for r in out.select("trial", "pruned_at").distinct().collect()}
     assert pr[9] == 2 and pr[5] is None
+
+
+def test_vif_of_collinear_columns_is_infinite():
+    rng = np.random.default_rng(0)
+    a, b = rng.normal(size=(2, 400))
+    free = rng.normal(size=400)
+    corr = np.corrcoef([a, b, 0.37 * a + 1.91 * b, free])
+    vif = G.vif_values(corr)
+    assert np.isinf(vif[:3]).all() and abs(vif[3] - 1) < 0.1
+    assert G.inflated_out(list("abcd"), corr, 10.0) == ["a", "b"]  # without a, b still explains c
+    noisy = np.corrcoef([a, a + 0.01 * b, a - 0.01 * free, b])
+    out = G.inflated_out(list("abcd"), noisy, 10.0)
+    left = [i for i, n in enumerate("abcd") if n not in out]
+    assert len(left) >= 2 and np.diag(np.linalg.inv(noisy[np.ix_(left, left)])).max() <= 10
+
+
+def test_t_quantiles_and_ks_tails():
+    from strataflow.functions import mathx
+    assert abs(mathx.t_ppf(0.9999, 1) - 3183.0988) < 1e-2
+    assert mathx.ks_p_asymptotic(1e-5, 10 ** 6, 10 ** 6) > 0.999999
+    assert abs(mathx.ks_p_asymptotic(0.0608, 500, 500) - 0.3119) < 0.02
+
+
+def test_winner_ties_take_the_first_family(spark):
+    from strataflow.operators import stats as M
+    pairs = spark.createDataFrame([("a", "c", 0.001, 0.02, 0.9, 0.1), ("b", "c", 0.001, 0.02, 0.9, 0.1)],
+                                  "group_a string, group_b string, p_value double, alpha_bonferroni double, mean_a double, mean_b double")
+    assert M.select_winner(pairs, ["b", "a", "c"]).first()["winner"] == "b"
+    assert M.select_winner(pairs, ["a", "b", "c"]).first()["winner"] == "a"
+    runs = spark.createDataFrame([("a", 0.5, 0.5), ("a", 0.6, 0.5)], "experiment string, macro_f1 double, class_recall double")
+    with pytest.raises(ValueError):
+        M.evaluate_families(runs, ["a", "b"], families=["a", "b"])

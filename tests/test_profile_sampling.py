@@ -9,14 +9,13 @@ from strataflow.operators import profile as D
 from strataflow.operators import sampling as E
 
 
-@pytest.mark.parametrize("direct_limit", [0, 1_000_000])  # two-level plan and one-window plan
-def test_exact_quantiles_match_numpy(spark, direct_limit):
+@pytest.mark.parametrize("bucket_rows", [7, 100_000])  # many buckets and one
+def test_exact_quantiles_match_numpy(spark, bucket_rows):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.normal(size=500).round(2), np.full(300, 1.5)])  # heavy tie
     groups = rng.integers(0, 3, size=len(vals))
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, v double")
-    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", n_buckets=8,
-                                                                 direct_limit=direct_limit).collect()}
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", bucket_rows=bucket_rows).collect()}
     for g in range(3):
         for q in (0.1, 0.5, 0.95):
             assert got[(g, q)] == pytest.approx(np.quantile(vals[groups == g], q), abs=1e-9)
@@ -26,7 +25,7 @@ def test_global_rank_equals_row_number(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame([(int(i % 3), float(x), int(i)) for i, x in enumerate(rng.normal(size=400))],
                                "g int, x double, id int")
-    r = global_rank(df, ["x", "id"], by="g", n_buckets=7).collect()
+    r = global_rank(df, ["x", "id"], by="g", bucket_rows=9).collect()
     for g in range(3):
         rows = sorted([(x["x"], x["id"], x["rank"]) for x in r if x["g"] == g])
         assert [t[2] for t in rows] == list(range(1, len(rows) + 1))
@@ -84,7 +83,8 @@ def test_hash_sample_and_resample(spark):
     w = df.withColumn("w", F.when(F.col("label") == 1, 3.0).otherwise(1.0))
     rs = E.balanced_resample(w, F.col("w"), 400, "k")
     by = {r["label"]: r["count"] for r in rs.groupBy("label").count().collect()}
-    assert abs(by[1] - 300) <= 3 and abs(by[0] - 100) <= 3
+    # 150 rows of weight 3 have exactly 2 copies; of 150 rows of weight 1 each has one with chance 2/3
+    assert by[1] == 300 and abs(by[0] - 100) <= 3 * (150 * 2 / 3 * 1 / 3) ** 0.5
 
 
 def test_synthetic_count_formula_and_guard(spark):
@@ -106,3 +106,43 @@ def test_augment_keeps_originals_and_reaches_ratio(spark):
     assert rep["n_synthetic"] == 24 and rep["ratio_after"] >= 0.15
     orig = aug.where(~F.col("is_synthetic")).orderBy("k").collect()
     assert [r["x"] for r in orig] == [r[1] for r in rows]
+
+
+def test_samples_of_a_split_are_not_biased(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 5 == 0).cast("int").alias("y"))
+    train = E.stratified_split(rows, "y", "k").where("split = 'train'")
+    for seed in (42, 43, 44):
+        share = E.hash_sample(train, 1000, "k", seed).agg(F.avg("y")).first()[0]
+        assert abs(share - 0.2) < 2 * (0.2 * 0.8 / 1000) ** 0.5 + 1e-9
+        u = E.hash_sample(train, 1000, "k", seed).select(E.hash_uniform("copies", F.col("k"), seed).alias("u"))
+        assert abs(u.agg(F.avg("u")).first()[0] - 0.5) < 0.04
+
+
+def test_split_sizes_are_exact_and_need_no_shuffle_of_the_rows(spark):
+    rows = spark.range(5003).select(F.col("id").alias("k"), F.when(F.col("id") % 7 == 0, 1).otherwise(0).alias("y"),
+                                    F.lit("wide").alias("other"))
+    out = E.stratified_split(rows, "y", "k")
+    n = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
+    assert n == {"test": 1001, "val": 1001, "train": 3001}
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    one_key = spark.createDataFrame([("same", 1)] * 3000, "k string, y int")
+    assert E.stratified_split(one_key, "y", "k").select("split").distinct().count() == 1
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert D.null_profile(df).first()["n_null"] == 2
+    d = D.describe_exact(df, ["x"]).first()
+    assert (d["count"], d["mean"], d["q75"]) == (2, 2.0, 2.5)
+
+
+def test_pairwise_correlation_equals_numpy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3)) + [0, 1e6, -5]
+    x[:, 2] += 0.5 * x[:, 0]
+    rows = [[None if rng.random() < 0.1 else float(v) for v in r] for r in x]
+    got = D.pairwise_correlation(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"])
+    for i in range(3):
+        for j in range(3):
+            both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
+            assert abs(got[i, j] - np.corrcoef(both.T)[0, 1]) < 1e-9

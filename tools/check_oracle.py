@@ -49,7 +49,7 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in BASE_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

@@ -19,7 +19,7 @@ def main() -> None:
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", shuffle_partitions=8)
     qs = queries()
     for n in names:
         df = qs[n](spark, sf_dir)

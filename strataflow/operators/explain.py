@@ -83,7 +83,12 @@ def local_surrogates(predict, rows: DataFrame, feature_names: list[str], n_sampl
         sig = [float(v) for v in scale.collect()[0]]
     r = rows.select(F.col(key).alias("_rid"), F.col(features).cast("array<double>").alias("_x"))
     r = r.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
-    noise = F.array(*[F.randn(seed + i) * F.lit(sig[i]) for i in range(p)])
+    # Box-Muller on two hashes of (row, sample, dimension): the same however rows are dealt to tasks
+    def uniform(i, stream):
+        return (_h(F.col("_rid"), F.col("_s"), F.lit(i), F.lit(seed), F.lit(stream)) + F.lit(0.5)) / F.lit(float(16 ** 8))
+
+    noise = F.array(*[F.sqrt(-2.0 * F.log(uniform(i, 0))) * F.cos(F.lit(2.0 * np.pi) * uniform(i, 1)) * F.lit(sig[i])
+                      for i in range(p)])
     r = r.withColumn("_n", F.when(F.col("_s") == 0, F.array_repeat(F.lit(0.0), p)).otherwise(noise))
     r = r.withColumn(features, F.zip_with("_x", "_n", lambda a, b: a + b))
     d2 = F.aggregate(F.transform("_n", lambda v: v * v), F.lit(0.0), lambda a, v: a + v)

@@ -34,16 +34,15 @@ def confusion_matrix(df: DataFrame, labels: list[int] = (0, 1, 2), by=(), label:
     zeros kept.  Grid = distinct groups x labels x labels, built by
     ``explode`` on the (small) group table."""
     by = _by(by)
-    counts = df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("n"))
-    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    counts = materialize(df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n")))  # groups x k^2 rows: the scored rows are read once
+    groups = counts.select(*by).distinct() if by else df.sparkSession.range(1).select()
     lab = F.array(*[F.lit(int(x)) for x in labels])
     grid = groups.select(*by, F.explode(lab).alias("label")).select(*by, "label",
                                                                     F.explode(lab).alias("prediction"))
     cm = grid.join(counts, by + ["label", "prediction"], "left").select(
         *by, "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-    # groups x k^2 rows, read by every metric derived from it: one pass over the scored rows
-    return materialize(cm)
+    return cm
 
 
 def per_class(cm: DataFrame, by=()) -> DataFrame:
@@ -200,20 +199,24 @@ def threshold_scan(df: DataFrame, taus: list[float] | None = None, probs: str =
     by = _by(by)
     taus = taus or thresholds()
     tc = threshold_confusion(df, taus, probs, label, minority, by)
-    # complete the label grid per (group, tau) so absent cells count as zero
-    keys = tc.select(*by, "tau").distinct()
-    lab = F.array(*[F.lit(int(x)) for x in labels])
-    grid = keys.select(*by, "tau", F.explode(lab).alias("label")).select(*by, "tau", "label",
-                                                                          F.explode(lab).alias("prediction"))
-    cm = grid.join(tc, by + ["tau", "label", "prediction"], "left").select(
-        *by, "tau", "label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
-    f1 = f1_scores(cm, by + ["tau"])
-    rec = per_class(cm, by + ["tau"]).where(F.col("label") == minority).select(
-        *by, "tau", F.col("recall").alias("minority_recall"))
-    out = f1.join(rec, by + ["tau"])
-    return out.select(*by, _r(F.col("tau"), 2).alias("tau"), "macro_f1", "minority_recall",
-                      (F.col("macro_f1") > f1_gate).alias("passes_f1"),
-                      (F.col("minority_recall") >= recall_gate).alias("passes_recall"))
+    def cells(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+    wide = tc.groupBy(*by, "tau").agg(*[x for k in labels for x in (
+        cells((F.col("label") == k) & (F.col("prediction") == k)).alias(f"tp{k}"),
+        cells(F.col("label") == k).alias(f"support{k}"), cells(F.col("prediction") == k).alias(f"predicted{k}"))])
+
+    def f1(k):  # 2 tp / (support + predicted); null for a label that is in neither
+        both = F.col(f"support{k}") + F.col(f"predicted{k}")
+        return F.when(both > 0, 2 * F.col(f"tp{k}") / both)
+
+    scores = F.filter(F.array(*[f1(k) for k in labels]), lambda x: x.isNotNull())
+    macro = F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores)).otherwise(0.0)
+    recall = F.when(F.col(f"support{minority}") > 0, F.col(f"tp{minority}") / F.col(f"support{minority}")).otherwise(0.0)
+    out = wide.select(*by, "tau", macro.alias("f"), recall.alias("r"))
+    return out.select(*by, _r(F.col("tau"), 2).alias("tau"), _r(F.col("f")).alias("macro_f1"),
+                      _r(F.col("r")).alias("minority_recall"), (F.col("f") > f1_gate).alias("passes_f1"),
+                      (F.col("r") >= recall_gate).alias("passes_recall"))
 
 
 def pick_threshold(scan: DataFrame, split: str = "val", f1_gate: float = 0.35,

@@ -105,7 +105,3 @@ def resolve_champion(registry: DataFrame, name: str, alias: str = "champion") ->
     r = registry.where((F.col("name") == name) & (F.col("alias") == alias))
     return r.agg(F.max_by(F.struct(*registry.columns), "version").alias("r")).select("r.*").where(
         F.col("version").isNotNull())
-
-
-def write_registry(registry: DataFrame, path: str) -> None:
-    registry.write.mode("overwrite").parquet(path)

@@ -9,6 +9,8 @@ from strataflow.functions import columns as B
 from strataflow.operators import features as FE
 from strataflow.plans.catalog import register
 from strataflow.plans.q_sampling import SPLIT_CTES, split_records
+from strataflow.operators import sampling as E
+from strataflow.sources import io as IO
 from strataflow.sources.tables import tables
 
 AGE = "CASE WHEN driver_age = 999 THEN NULL ELSE driver_age END"
@@ -137,10 +139,11 @@ def pipeline_frame(spark, sf_dir):
     """records -> prepare -> split -> fit on train -> transform all rows."""
     cfg = records_feature_config()
     r = tables(spark, sf_dir).records()
-    prepared = FE.prepare(r, cfg)
-    s = split_records(spark, sf_dir).select("row_id", "split")
-    # read by the fit (train rows) and by the transform (all rows): computed once
-    prepared = prepared.join(s, "row_id").persist()
+    split = E.stratified_split(FE.prepare(r, cfg), "label", cfg.key, cfg.test_size, cfg.val_size, seed=cfg.seed)
+    # read by the fit (train rows, several statistics) and by the transform: written once, to the shared folder
+    path = IO.fresh_path(spark, "split")
+    IO.write_splits(split, path)
+    prepared = spark.read.parquet(path)
     model = FE.fit_pipeline(train_of(prepared), cfg)
     return FE.transform_pipeline(prepared, model, keep=["row_id", "split", "label"]), model
 

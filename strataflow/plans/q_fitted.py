@@ -18,6 +18,7 @@ from strataflow.operators import search as N
 from strataflow.operators import selection as G
 from strataflow.plans.catalog import register
 from strataflow.plans.q_features import pipeline_frame
+from strataflow.sources import io as IO
 from strataflow.sources.tables import tables
 
 _CACHE: dict = {}
@@ -27,12 +28,18 @@ def _key(spark, sf_dir, name):
     return (spark.sparkContext.applicationId, sf_dir, name)
 
 
+def _written(spark, df, name):
+    path = IO.fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def feature_table(spark, sf_dir):
-    """records -> F7 features (row_id, split, label, features), persisted once."""
+    """records -> F7 features (row_id, split, label, features), written to the shared folder once a session."""
     k = _key(spark, sf_dir, "features")
     if k not in _CACHE:
         out, model = pipeline_frame(spark, sf_dir)
-        _CACHE[k] = (out.select("row_id", "split", "label", "features").persist(), model)
+        _CACHE[k] = (_written(spark, out.select("row_id", "split", "label", "features"), "features"), model)
     return _CACHE[k]
 
 
@@ -45,12 +52,12 @@ def pca_fit(spark, sf_dir, k=8):
 
 
 def latent_table(spark, sf_dir):
-    """Features projected to the 8-dim PCA latent space, persisted once."""
+    """Features projected to the 8-dim PCA latent space, written to the shared folder once a session."""
     k = _key(spark, sf_dir, "latent")
     if k not in _CACHE:
         feats, _ = feature_table(spark, sf_dir)
         lat = LT.encode_batch(feats, pca_fit(spark, sf_dir).encoder(), "features", out_mu="z", out_log_var=None)
-        _CACHE[k] = lat.select("row_id", "split", "label", F.col("z").alias("features")).persist()
+        _CACHE[k] = _written(spark, lat.select("row_id", "split", "label", F.col("z").alias("features")), "latent")
     return _CACHE[k]
 
 
@@ -145,7 +152,7 @@ def q_score_champion(spark, sf_dir):
     lat = latent_table(spark, sf_dir)
     clf = J.train_focal(lat, 3)
     champ = J.Champion(pca_fit(spark, sf_dir).encoder(), clf, tau=0.1)
-    return champ.score(feats.where(F.col("split") == "test")).select("row_id", "label", "prediction")
+    return champ.score(feats).select("row_id", "label", "prediction")
 
 
 _SEL_COLS = ["x1", "x2", "x3", "hour", "speed_limit", "n_vehicles", "n_harmed"]
@@ -167,15 +174,15 @@ def q_select_vif(spark, sf_dir):
 def q_select_rfe(spark, sf_dir):
     r = tables(spark, sf_dir).records().withColumn(
         "label", F.when(F.col("severity") == "Fatal", 2).when(F.col("severity") == "Injury", 1).otherwise(0))
-    return G.select_rfe(r, _SEL_COLS, "label", k=3, n_trees=20, seed=0)
+    return G.select_rfe(r, _SEL_COLS, "label", k=3, n_trees=100, seed=0)
 
 
 @register("shapley_values")
 def q_shapley_values(spark, sf_dir):
     lat = latent_table(spark, sf_dir)
     m = J.train_focal(lat, 3)
-    rows = lat.where(F.col("split") == "test").orderBy(F.md5(F.col("row_id").cast("string"))).limit(20)
-    bg = lat.where(F.col("split") == "train").orderBy(F.md5(F.col("row_id").cast("string"))).limit(50)
+    rows = lat.where(F.col("split") == "test").orderBy(F.md5(F.col("row_id").cast("string"))).limit(500)
+    bg = lat.where(F.col("split") == "train").orderBy(F.md5(F.col("row_id").cast("string"))).limit(100)
     phi = P.shapley_values(m.predict, rows, bg, [f"z{i}" for i in range(8)], n_perm=5)
     return P.shapley_ranking(phi)
 
@@ -184,12 +191,12 @@ def q_shapley_values(spark, sf_dir):
 def q_local_surrogates(spark, sf_dir):
     lat = latent_table(spark, sf_dir)
     m = J.train_focal(lat, 3)
-    rows = lat.where(F.col("split") == "test").orderBy(F.md5(F.col("row_id").cast("string"))).limit(10)
+    rows = lat.where(F.col("split") == "test").orderBy(F.md5(F.col("row_id").cast("string"))).limit(100)
     return P.local_surrogates(m.predict, rows, [f"z{i}" for i in range(8)], n_samples=100)
 
 
 def _lr_objective(spark, lat):
-    data = lat.persist()
+    data = lat
 
     def objective(params):
         m = J.train_focal(data, 3, gamma=params["focal_gamma"], reg=params["reg_param"], max_iter=20)

@@ -23,6 +23,15 @@ def q_scan_csv(spark, sf_dir):
     return IO.scan_csv(spark, path, "row_id string, weather string, x1 double, driver_age bigint")
 
 
+@register("scan_csv_inferred", "SELECT row_id, weather, x1, driver_age FROM records")
+def q_scan_csv_inferred(spark, sf_dir):
+    """The same file without a schema: types from the present values."""
+    r = tables(spark, sf_dir).records().select("row_id", "weather", "x1", "driver_age")
+    path = IO.fresh_path(spark, "csv")
+    IO.write_csv(r, path)
+    return IO.scan_csv(spark, path)
+
+
 @register("ingest", "SELECT count(*) AS row_count, round(sum(l_quantity), 2) AS sum_qty FROM lineitem")
 def q_ingest(spark, sf_dir):
     out = IO.fresh_path(spark, "ingest")

@@ -9,7 +9,8 @@ from strataflow.functions import rules as K
 from strataflow.operators import imbalance as H
 from strataflow.operators import metrics as L
 from strataflow.plans.catalog import register
-from strataflow.plans.q_sampling import SPLIT_CTES, split_records
+from strataflow.operators import sampling as E
+from strataflow.plans.q_sampling import SPLIT_CTES
 from strataflow.sources.tables import tables
 
 TAU = 0.04
@@ -163,8 +164,8 @@ def q_auc_ovr(spark, sf_dir):
 
 
 def scored_split(spark, sf_dir, rule="argmax"):
-    s = split_records(spark, sf_dir).select("row_id", "split")
-    return scored(spark, sf_dir, rule).join(s, "row_id")
+    # predictions hold the key and the label that the split goes by: no join
+    return E.stratified_split(scored(spark, sf_dir, rule), "label", "row_id", 0.2, 0.2, seed=42)
 
 
 SCORED_SPLIT = f"""{SPLIT_CTES},

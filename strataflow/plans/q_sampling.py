@@ -41,18 +41,9 @@ def labelled(spark, sf_dir):
     return B.encode_label(r, "severity", SEVERITY_CODES)
 
 
-_SPLIT_CACHE: dict = {}
-
-
 def split_records(spark, sf_dir):
-    """The split records table, persisted once per session and data folder:
-    every fit statistic downstream reads it instead of recomputing the split
-    (on a pipeline run it is written once as a table, see ``write_splits``)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SPLIT_CACHE:
-        df = E.stratified_split(labelled(spark, sf_dir), "label", "row_id", 0.2, 0.2, seed=42)
-        _SPLIT_CACHE[key] = df.persist()
-    return _SPLIT_CACHE[key]
+    """The split records: a projection of the scan, so nothing is kept between queries."""
+    return E.stratified_split(labelled(spark, sf_dir), "label", "row_id", 0.2, 0.2, seed=42)
 
 
 @register("stratified_split", f"WITH {SPLIT_CTES}\nSELECT row_id, label, split FROM splits")

@@ -27,32 +27,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, header: bool = True,
-             na_values: list[str] | None = None) -> DataFrame:
-    """A1: CSV with header; a declared schema (preferred) or inference.
-
-    ``nullValue`` accepts one token, so the full NA list is applied as one
-    projection of ``when(col in NA, null)`` on string columns before casting.
+             na_values: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """A1: CSV with header; a declared schema (preferred) or inferred types.
+
+    Quotes inside a quoted field are doubled, and a quoted field may hold line
+    breaks (``multi_line=False`` lets one file be split over tasks where none
+    does).  ``nullValue`` accepts one token, so the full NA list is applied as
+    one projection on string columns before casting.  Inference is one
+    aggregate over the present values: bigint, else double, else string.
     """
     if not _exists(spark, path):
         raise MissingInputError(path)
     na = na_values if na_values is not None else NA_STRINGS
-    if schema is None:
-        return spark.read.csv(path, header=header, inferSchema=True, nullValue="")
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    raw = spark.read.csv(path, header=header, schema=T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields]))
-    cols = []
-    for f in schema.fields:
-        col = F.col(f"`{f.name}`")
-        s = F.when(~F.trim(col).isin(*na), col)
-        cols.append(s.alias(f.name) if isinstance(f.dataType, T.StringType)
-                    else s.try_cast(f.dataType).alias(f.name))  # malformed numbers -> null
-    return raw.select(*cols)
+    reader = spark.read.option("header", header).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    if schema is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    raw = reader.csv(path)
+    present = {n: F.when(~F.trim(F.col(f"`{n}`")).isin(*na), F.col(f"`{n}`")) for n in raw.columns}
+    if schema is None:
+        kinds = ("bigint", "double")
+        fits = raw.agg(*[F.coalesce(F.bool_and(present[n].try_cast(k).isNotNull() | present[n].isNull()), F.lit(False))
+                         .alias(f"{i}_{k}") for i, n in enumerate(raw.columns) for k in kinds]).first()
+        found = [next((k for k in kinds if fits[f"{i}_{k}"]), "string") for i in range(len(raw.columns))]
+        schema = T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(raw.columns, found)])
+    return raw.select(*[present[f.name].alias(f.name) if isinstance(f.dataType, T.StringType)
+                        else present[f.name].try_cast(f.dataType).alias(f.name)  # malformed numbers -> null
+                        for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("escape", '"').csv(path)
 
 
 def ingest(spark: SparkSession, in_path: str, out_path: str, fmt: str = "parquet") -> dict:

@@ -83,7 +83,8 @@ def publish_champion(candidates: DataFrame, name: str, order: str = "start_time"
                      existing: DataFrame | None = None, gate: str = "gates_passed") -> DataFrame:
     """Q1: registry rows for candidates that passed their gates, versions
     continuing after ``existing``, in ``order``; the newest gets the
-    'champion' alias.  Returns the full registry (existing + new)."""
+    'champion' alias.  A ``path`` column (where the artefacts are) goes along.
+    Returns the full registry (existing + new)."""
     base_version = 0
     if existing is not None:
         mx = existing.where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
@@ -94,8 +95,9 @@ def publish_champion(candidates: DataFrame, name: str, order: str = "start_time"
                         (F.lit(base_version) + F.row_number().over(w)).cast("bigint").alias("version"),
                         F.col("run_id").cast("string").alias("run_id"), F.col("experiment").cast("string"),
                         F.lit(None).cast("string").alias("alias"),
-                        F.col(order).cast("timestamp_ntz").alias("published_at"))
-    reg = new if existing is None else existing.unionByName(new)
+                        F.col(order).cast("timestamp_ntz").alias("published_at"),
+                        *([F.col("path")] if "path" in candidates.columns else []))
+    reg = new if existing is None else existing.unionByName(new, allowMissingColumns=True)
     latest = F.max("version").over(Window.partitionBy("name"))
     return reg.withColumn("alias", F.when(F.col("version") == latest, F.lit("champion")))
 

@@ -27,6 +27,7 @@ from strataflow.operators import registry as RG
 from strataflow.operators import sampling as E
 from strataflow.operators import search as N
 from strataflow.operators import stats as M
+from strataflow.operators.champion import save_champion
 from strataflow.sources import io as IO
 
 
@@ -53,6 +54,7 @@ class PipelineConfig:
     mlp_iter: int = 50
     n_search: int = 3
     model_name: str = "severity"
+    registry: str | None = None  # an earlier run's registry table, whose versions go on
 
 
 def run_pipeline(spark: SparkSession, records: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
@@ -94,32 +96,31 @@ def run_pipeline(spark: SparkSession, records: DataFrame, cfg: PipelineConfig |
         raise RuntimeError(f"sample-complexity gate failed: ratio {sc['ratio']}")
     report.append(("featurize", "n_features", str(p)))
 
-    # 4. latent space fitted on the un-augmented train rows
+    # 4. augment the minority among the train features, to the target ratio
+    feats = feats.withColumn(fc.key, F.col(fc.key).cast("string"))
     train = feats.where(F.col("split") == "train")
+    aug = H.augment_minority(train.drop("split"), "label", "features", cfg.minority, cfg.target_ratio, seed=fc.seed,
+                             key=fc.key)
+    every = aug.withColumn("split", F.lit("train")).unionByName(
+        feats.where(F.col("split") != "train").withColumn("is_synthetic", F.lit(False)))
+
+    # 5. latent space fitted on the un-augmented train rows; drift of the test rows against them
     pca = LT.latent_pca(train, "features", cfg.latent_dim)
     enc = pca.encoder()
-    lat = LT.encode_batch(feats, enc, "features", out_mu="z", out_log_var=None)
-    lat = lat.select(fc.key, "split", "label", F.col("z").alias("features"))
-    lat_path = IO.fresh_path(spark, "latent")
-    IO.write_splits(lat, lat_path)
-    lat = spark.read.parquet(lat_path)
+    lat = LT.encode_batch(every, enc, "features", out_mu="z", out_log_var=None)
+    lat = lat.select(fc.key, "split", "label", "is_synthetic", F.col("z").alias("features"))
+    data_path = IO.fresh_path(spark, "train_data")
+    IO.write_splits(lat, data_path)
+    data = spark.read.parquet(data_path)
     report.append(("latent", "explained", f"{float(pca.explained.sum()):.6f}"))
+    real = data.where(~F.col("is_synthetic"))
+    ref, _ = DR.drift_reference(real.where(F.col("split") == "train"), "features", fc.key, n_features=p)
 
-    # 5. drift reference (un-augmented train) and advisory check on test
-    ref, _ = DR.drift_reference(lat.where(F.col("split") == "train"), "features", fc.key, n_features=p)
-    drift = DR.detect_drift(ref, lat.where(F.col("split") == "test"), "features", fc.key).first()
+    # 6. advisory drift check
+    drift = DR.detect_drift(ref, real.where(F.col("split") == "test"), "features", fc.key).first()
     report.append(("drift", "mmd", str(drift["mmd"])))
     report.append(("drift", "is_drifted", str(drift["is_drifted"])))
-
-    # 6. augment the minority in latent train space
-    tr = lat.where(F.col("split") == "train").drop("split")
-    aug = H.augment_latent(tr.withColumn(fc.key, F.col(fc.key).cast("string")), "label", "features",
-                           cfg.minority, cfg.target_ratio, seed=fc.seed)
-    data = aug.drop("is_synthetic").withColumn("split", F.lit("train")).unionByName(
-        lat.where(F.col("split") != "train").withColumn(fc.key, F.col(fc.key).cast("string")))
-    data_path = IO.fresh_path(spark, "train_data")
-    data.write.parquet(data_path)
-    data = spark.read.parquet(data_path)
+    data = data.drop("is_synthetic")
 
     # 7. three families x seeds -> ledger
     k = cfg.latent_dim
@@ -148,7 +149,9 @@ def run_pipeline(spark: SparkSession, records: DataFrame, cfg: PipelineConfig |
     report += [("evaluate", "winner", winner), ("evaluate", "gates_passed", str(ev["gates_passed"]))]
 
     # 9. tune the decision threshold of the winner on validation (random search)
-    scored_val = best[winner].predict(data.where(F.col("split") == "val")).persist()
+    val_path = IO.fresh_path(spark, "scored_val")
+    best[winner].predict(data.where(F.col("split") == "val")).select("split", "label", "probs").write.parquet(val_path)
+    scored_val = spark.read.parquet(val_path)
 
     def objective(params):
         s = scored_val.withColumn("prediction", J.predict_threshold(F.col("probs"), params["threshold"]))
@@ -157,16 +160,26 @@ def run_pipeline(spark: SparkSession, records: DataFrame, cfg: PipelineConfig |
         return {"macro_f1": f1, "class_recall": rec, "fitness": 0.5 * f1 + 0.5 * rec - max(0.0, 0.35 - rec) ** 2 * 4}
 
     trials = N.random_search({"threshold": ("uniform", 0.02, 0.5)}, objective, cfg.n_search, seed=fc.seed)
-    scored_val.unpersist()
     best_trial = max(trials, key=lambda t: (t["fitness"], -t["trial"]))
-    report.append(("tune", "threshold", f"{best_trial['param_threshold']:.4f}"))
+    champion = J.Champion(enc, best[winner], tau=best_trial["param_threshold"])
+    report.append(("tune", "threshold", f"{champion.tau:.4f}"))
+    tuned = J.evaluate_splits(champion.score(feats.where(F.col("split") == "test")), cfg.minority)
+    report.append(("tune", "test_macro_f1", f"{tuned['f1'].get('test', 0.0):.6f}"))
 
-    # 10. register when the gates passed
+    # 10. store and register when the gates passed: the run whose model was tuned, the best by validation F1
     if ev["gates_passed"]:
-        cand = latest.where(F.col("experiment") == winner).orderBy(F.desc("macro_f1")).limit(1).withColumn(
-            "gates_passed", F.lit(True))
-        reg = RG.publish_champion(cand, cfg.model_name)
+        path = IO.fresh_path(spark, "champion")
+        save_champion(spark, champion, path)
+        by_val = F.struct(F.col("metrics")["val_macro_f1"], -F.col("seed"))
+        cand = (ledger.where(F.col("experiment") == winner).groupBy("experiment")
+                .agg(F.max_by("run_id", by_val).alias("run_id"), F.max_by("start_time", by_val).alias("start_time"))
+                .select("*", F.lit(True).alias("gates_passed"), F.lit(path).alias("path")))
+        existing = spark.read.parquet(cfg.registry) if cfg.registry else None
+        registry_path = IO.fresh_path(spark, "registry")
+        RG.publish_champion(cand, cfg.model_name, existing=existing).write.parquet(registry_path)
+        reg = spark.read.parquet(registry_path)
         report.append(("register", "version", str(reg.agg(F.max("version")).first()[0])))
+        report.append(("register", "registry", registry_path))
     else:
         report.append(("register", "version", "none (gates failed)"))
     return spark.createDataFrame(report, "stage string, key string, value string")

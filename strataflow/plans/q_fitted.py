@@ -15,7 +15,9 @@ from strataflow.operators import explain as P
 from strataflow.operators import latent as LT
 from strataflow.operators import models as J
 from strataflow.operators import search as N
+from strataflow.operators import registry as RG
 from strataflow.operators import selection as G
+from strataflow.operators.champion import champion_of, save_champion
 from strataflow.plans.catalog import register
 from strataflow.plans.q_features import pipeline_frame
 from strataflow.sources import io as IO
@@ -151,7 +153,11 @@ def q_score_champion(spark, sf_dir):
     feats, _ = feature_table(spark, sf_dir)
     lat = latent_table(spark, sf_dir)
     clf = J.train_focal(lat, 3)
-    champ = J.Champion(pca_fit(spark, sf_dir).encoder(), clf, tau=0.1)
+    path = IO.fresh_path(spark, "champion")
+    save_champion(spark, J.Champion(pca_fit(spark, sf_dir).encoder(), clf, tau=0.1), path)
+    run = spark.createDataFrame([("focal", "focal-0", True, path)], "experiment string, run_id string, gates_passed boolean, path string")
+    registry = RG.publish_champion(run.withColumn("start_time", F.current_timestamp()), "severity")
+    champ = champion_of(registry, "severity")  # publish -> resolve -> load -> score
     return champ.score(feats).select("row_id", "label", "prediction")
 
 

@@ -79,3 +79,22 @@ def test_trees_and_seed_sweep_pick_by_val(spark):
     assert max(vals) > 0.5
     scored = best.predict(data)
     assert scored.where(F.size("probs") != 3).count() == 0
+
+
+def test_stored_champions_score_alike(spark, tmp_path):
+    from strataflow.operators import models as J
+    from strataflow.operators.champion import load_champion, save_champion
+    from strataflow.operators.latent import latent_pca
+    rng = np.random.default_rng(3)
+    rows = [(str(i), "train" if i % 5 else "val", i % 3, (rng.normal(size=4) + 2 * (i % 3)).tolist()) for i in range(300)]
+    feats = spark.createDataFrame(rows, "row_id string, split string, label int, features array<double>")
+    enc = latent_pca(feats, "features", 2).encoder()
+    from strataflow.operators.latent import encode_batch
+    lat = encode_batch(feats, enc, "features", out_mu="z", out_log_var=None).select(
+        "row_id", "split", "label", F.col("z").alias("features"))
+    for i, clf in enumerate((J.train_focal(lat, 3), J.train_trees(lat, 3, max_iter=2), J.train_gmm_classifier(lat, {0: 1, 1: 1, 2: 1}))):
+        champ = J.Champion(enc, clf, tau=0.2)
+        save_champion(spark, champ, str(tmp_path / f"c{i}"))
+        again = load_champion(spark, str(tmp_path / f"c{i}"))
+        a, b = ({r["row_id"]: r["prediction"] for r in c.score(feats).collect()} for c in (champ, again))
+        assert a == b and len(a) == 300

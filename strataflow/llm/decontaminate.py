@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from strataflow.llm.common import map_batches, utf8
 
 SHINGLE = 3
-BLOCK_BYTES = 16 << 20   # benchmark text in one block
+BLOCK_BYTES = 2 << 20    # benchmark text in one block (some 300,000 windows)
 CHECKED = 1 << 15        # candidates verified at once
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))

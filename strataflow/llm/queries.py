@@ -80,6 +80,33 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
           for side in ("chosen", "rejected")])
 
 
+def _side_sql(side: str, turns: str) -> str:
+    """The completion and its mask from the turns after the common ones."""
+    return f"""array_to_string({turns}, '') AS {side}_completion,
+  array_to_string(list_transform(list_filter(range(1, len({turns}) + 1), lambda i: {side}_rest[i].role = 'assistant'),
+    lambda i: CAST(coalesce(list_sum(list_transform({turns}[1:i - 1], lambda t: length(t))), 0) + 22 AS BIGINT) || ':' ||
+         CAST(coalesce(list_sum(list_transform({turns}[1:i], lambda t: length(t))), 0) - 1 AS BIGINT)), ',') AS {side}_mask"""
+
+
+# 22: the letters of the opening mark, the role and the line break before an assistant's words
+OP6_SQL = f"""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+c AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn, role, text) AS turns FROM t GROUP BY 1),
+k AS (SELECT *, row_number() OVER w AS n, lead(conv_id) OVER w AS other_id, lead(turns) OVER w AS other
+      FROM c WINDOW w AS (PARTITION BY turns[1], conv_id // 1024 ORDER BY conv_id)),
+p AS (SELECT *, other_id IS NOT NULL AND length(other[-1].text) > length(turns[-1].text) AS swap FROM k WHERE n % 2 = 1),
+q AS (SELECT CASE WHEN swap THEN other_id ELSE conv_id END AS chosen_id, CASE WHEN swap THEN conv_id ELSE other_id END AS rejected_id,
+             CASE WHEN swap THEN other ELSE turns END AS a, coalesce(CASE WHEN swap THEN turns ELSE other END, []) AS b FROM p),
+m AS (SELECT *, CAST(coalesce(list_min(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] IS DISTINCT FROM b[i])) - 1,
+                              least(len(a), len(b))) AS INTEGER) AS n_common FROM q),
+r AS (SELECT *, a[n_common + 1:] AS chosen_rest, b[n_common + 1:] AS rejected_rest FROM m),
+s AS (SELECT *, {", ".join(f"list_transform({x}, lambda t: '<|im_start|>' || t.role || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10)) AS {y}"
+                           for x, y in (("a[1:n_common]", "same"), ("chosen_rest", "chosen_said"), ("rejected_rest", "rejected_said")))} FROM r)
+SELECT chosen_id, rejected_id, n_common, array_to_string(same, '') AS prompt, {_side_sql("chosen", "chosen_said")},
+  {_side_sql("rejected", "rejected_said")} FROM s
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words=3, max_bits=2)
@@ -110,4 +137,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op6_chat": OP6_SQL}

@@ -27,6 +27,23 @@ def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+OP2_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS MATERIALIZED (SELECT r, p, md5_number(substr(x, 2 * p + 1, 400)) AS h
+      FROM d, unnest(range(0, greatest(len(x) // 2 - 199, 0))) AS t(p)),
+hits AS (SELECT r, p FROM w SEMI JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+starts AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM hits),
+runs AS (SELECT r, min(p) AS a, max(p) + 200 AS b
+         FROM (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS run FROM starts) GROUP BY r, run),
+gone AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b
+         FROM runs GROUP BY r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN a IS NULL THEN x ELSE array_to_string(list_transform(range(0, len(a) + 1), lambda i:
+    substr(x, 2 * coalesce(b[i], 0) + 1, 2 * (coalesce(a[i + 1], len(x) // 2) - coalesce(b[i], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+"""
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), drop=("text",))
@@ -137,4 +154,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL, "op6_chat": OP6_SQL}
+    return {"op2_passages": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_chat": OP6_SQL}

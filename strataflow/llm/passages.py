@@ -35,7 +35,8 @@ GRAM = 40
 BLOCK = 1 << 20   # bytes hashed at once
 SHARD = 2 << 20   # bytes of segments sorted by one call, on average
 STACK = 1 << 20   # letters in one stack of suffix arrays
-CROWD = 32        # different segments under one anchor that a suffix array takes
+ALONE = 4 << 10   # bytes from which an anchor's segments are sorted by themselves
+CROWD = 2048      # different segments under one anchor that a suffix array takes
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -178,23 +179,58 @@ def _bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
 
-def _sorted_shard(length: int):
+def _hopeful(groups: list[list[bytes]], length: int, gram: int) -> list[list[tuple[int, int, bytes]]]:
+    """For each group the parts ``(piece, first window, bytes)`` whose windows can repeat in it: those of whose
+    ``gram``-byte strings every one occurs again in the group's pieces."""
+    pieces = [p for g in groups for p in g]
+    sizes = np.array([len(p) for p in pieces])
+    ends = np.cumsum(sizes)
+    hashes = _grams(np.frombuffer(b"".join(pieces), dtype=np.uint8), gram)
+    owner = np.repeat(np.arange(len(groups)), [sum(map(len, g)) for g in groups])[:len(hashes)]
+    with np.errstate(over="ignore"):
+        keys = _mix(hashes + owner.astype(np.uint64) * _B2)
+    piece = np.repeat(np.arange(len(pieces)), sizes)[:len(hashes)]
+    inside = np.flatnonzero(np.arange(len(hashes)) + gram <= ends[piece])
+    order = inside[np.argsort(keys[inside], kind="stable")]
+    equal = keys[order[1:]] == keys[order[:-1]]
+    again = np.zeros(len(hashes), dtype=bool)
+    again[order[1:][equal]] = again[order[:-1][equal]] = True
+    alone = np.concatenate([[0], np.cumsum(~again)])
+    width = length - gram + 1
+    start = np.arange(len(hashes) - width + 1)
+    good = (start + length <= ends[piece[start]]) & (alone[start + width] == alone[start])
+    turn = np.flatnonzero(np.diff(np.concatenate([[False], good, [False]]).astype(np.int8)))
+    # a run of good windows lies within one piece, for the window before the next piece's first one is not good
+    number = np.cumsum([0, *map(len, groups)])
+    out: list[list[tuple[int, int, bytes]]] = [[] for _ in groups]
+    for a, b in zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True):
+        p = int(piece[a])
+        g, first = int(owner[a]), int(a - ends[p] + sizes[p])
+        out[g].append((p - int(number[g]), first, pieces[p][first:first + b - a + length - 1]))
+    return out
+
+
+def _sorted_shard(length: int, gram: int):
     """Suffix arrays of a task's anchors, stacked by similar length."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         groups = [g for _, g in pdf.sort_values(["h", "s", "n"]).groupby("h", sort=True)]
-        groups.sort(key=lambda g: g["n"].sum() + length * len(g))
+        hopeful = _hopeful([g["bytes"].tolist() for g in groups], length, gram)
+        todo = sorted(((sum(len(b) + 1 for _, _, b in parts), i) for i, parts in enumerate(hopeful) if parts))
         out = []
         lo = 0
-        while lo < len(groups):
+        while lo < len(todo):
             hi = lo
-            while hi < len(groups):
-                size = int(groups[hi]["n"].sum()) + length * len(groups[hi])
-                if hi > lo and size * (hi - lo + 1) > STACK:
-                    break
+            while hi < len(todo) and (hi == lo or todo[hi][0] < ALONE and todo[hi][0] * (hi - lo + 1) <= STACK):
                 hi += 1
-            stack = groups[lo:hi]
-            for g, flags in zip(stack, repeated_starts([g["bytes"].tolist() for g in stack], length), strict=True):
-                out += [(h, s, n, _bits(f)) for h, s, n, f in zip(g["h"], g["s"], g["n"], flags, strict=True) if f.any()]
+            stack = [i for _, i in todo[lo:hi]]
+            found = repeated_starts([[b for _, _, b in hopeful[i]] for i in stack], length)
+            for i, flags in zip(stack, found, strict=True):
+                group = groups[i]
+                whole = [np.zeros(n, dtype=bool) for n in group["n"]]
+                for (piece, first, _), f in zip(hopeful[i], flags, strict=True):
+                    whole[piece][first:first + len(f)] = f
+                out += [(h, s, n, _bits(f)) for h, s, n, f in zip(group["h"], group["s"], group["n"], whole, strict=True)
+                        if f.any()]
             lo = hi
         return pd.DataFrame(out, columns=["h", "s", "n", "bits"])
 
@@ -220,12 +256,16 @@ def _removed(size: int, hits: list[dict], length: int) -> list[tuple[int, int]]:
     """Maximal removed runs of a document of ``size`` bytes."""
     edge = np.zeros(size + 1, dtype=np.int64)
     for hit in hits:
-        n = hit["n"]
-        on = np.ones(n, dtype=bool) if hit["bits"] is None else np.unpackbits(
-            np.frombuffer(hit["bits"], dtype=np.uint8), count=n).astype(bool)
-        first = (np.array(hit["at"], dtype=np.int64)[:, None] + np.flatnonzero(on)).ravel()
-        np.add.at(edge, first, 1)
-        np.add.at(edge, first + length, -1)
+        if hit["bits"] is None:
+            runs = [(0, hit["n"])]
+        else:
+            on = np.unpackbits(np.frombuffer(hit["bits"], dtype=np.uint8), count=hit["n"])
+            turn = np.flatnonzero(np.diff(np.concatenate([[0], on, [0]]).astype(np.int8))).tolist()
+            runs = list(zip(turn[::2], turn[1::2], strict=True))
+        for at in hit["at"]:
+            for first, last in runs:
+                edge[at + first] += 1
+                edge[at + last + length - 1] -= 1
     gone = np.cumsum(edge[:-1]) > 0
     turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
     return list(zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True))
@@ -297,7 +337,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     pieces = stage(scanned.select("row", "blob").join(wanted, "row").select("blob", "wanted").mapInArrow(
         _cut(length), "h long, s long, n int, place int, bytes binary"), "pieces")
     sorted_ = pieces.where("place >= 0").groupBy("place").applyInPandas(
-        _sorted_shard(length), "h long, s long, n int, bits binary")
+        _sorted_shard(length, gram), "h long, s long, n int, bits binary")
     whole = distinct.where("times > 1").select("h", "s", "n", F.lit(None).cast("binary").alias("bits"))
     windows = stage(pieces.where("place < 0").select("h", "s", "n", "bytes").mapInArrow(
         _windows(length), "h long, s long, n int, i int, digest binary"), "windows")

@@ -1,8 +1,8 @@
-"""Suffix arrays of many small shards at once, by induced sorting.
+"""Suffix arrays by induced sorting: of many small shards at once, or of one large shard.
 
 A stack holds the texts of ``G`` shards of equal length ``M`` as a matrix ``text[place, shard]`` of numbers; each
 column ends in a 0 that occurs nowhere else in it. The scans of induced sorting go through the places one by
-one, for all shards together.
+one, for all shards together. A large shard, with few of its size to stack it with, is sorted by itself.
 """
 
 from __future__ import annotations
@@ -144,6 +144,88 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int) -> tuple[np.n
     return out.reshape(size, width), before
 
 
+def suffix_array(text: list[int]) -> list[int]:
+    """The suffix array of one text of numbers that ends in a 0 that occurs nowhere else in it."""
+    n = len(text)
+    small = bytearray(n)
+    small[-1] = 1
+    for i in range(n - 2, -1, -1):
+        small[i] = text[i] < text[i + 1] or (text[i] == text[i + 1] and small[i + 1])
+    left = [i for i in range(1, n) if small[i] and not small[i - 1]]
+    ends = [0] * (max(text) + 1)
+    for c in text:
+        ends[c] += 1
+    total = 0
+    for c, many in enumerate(ends):
+        total += many
+        ends[c] = total
+
+    def induced(seeds: list[int]) -> list[int]:
+        order = [-1] * n
+        tail = ends[:]
+        for i in reversed(seeds):
+            tail[text[i]] -= 1
+            order[tail[text[i]]] = i
+        head = [0, *ends[:-1]]
+        for r in range(n):  # larger suffixes, from the left
+            i = order[r] - 1
+            if i >= 0 and not small[i]:
+                c = text[i]
+                order[head[c]] = i
+                head[c] += 1
+        tail = ends[:]
+        for r in range(n - 1, -1, -1):  # smaller ones, from the right
+            i = order[r] - 1
+            if i >= 0 and small[i]:
+                c = text[i]
+                tail[c] -= 1
+                order[tail[c]] = i
+        return order
+
+    if len(left) > 1:
+        until = dict(zip(left, [*left[1:], n - 1], strict=True))
+        name, names, last = -1, {}, None
+        for i in induced(left):
+            if i in until:
+                # equal substrings have equal letters and so equal kinds, up to the next leftmost one
+                now = tuple(text[i:until[i] + 1])
+                name += now != last
+                names[i], last = name, now
+        if name + 1 < len(left):
+            left = [left[j] for j in suffix_array([names[i] for i in left])]
+        else:
+            left.sort(key=names.__getitem__)
+    return induced(left)
+
+
+def _repeated_in_one(pieces: list[bytes], length: int) -> list[np.ndarray]:
+    """As ``repeated_starts``, for one shard."""
+    text: list[int] = []
+    for k, piece in enumerate(pieces):
+        text.extend(b + 1 + len(pieces) for b in piece)
+        text.append(1 + k)
+    text.append(0)
+    order = suffix_array(text)
+    before = [-1] * len(text)
+    for a, b in zip(order, order[1:], strict=False):
+        before[b] = a
+    again, held = np.zeros(len(text), dtype=bool), 0
+    for i, j in enumerate(before):  # in text order, a place keeps all but one letter of its predecessor's prefix
+        if j < 0:
+            held = 0
+            continue
+        while held < length and text[i + held] == text[j + held]:
+            held += 1
+        if held >= length:
+            again[i] = again[j] = True
+        held = max(held - 1, 0)
+    found, at = [], 0
+    for piece in pieces:
+        found.append(again[at:at + max(0, len(piece) - length + 1)])
+        at += len(piece) + 1
+    return found
+
+
 def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndarray]]:
     """For each piece of each shard: which of its ``length``-byte strings occur at another place in the shard's pieces.
 
@@ -151,6 +233,8 @@ def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndar
     """
     if not shards:
         return []
+    if len(shards) == 1:
+        return [_repeated_in_one(shards[0], length)]
     marks = max(map(len, shards))
     size = max(sum(map(len, pieces)) + len(pieces) for pieces in shards) + 1
     text = np.ones((size, len(shards)), dtype=np.int64)

@@ -30,11 +30,12 @@ def test_suffix_arrays_and_repeats(seed):
     order = suffix.suffix_arrays(text.astype(np.int64))
     for g in range(text.shape[1]):
         s = text[:, g].tolist()
-        assert order[:, g].tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+        assert order[:, g].tolist() == sorted(range(len(s)), key=lambda i: s[i:]) == suffix.suffix_array(s)
     length = int(rng.integers(2, 7))
     shards = [[bytes(rng.integers(97, 97 + rng.integers(1, 4), size=rng.integers(0, 40)).tolist())
                for _ in range(rng.integers(1, 4))] for _ in range(rng.integers(1, 6))]
-    for pieces, found in zip(shards, suffix.repeated_starts(shards, length), strict=True):
+    alone = [suffix.repeated_starts([pieces], length)[0] for pieces in shards]
+    for pieces, found in [*zip(shards, suffix.repeated_starts(shards, length), strict=True), *zip(shards, alone, strict=True)]:
         seen = Counter(p[i:i + length] for p in pieces for i in range(len(p) - length + 1))
         assert [f.tolist() for f in found] == [
             [seen[p[i:i + length]] > 1 for i in range(len(p) - length + 1)] for p in pieces]
@@ -55,6 +56,7 @@ def corpus(seed):
 def test_against_brute_force(spark, monkeypatch, seed, crowd, block):
     texts = corpus(seed)
     monkeypatch.setattr(passages, "BLOCK", block)  # documents longer than a block are hashed in slices
+    monkeypatch.setattr(passages, "ALONE", 120)
     df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     done = passages.with_digest(passages.remove_repeats(df, length=30, gram=8, with_text=False, crowd=crowd)).collect()
     want = plain(texts, 30)

@@ -74,15 +74,19 @@ def links(prints: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
     distinct = stage(prints.select("fingerprint").where("fingerprint is not null").distinct(), "prints")
     if max_bits == 0:
         return distinct.selectExpr("fingerprint a", "fingerprint b").where("false")
+    # a fingerprint makes 64 rows: the few files that hold them would be too few tasks
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.repartition(tasks, "fingerprint")
     # halves of 32 bits; the key holds the masked bit's place (which names the half) and the rest of the half
     half = "(shiftrightunsigned(fingerprint, 32 * int(p div 32)) & 4294967295L)"
-    variants = (distinct.select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("p"))
+    variants = (spread.select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("p"))
                 .selectExpr("fingerprint", f"(shiftleft(bigint(p), 32) | ({half} & ~shiftleft(1L, p % 32))) as k"))
     keys = stage(variants.groupBy("k").agg(F.count("*").alias("n"), F.min("fingerprint").alias("a"),
                                            F.max("fingerprint").alias("b")).where("n > 1"), "keys")
     near = f"bit_count(a ^ b) <= {max_bits}"
     two = keys.where("n = 2").select("a", "b").where(near)
-    met = stage(variants.join(keys.where("n > 2").select("k", "n"), "k"), "met")
+    # shuffled at any size: as a broadcast the keys would do for small inputs alone
+    met = stage(variants.hint("merge").join(keys.where("n > 2").select("k", "n"), "k"), "met")
     few = met.where(F.col("n") <= crowd)
     # a pair equal in the whole half meets under all 32 of its variants: taken under the first alone
     once = ("(k div 4294967296) % 32 = 0 or "

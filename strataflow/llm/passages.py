@@ -213,25 +213,44 @@ def _hopeful(groups: list[list[bytes]], length: int, gram: int) -> list[list[tup
 def _sorted_shard(length: int, gram: int):
     """Suffix arrays of a task's anchors, stacked by similar length."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        groups = [g for _, g in pdf.sort_values(["h", "s", "n"]).groupby("h", sort=True)]
-        hopeful = _hopeful([g["bytes"].tolist() for g in groups], length, gram)
-        todo = sorted(((sum(len(b) + 1 for _, _, b in parts), i) for i, parts in enumerate(hopeful) if parts))
-        out = []
+        pdf = pdf.sort_values(["h", "s", "n"])
+        # plain lists: a pandas object for each of very many small groups would cost more than sorting them
+        h, s, n, text = (pdf[c].tolist() for c in ("h", "s", "n", "bytes"))
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(pdf["h"].to_numpy()) != 0, [True]])).tolist()
+        groups = [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        hopeful = _hopeful(groups, length, gram)
+        # equal parts are one: repeated throughout, and sorted, if at all, once against the others
+        parts: list[dict[bytes, list[tuple[int, int]]]] = []
+        for own in hopeful:
+            parts.append({})
+            for piece, first, part in own:
+                parts[-1].setdefault(part, []).append((piece, first))
+        whole: dict[int, np.ndarray] = {}
+
+        def mark(group: int, part: bytes, flags) -> None:
+            for piece, first in parts[group][part]:
+                k = edges[group] + piece
+                whole.setdefault(k, np.zeros(n[k], dtype=bool))[first:first + len(part) - length + 1] |= flags
+
+        todo = []
+        for i, own in enumerate(parts):
+            for part, places in own.items():
+                if len(places) > 1:
+                    mark(i, part, True)
+            if len(own) > 1 or len(own) == 1 and len(places) == 1:
+                todo.append((sum(len(part) + 1 for part in own), i))
+        todo.sort()
         lo = 0
         while lo < len(todo):
             hi = lo
             while hi < len(todo) and (hi == lo or todo[hi][0] < ALONE and todo[hi][0] * (hi - lo + 1) <= STACK):
                 hi += 1
             stack = [i for _, i in todo[lo:hi]]
-            found = repeated_starts([[b for _, _, b in hopeful[i]] for i in stack], length)
-            for i, flags in zip(stack, found, strict=True):
-                group = groups[i]
-                whole = [np.zeros(n, dtype=bool) for n in group["n"]]
-                for (piece, first, _), f in zip(hopeful[i], flags, strict=True):
-                    whole[piece][first:first + len(f)] = f
-                out += [(h, s, n, _bits(f)) for h, s, n, f in zip(group["h"], group["s"], group["n"], whole, strict=True)
-                        if f.any()]
+            for i, found in zip(stack, repeated_starts([list(parts[i]) for i in stack], length), strict=True):
+                for part, flags in zip(parts[i], found, strict=True):
+                    mark(i, part, flags)
             lo = hi
+        out = [(h[k], s[k], n[k], _bits(f)) for k, f in whole.items() if f.any()]
         return pd.DataFrame(out, columns=["h", "s", "n", "bits"])
 
     return run

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.llm.common import map_batches
+from strataflow.session import materialize
 
 TURNS = "array<struct<role:string,text:string>>"
 # The turn template and the roles whose text is trained on.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 TRAINED = ("assistant",)
-PAIRED_WITHIN = 1024  # conversation ids in a block of partners
+BLOCK_BITS = 10  # ranks are counted over blocks of 2 ** BLOCK_BITS ids; the result does not depend on it
 
 _MASK = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 _FIELDS = [T.StructField("n_common", T.IntegerType()), T.StructField("prompt", T.StringType()),
@@ -80,19 +81,51 @@ def conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tu
         x["role"].alias("role"), x["text"].alias("text"))).cast(TURNS).alias("turns")).union(alone)
 
 
+def rank_in_opening(convs: DataFrame) -> DataFrame:
+    """``convs`` with ``opening`` (hash of the first turn) and ``rank``, the exact ``row_number()`` by id in the opening.
+
+    Conversations with a null id come last. Rows are counted by opening and block of ``2 ** BLOCK_BITS`` ids, blocks by
+    block of blocks, and so on up to the whole range; a block's offset is its parent's and the counts before it inside
+    its parent. So no window holds more than ``2 ** BLOCK_BITS`` rows, however frequent an opening is.
+    """
+    keyed = materialize(convs.select(
+        "conv_id", "turns", F.xxhash64(F.get("turns", F.lit(0))).alias("opening"), F.col("conv_id").isNull().alias("last"),
+        F.coalesce(F.col("conv_id").cast("long"), F.monotonically_increasing_id()).alias("at"))
+        .withColumn("block", F.shiftright("at", BLOCK_BITS)))
+    span = keyed.agg(F.greatest(F.max("block"), F.lit(0)).alias("hi"), F.least(F.min("block"), F.lit(0)).alias("lo")).first()
+    levels = [keyed.groupBy("opening", "last", "block").agg(F.count("*").alias("n"))]
+    for _ in range(-(-max((span["hi"] or 0).bit_length(), (~(span["lo"] or 0)).bit_length()) // BLOCK_BITS)):
+        levels.append(levels[-1].groupBy("opening", "last", F.shiftright("block", BLOCK_BITS).alias("block"))
+                      .agg(F.sum("n").alias("n")))
+
+    def before(w):
+        return F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # the top blocks are 0 and, of negative ids, -1: four rows of an opening at most
+    offsets = levels[-1].select("opening", "last", "block", before(
+        Window.partitionBy("opening").orderBy("last", "block")).alias("offset"))
+    for level in reversed(levels[:-1]):
+        inside = level.withColumn("parent", F.shiftright("block", BLOCK_BITS))
+        inside = inside.withColumn("before", before(Window.partitionBy("opening", "last", "parent").orderBy("block")))
+        offsets = inside.join(offsets.withColumnRenamed("block", "parent"), ["opening", "last", "parent"]).select(
+            "opening", "last", "block", (F.col("offset") + F.col("before")).alias("offset"))
+    order = Window.partitionBy("opening", "last", "block").orderBy("at")
+    return keyed.join(offsets, ["opening", "last", "block"]).select(
+        "conv_id", "turns", "opening", (F.col("offset") + F.row_number().over(order)).alias("rank"))
+
+
 def pair_by_opening(convs: DataFrame) -> DataFrame:
-    """``chosen_id, chosen, rejected_id, rejected``: neighbours (by id) among conversations with the same first turn,
+    """``chosen_id, chosen, rejected_id, rejected``: neighbours (by id) among all conversations with the same first turn,
     each in one pair; the one whose last turn is longer is chosen, of equals the first.
 
-    Partners come from one block of ``PAIRED_WITHIN`` consecutive ids, so that a very frequent opening is split
-    into bounded groups. A conversation without a partner is chosen, with a null rejected one.
+    Rank 2k - 1 of an opening goes with rank 2k, however far their ids lie apart, so at most one conversation of an
+    opening has no partner. It is chosen, with a null rejected one. Null ids rank last.
     """
-    keyed = convs.withColumn("opening", F.xxhash64(F.get("turns", F.lit(0)))).withColumn(
-        "block", F.coalesce(F.floor(F.col("conv_id") / PAIRED_WITHIN), F.lit(-1) - F.pmod(F.xxhash64("turns"), F.lit(1 << 20))))
-    order = Window.partitionBy("opening", "block").orderBy("conv_id")
+    ranked = rank_in_opening(convs).withColumn("pair", F.shiftright(F.col("rank") - 1, 1))
+    order = Window.partitionBy("opening", "pair").orderBy("rank")
     me = F.struct("conv_id", "turns")
-    paired = (keyed.select("*", F.row_number().over(order).alias("at"), F.lead(me).over(order).alias("other"))
-              .where("at % 2 = 1").select(me.alias("one"), "other"))
+    paired = (ranked.select("*", F.lead(me).over(order).alias("other"))
+              .where("rank % 2 = 1").select(me.alias("one"), "other"))
 
     def last(c):
         return F.coalesce(F.length(F.element_at(F.col(f"{c}.turns"), -1)["text"]), F.lit(0))

@@ -40,3 +40,16 @@ def test_conversations_and_pairs(spark):
     both = [r for r in pairs if r.rejected_id is not None]
     assert len(both) == 1025 and all(r.chosen_id == r.rejected_id + 1 for r in both)
     assert chat.pair_by_opening(chat.conversations(table(spark, []))).count() == 0
+
+
+def test_partners_across_the_whole_opening(spark):
+    ids = [-(1 << 62), -5000, -1, 0, 1023, 1024, 5000, 5001, 10 ** 12, (1 << 62) + 7, *range(20_000, 40_000, 7), (1 << 62) + 9]  # 2,869, odd
+    rows = [(c, 0, "user", "open") for c in ids] + [(None, t, "user", "open") for t in range(2)] + [(3, 0, "user", "other")]
+    convs = chat.conversations(table(spark, rows)).repartition(5)
+    got = {r.rank: r.conv_id for r in chat.rank_in_opening(convs).where("turns[0].text = 'open'").collect()}
+    assert [got[i + 1] for i in range(len(got))] == [*sorted(ids), None, None]
+    pairs = [r for r in chat.pair_by_opening(convs).collect() if r.chosen[0].text == "open"]
+    both = {(r.chosen_id, r.rejected_id) for r in pairs if r.rejected is not None}
+    ordered = sorted(ids)
+    assert len(pairs) == len(ids) // 2 + 2 and len([r for r in pairs if r.rejected is None]) == 1  # ids and two without
+    assert both == set(zip(ordered[0:-1:2], ordered[1::2], strict=True)) | {(ordered[-1], None)}

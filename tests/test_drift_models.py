@@ -41,6 +41,21 @@ def test_mmd_matches_numpy_and_detects_shift(spark):
     assert DR.detect_drift(x, _vecs(spark, new + 10, 1000), "z", "k").first()["is_drifted"]
 
 
+def test_all_pairs_count_above_one_block(spark):
+    rng = np.random.default_rng(4)
+    ref, new = rng.normal(size=(23, 2)), rng.normal(0.4, size=(310, 2))
+    x, y = _vecs(spark, ref), _vecs(spark, new, 1000)
+    d = np.sqrt(((new[:, None] - new[None]) ** 2).sum(-1))[np.triu_indices(len(new), 1)]
+    assert DR.median_bandwidth(y, "z", "k", block=16, n_bins=64) == pytest.approx(np.median(d) / math.sqrt(2), rel=1e-9)
+
+    def k(a, b):
+        return np.exp(-((a[:, None] - b[None]) ** 2).sum(-1) / 2)
+    kxx, kyy = k(ref, ref), k(new, new)
+    mmd2 = (kxx.sum() - 23) / (23 * 22) + (kyy.sum() - 310) / (310 * 309) - 2 * k(ref, new).mean()
+    for block in (16, 4096):  # 2 and 20 blocks, one block
+        assert DR.mmd_rbf(x, y, "z", "k", 1.0, block) == pytest.approx(math.sqrt(mmd2), abs=1e-9)
+
+
 def test_ks_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     a, b = rng.normal(size=80).round(1), rng.normal(0.5, size=60).round(1)

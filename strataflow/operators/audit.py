@@ -8,11 +8,12 @@ Only dimension-sized results (means, bounds) go to the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import safe_corr
 from strataflow.functions.ranking import exact_quantiles
+from strataflow.operators.profile import pairwise_correlation
 
 
 def _r(x, nd=6):
@@ -194,19 +195,16 @@ def mape_report(df: DataFrame, x: str, x_hat: str, floor: float = 0.01, reliable
 def latent_feature_corr(df: DataFrame, latent: list[Column | str], inputs: list[str], min_abs: float = 0.2,
                         latent_names: list[str] | None = None) -> DataFrame:
     """Correlation of every latent dim with every input feature in ONE
-    aggregate; constant columns give 0; per latent dim the best input; only
-    |r| > min_abs are kept."""
+    pass (masked X'X); constant columns give 0; inputs ranked per latent dim;
+    only |r| > min_abs are kept."""
     names = latent_names or [f"z{i}" for i in range(len(latent))]
     lat = [F.col(x) if isinstance(x, str) else x for x in latent]
-    exprs = []
-    for n, lc in zip(names, lat):
-        for f in inputs:
-            exprs.append(F.coalesce(safe_corr(lc, F.col(f)), F.lit(0.0))
-                         .alias(f"{n}\u0001{f}"))
-    wide = df.agg(*exprs)
-    t = wide.unpivot([], [f"{n}\u0001{f}" for n in names for f in inputs], "pair", "corr")
-    t = t.select(F.split("pair", "\u0001")[0].alias("latent"), F.split("pair", "\u0001")[1].alias("feature"),
-                 F.when(F.isnan("corr"), 0.0).otherwise(F.col("corr")).alias("corr"))
+    cols = [f"_l{i}" for i in range(len(lat))] + [f"_f{i}" for i in range(len(inputs))]
+    data = df.select(*[x.alias(a) for x, a in zip([*lat, *[F.col(f) for f in inputs]], cols)])
+    r = pairwise_correlation(data, cols)
+    rows = [(n, f, 0.0 if np.isnan(v := r[i, len(lat) + j]) else float(v))
+            for i, n in enumerate(names) for j, f in enumerate(inputs)]
+    t = df.sparkSession.createDataFrame(rows, "latent string, feature string, corr double")
     w = Window.partitionBy("latent").orderBy(F.desc(F.abs("corr")), "feature")  # per latent dim: p inputs
     t = t.withColumn("rank", F.row_number().over(w).cast("bigint"))
     return t.where(F.abs("corr") > min_abs).select("latent", "feature", _r(F.col("corr")).alias("corr"), "rank")

@@ -110,7 +110,10 @@ g AS (SELECT *, CASE WHEN CASE WHEN higher_is_better THEN value >= good ELSE val
 SELECT *, CASE max(CASE grade WHEN 'problem' THEN 2 WHEN 'borderline' THEN 1 ELSE 0 END) OVER ()
             WHEN 2 THEN 'problem' WHEN 1 THEN 'borderline' ELSE 'healthy' END AS verdict FROM g""")
 def q_grade_audit(spark, sf_dir):
-    p = post(spark, sf_dir)
+    return AU.grade_audit(_metrics(post(spark, sf_dir)))
+
+
+def _metrics(p):
     g = F.col("label").cast("string")
     act = AU.posterior_variance(p.where(F.col("label") == 2)).select(
         F.lit("active_dims").alias("metric"), F.col("n_active").cast("double").alias("value"),
@@ -122,8 +125,42 @@ def q_grade_audit(spark, sf_dir):
         F.lit("separated_dims"), F.col("v"), F.lit(3.0), F.lit(1.0), F.lit(True))
     ov = AU.box_overlap(p, "mu", g, "2", "0").select(
         F.lit("box_overlap"), F.col("overlap"), F.lit(0.1), F.lit(0.3), F.lit(False))
-    metrics = act.union(cr).union(sp).union(ov)
-    return AU.grade_audit(metrics)
+    return act.union(cr).union(sp).union(ov)
+
+
+# all six metrics of the audit; class 1 stands in for the synthetic rows, as in centroid_ratio
+@register("grade_audit_full", f"""WITH {POST}, {CENT}, {SEP}, {BOX},
+act AS (SELECT count(*) FILTER (WHERE var < 0.5) AS n FROM (SELECT dim, avg(exp(lv)) AS var FROM pt WHERE label = 2
+        GROUP BY 1)),
+kls AS (SELECT row_id, label, sum(-0.5 * (1 + lv - mu * mu - exp(lv))) AS kl FROM pt GROUP BY 1, 2),
+klm AS (SELECT avg(kl) FILTER (WHERE label = 2) > avg(kl) FILTER (WHERE label = 0) AS above FROM kls),
+kn AS (SELECT dim, count(*) FILTER (WHERE label = 2) AS n2, count(*) FILTER (WHERE label = 1) AS n1 FROM pt GROUP BY 1),
+kv AS (SELECT dim, mu, count(*) FILTER (WHERE label = 2) AS c2, count(*) FILTER (WHERE label = 1) AS c1
+       FROM pt WHERE label IN (1, 2) GROUP BY 1, 2),
+kc AS (SELECT dim, sum(c2) OVER w AS c2, sum(c1) OVER w AS c1 FROM kv WINDOW w AS (PARTITION BY dim ORDER BY mu)),
+ks AS (SELECT dim, round(max(abs(c2 / n2 - c1 / n1)), 6) AS d FROM kc JOIN kn USING (dim) GROUP BY 1),
+mt AS (SELECT 'active_dims' AS metric, CAST((SELECT n FROM act) AS DOUBLE) AS value, CAST(3.0 AS DOUBLE) AS good,
+              CAST(1.0 AS DOUBLE) AS ok,
+              true AS higher_is_better
+       UNION ALL SELECT 'centroid_ratio', (SELECT round(da / db, 6) FROM cd), 0.5, 1.0, false
+       UNION ALL SELECT 'separated_dims', CAST((SELECT count(*) FROM sep WHERE separation > 1) AS DOUBLE), 3.0, 1.0, true
+       UNION ALL SELECT 'box_overlap', (SELECT overlap FROM ov), 0.1, 0.3, false
+       UNION ALL SELECT 'minority_kl_above', (SELECT CAST(above AS DOUBLE) FROM klm), 1.0, 0.0, true
+       UNION ALL SELECT 'ks_aligned_share', (SELECT round(count(*) FILTER (WHERE d < 0.1) / count(*), 6) FROM ks), 0.5, 0.25, true),
+g AS (SELECT *, CASE WHEN CASE WHEN higher_is_better THEN value >= good ELSE value <= good END THEN 'healthy'
+                     WHEN CASE WHEN higher_is_better THEN value >= ok ELSE value <= ok END THEN 'borderline'
+                     ELSE 'problem' END AS grade FROM mt)
+SELECT *, CASE max(CASE grade WHEN 'problem' THEN 2 WHEN 'borderline' THEN 1 ELSE 0 END) OVER ()
+            WHEN 2 THEN 'problem' WHEN 1 THEN 'borderline' ELSE 'healthy' END AS verdict FROM g""")
+def q_grade_audit_full(spark, sf_dir):
+    p = post(spark, sf_dir)
+    term = AU.asum(AU.kl_terms(F.col("mu"), F.col("log_var")))
+    kl = p.agg(F.avg(F.when(F.col("label") == 2, term)).alias("a"), F.avg(F.when(F.col("label") == 0, term)).alias("b")).select(
+        F.lit("minority_kl_above"), (F.col("a") > F.col("b")).cast("double"), F.lit(1.0), F.lit(0.0), F.lit(True))
+    d = DR.ks_two_sample(*[DR.array_tall(p.where(F.col("label") == i), "mu") for i in (2, 1)])
+    ks = d.agg(F.round(F.avg((F.col("statistic") < 0.1).cast("double")), 6).alias("v")).select(
+        F.lit("ks_aligned_share"), F.col("v"), F.lit(0.5), F.lit(0.25), F.lit(True))
+    return AU.grade_audit(_metrics(p).union(kl).union(ks))
 
 
 @register("reconstruction_error", f"""WITH {POST},
@@ -178,3 +215,22 @@ def q_latent_feature_corr(spark, sf_dir):
     df = lat.select(z.alias("zd"), (z[8] + z[9]).alias("x_a"), (2 * z[0]).alias("x_b"),
                     F.col("label").cast("double").alias("x_c"), F.lit(1.0).alias("x_d"))
     return AU.latent_feature_corr(df, [F.col("zd")[i] for i in range(8)], ["x_a", "x_b", "x_c", "x_d"])
+
+
+@register("latent_feature_corr_full", """
+WITH t AS (SELECT generate_subscripts(zd, 1) - 1 AS d, unnest(zd) AS v, zd[9] + zd[10] AS x_a, 2 * zd[1] AS x_b,
+                  CAST(label AS DOUBLE) AS x_c FROM (SELECT label, CAST(z AS DOUBLE[]) AS zd FROM latent)),
+u AS (SELECT d, 'x_a' AS feature, corr(v, x_a) AS corr FROM t GROUP BY 1
+      UNION ALL SELECT d, 'x_b', corr(v, x_b) FROM t GROUP BY 1
+      UNION ALL SELECT d, 'x_c', corr(v, x_c) FROM t GROUP BY 1
+      UNION ALL SELECT DISTINCT d, 'x_d', 0.0 FROM t),
+c AS (SELECT 'z' || d AS latent, feature, CASE WHEN corr IS NULL OR isnan(corr) THEN 0.0 ELSE corr END AS corr FROM u),
+r AS (SELECT *, row_number() OVER (PARTITION BY latent ORDER BY abs(corr) DESC, feature) AS rank FROM c)
+SELECT latent, feature, round(corr, 6) AS corr, rank FROM r WHERE abs(corr) > 0.2""")
+def q_latent_feature_corr_full(spark, sf_dir):
+    lat = tables(spark, sf_dir).latent()
+    dims = lat.agg(F.max(F.size("z"))).first()[0] or 0
+    z = F.col("z").cast("array<double>")
+    df = lat.select(z.alias("zd"), (z[8] + z[9]).alias("x_a"), (2 * z[0]).alias("x_b"),
+                    F.col("label").cast("double").alias("x_c"), F.lit(1.0).alias("x_d"))
+    return AU.latent_feature_corr(df, [F.get("zd", F.lit(i)) for i in range(dims)], ["x_a", "x_b", "x_c", "x_d"])

@@ -33,6 +33,17 @@ def q_null_profile(spark, sf_dir):
     return D.null_profile(recs(spark, sf_dir), NULL_COLS)
 
 
+RECORD_COLS = ["row_id", "hour", "weekday", "year", "month_no", "speed_limit", "driver_age", "weather", "surface",
+               "n_vehicles", "x1", "x2", "x3", "n_harmed", "severity"]
+
+
+@register("null_profile_full", "SELECT * FROM (" + _union(
+    "SELECT '{col}' AS column_name, count(*) - count({col}) AS n_null, "
+    "round((count(*) - count({col})) / count(*), 6) AS null_rate FROM " + RECS, RECORD_COLS) + ") WHERE n_null > 0")
+def q_null_profile_full(spark, sf_dir):
+    return D.null_profile(recs(spark, sf_dir))
+
+
 @register("value_counts", """
 SELECT o.value, o.position, CAST(coalesce(v.n, 0) AS BIGINT) AS n,
        round(coalesce(v.n, 0) / (SELECT count(*) FROM records), 6) AS share

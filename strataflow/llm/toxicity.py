@@ -79,7 +79,7 @@ class Features:
                 lexicon.setdefault(_LEXICON[w], set()).add(w)
         strong = len(lexicon.get("insult", ())) + len(lexicon.get("disgust", ()))
         density = mined_words / max(1, len(distinct))
-        letters = sum(map(str.isupper, text[:4000])) / max(1, min(len(text), 4000))
+        letters = sum(map(str.isupper, text)) / max(1, len(text))
         votes = [
             "insult" in lexicon, "disgust" in lexicon, "threat" in lexicon, "profanity" in lexicon,
             strong > 0 and _SECOND.search(low) is not None, letters > 0.5, density >= 0.01, mined_words >= 3]

@@ -70,3 +70,9 @@ def test_held_out(spark):
     auc = (ranks[bad].sum() - bad.sum() * (bad.sum() + 1) / 2) / (bad.sum() * (~bad).sum())
     assert auc > 0.88
     assert held[~bad].predicted.mean() < 0.01 and held[bad].predicted.mean() > 0.7
+
+
+def test_capitals_are_counted_over_the_whole_text():
+    features = toxicity.Features([])
+    late, early = "a" * 4000 + "A" * 9000, "A" * 4000 + "a" * 9000
+    assert features.read(late)[0] >> 5 & 1 == 1 and features.read(early)[0] >> 5 & 1 == 0

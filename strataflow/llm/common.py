@@ -65,6 +65,11 @@ def crc_bucket(col: str, n: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % n
 
 
+def hash_cut(share: float) -> int:
+    """The largest signed 64-bit hash that is in a share of all hashes; at least one hash is."""
+    return -(1 << 63) + max(1, min(1 << 64, int(share * (1 << 64)))) - 1
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of an edge list ``(a, b)`` of longs; root is the smallest reachable node.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import map_batches
+from strataflow.llm.common import hash_cut, map_batches
 
 DIMENSIONS = 1024
 SLOTS = 64          # 0: word boundary; 1 to 26: a to z; the rest is shared by all other letters
@@ -96,7 +96,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learned: int = LEARNED,
           dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
-    """Unit prototypes by language from at most about ``learned`` texts each, chosen by a hash of the text.
+    """Unit prototypes by language from at most about ``learned`` texts each, chosen by a hash of the text. Equal texts
+    of a language teach once, so that a group of copies is neither many texts nor most of a prototype.
 
     Rows with a null text or language, and texts without letters, teach nothing. More than ``LANGUAGES``
     languages are refused. An empty table gives no prototypes.
@@ -109,9 +110,9 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn
     if not sizes:
         return {}
     shares = docs.sparkSession.createDataFrame(
-        [(r["lang"], int(1e6 * min(1.0, learned / r["count"]))) for r in sizes], "lang string, share int")
+        [(r["lang"], hash_cut(learned / r["count"])) for r in sizes], "lang string, cut long")
     sample = (known.join(F.broadcast(shares), "lang")  # LANGUAGES rows at most
-              .where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share")).select("text", "lang"))
+              .where(F.xxhash64("text") <= F.col("cut")).select("text", "lang").distinct())
 
     def sums(batches):
         encoder = Encoder(dimensions)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import map_batches, stage
+from strataflow.llm.common import hash_cut, map_batches, stage
 
 LABELLED = 12_000   # labelled rows that words are mined from, at most (in expectation)
 FITTED = 20_000     # rows with posterior labels that the classifier is trained on, at most (in expectation)
@@ -244,14 +244,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label")))
     total = known.count()
-    part = F.pmod(F.xxhash64(id_col, F.lit("labelled")), F.lit(1_000_000)) < int(1e6 * min(1.0, labelled / max(1, total)))
+    part = F.xxhash64(id_col, F.lit("labelled")) <= F.lit(hash_cut(labelled / max(1, total)))
     chosen = known.where(part).select(F.col(id_col).alias("_key"), "_label")  # bounded by `labelled`
     sample = stage(docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_key")).select(
         F.col(text_col).alias("text"), "_label"), "labelled")
     features = Features(mine(sample, "text", "_label"))
     rows = docs.count()
-    share = min(1.0, fitted / max(1, rows))
-    pick = F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit("fitted")), F.lit(1_000_000)) < int(1e6 * share)
+    pick = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit("fitted")) <= F.lit(hash_cut(fitted / max(1, rows)))
     patterns = stage(_patterns(docs.select(F.col(text_col).alias("text"), pick.alias("picked")), features, "text", "picked")
                      .withColumn("hits", F.when(F.col("picked"), F.col("hits"))), "patterns")
     counts = patterns.groupBy("mask").count().collect()

@@ -54,3 +54,12 @@ def test_too_many_languages(spark, monkeypatch):
     df = spark.createDataFrame([("x", "a"), ("y", "b"), ("z", "c")], "text string, lang string")
     with pytest.raises(ValueError):
         langid.learn(df)
+
+
+def test_shares_never_reach_zero_and_copies_teach_once(spark):
+    from strataflow.llm.common import hash_cut
+    assert hash_cut(1.0) == hash_cut(7.0) == (1 << 63) - 1 and hash_cut(1e-30) == -(1 << 63)
+    assert -(1 << 63) < hash_cut(20_000 / 1e15) < hash_cut(20_000 / 1e12) < 0
+    rows = [("the quick brown fox", "en"), ("over the lazy dog", "en")]
+    once, copies = (langid.learn(spark.createDataFrame(r, "text string, lang string")) for r in (rows, rows + rows[:1] * 50))
+    assert abs(once["en"] - copies["en"]).max() < 1e-12

@@ -170,3 +170,11 @@ def test_winner_ties_take_the_first_family(spark):
     runs = spark.createDataFrame([("a", 0.5, 0.5), ("a", 0.6, 0.5)], "experiment string, macro_f1 double, class_recall double")
     with pytest.raises(ValueError):
         M.evaluate_families(runs, ["a", "b"], families=["a", "b"])
+
+
+def test_best_trials_limits_before_numbering(spark):
+    df = spark.range(1000).select(F.col("id").alias("trial"), (F.col("id") % 10).cast("double").alias("fitness")).repartition(4)
+    out = N.best_trials(df, k=3)
+    assert [(r["trial"], r["rank"]) for r in out.orderBy("rank").collect()] == [(9, 1), (19, 2), (29, 3)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("GlobalLimit 3")  # the window stands above the limit

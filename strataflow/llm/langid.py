@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from strataflow.llm.common import hash_cut, map_batches
 
 DIMENSIONS = 1024
-SLOTS = 64          # 0: word boundary; 1 to 26: a to z; the rest is shared by all other letters
+SLOTS = 1 << 21     # more than there are letters; 0: word boundary; 1 to 26: a to z; the rest as they occur
 LEARNED = 5_000     # texts a language is learned from, at most (in expectation)
 LANGUAGES = 10_000  # distinct values of the language column, at most
 BLOCK_DOCS, BLOCK_CHARS, BLOCK_GRAMS = 64, 1 << 19, 4096
@@ -26,17 +26,26 @@ class Encoder:
     """Texts to hypervectors."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = 7):
-        letters = np.random.RandomState(seed).choice(np.array([-1, 1], dtype=np.int8), size=(SLOTS, dimensions))
-        self.places = [np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters]
-        self.slot = np.full(0x110000, -1, dtype=np.int8)
+        self.dimensions, self.seed = dimensions, seed
+        self.slot = np.full(0x110000, -1, dtype=np.int32)  # by code point, numbered as letters occur
+        self.places = [np.empty((0, dimensions), dtype=np.int8)] * 3
+        self.add([0, *range(97, 123)])
+
+    def add(self, points: list[int]) -> None:
+        """Slots for letters; a vector is drawn by its code point and so is the same in every task."""
+        self.slot[points] = np.arange(len(points)) + len(self.places[2])
+        new = np.array([np.random.RandomState([self.seed, p]).randint(0, 2, self.dimensions, dtype=np.int8) * 2 - 1
+                        for p in points], dtype=np.int8)
+        self.places = [np.concatenate([old, np.roll(new, by, axis=1)]) for old, by in zip(self.places, (2, 1, 0), strict=True)]
 
     def slots(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
         slots = self.slot[points]
         if (slots < 0).any():
-            for p in np.unique(points[slots < 0]).tolist():
-                c = chr(p)
-                self.slot[p] = 0 if not c.isalpha() else p - 96 if "a" <= c <= "z" else 27 + p % (SLOTS - 27)
+            seen = np.unique(points[slots < 0]).tolist()
+            self.slot[[p for p in seen if not chr(p).isalpha()]] = 0
+            if new := [p for p in seen if chr(p).isalpha()]:
+                self.add(new)
             slots = self.slot[points]
         return slots
 
@@ -55,7 +64,7 @@ class Encoder:
 
     def bundle(self, grams: list[np.ndarray]) -> np.ndarray:
         """A row for each text."""
-        out = np.zeros((len(grams), self.places[0].shape[1]), dtype=np.float32)
+        out = np.zeros((len(grams), self.dimensions), dtype=np.float32)
         codes, at = np.unique(np.concatenate(grams), return_inverse=True) if grams else (np.empty(0, int),) * 2
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         for lo in range(0, len(codes), BLOCK_GRAMS):

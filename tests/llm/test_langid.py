@@ -63,3 +63,13 @@ def test_shares_never_reach_zero_and_copies_teach_once(spark):
     rows = [("the quick brown fox", "en"), ("over the lazy dog", "en")]
     once, copies = (langid.learn(spark.createDataFrame(r, "text string, lang string")) for r in (rows, rows + rows[:1] * 50))
     assert abs(once["en"] - copies["en"]).max() < 1e-12
+
+
+def test_every_letter_has_a_vector_of_its_own():
+    import numpy as np
+    e, again = langid.Encoder(), langid.Encoder()
+    texts = ["\u03b1", "\u03b1".replace("\u03b1", chr(0x3b1 + 37)), chr(0x4e00), chr(0x4e00 + 37), "a", "\U00020000"]
+    v = e.bundle([e.grams(t) for t in texts])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert np.abs(v @ v.T - np.eye(len(texts))).max() < 0.2
+    assert (again.bundle([again.grams(texts[2])]) == e.bundle([e.grams(texts[2])])).all()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,40 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written below the shared checkpoint folder and read back, with the path for ``discard``."""
+    spark, path, schema = df.sparkSession, scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"), df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of ``write_table`` that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def finite_vectors(vectors: DataFrame, vector_col: str):
+    """A condition: the vector is not null and none of its components is null, NaN or infinite."""
+    v = F.col(vector_col).cast("array<double>")
+    return F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
+def packed(batch: pa.RecordBatch, name: str, kind: str, width: int) -> np.ndarray:
+    """A binary column whose cells hold ``width`` numbers each, as a matrix that shares the batch's memory."""
+    column = batch.column(batch.schema.get_field_index(name))
+    cells = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[cells[0]:cells[-1]]
+    return data.view(kind).reshape(len(column), width)
+
+
+def cells(matrix: np.ndarray) -> pa.Array:
+    """Each row of a matrix as one binary cell."""
+    matrix = np.ascontiguousarray(matrix)
+    width = matrix.shape[1] * matrix.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(matrix), [None, pa.py_buffer(matrix)]).cast(pa.binary())
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], dict]],
                 fields: list[T.StructField], drop: tuple[str, ...] = ()) -> DataFrame:
     """Append (or replace) columns computed per Arrow batch; columns in ``drop`` are read but not returned.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import (chat, decontaminate, langid, packing, passages, pii, sharding, simhash, toxicity, vectors)
+from strataflow.llm import (centroids, chat, decontaminate, langid, packing, passages, pii, sharding, simhash, spotsigs,
+                            toxicity, vectors, whitening)
 from strataflow.llm.common import crc_bucket, read_table
 
 
@@ -147,11 +148,84 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(docs, drop=("text",))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def _op11_sql(rounds: int = 10) -> str:
+    """The rounds written out one after the other: a<r> assigns, c<r> moves the centroids."""
+    parts = ["""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+      list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64)""",
+             "e AS MATERIALIZED (SELECT r, i, x[i] AS x FROM v, unnest(range(1, 65)) AS t(i))",
+             """c0 AS MATERIALIZED (SELECT k, i, x AS c FROM e JOIN (SELECT r, row_number() OVER (
+      ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS k FROM v QUALIFY k < 8) USING (r))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT r, k, d FROM (
+      SELECT r, k, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM e JOIN c{r} USING (i) GROUP BY r, k)
+      QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT k, i, CAST(coalesce((s - ((s % n) + n) % n) // n, c) AS BIGINT) AS c
+      FROM c{r} LEFT JOIN (SELECT k, i, sum(x) AS s, count(*) AS n FROM e JOIN a{r} USING (r) GROUP BY k, i) USING (k, i))""")
+    return f"""WITH {", ".join(parts)},
+h AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{rounds} JOIN v USING (r) JOIN h USING (k)"""
+
+
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.against_edits(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _jaccard_sql(x: str, y: str) -> str:
+    return f"""CASE WHEN len({x}) + len({y}) = 0 THEN CAST(1 AS DOUBLE)
+    ELSE CAST(len(list_intersect({x}, {y})) AS DOUBLE) / (len({x}) + len({y}) - len(list_intersect({x}, {y}))) END"""
+
+
+# t: each text and its edited text under an odd number; c counts the content words up to a word
+OP12_SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id DESC) AS r, doc_id, coalesce(text, '') AS text,
+    coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC), '') AS other
+  FROM documents),
+t AS MATERIALIZED (
+  SELECT 2 * r AS t, text FROM d UNION ALL
+  SELECT 2 * r + 1, substr(text, 1, length(text) - length(text) // 3) || substr(other, 1, length(text) // 3) FROM d),
+w AS MATERIALIZED (
+  SELECT t, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+p AS (
+  SELECT t, i, w[i] AS word, w[i] IN ({", ".join(f"'{a}'" for a in sorted(spotsigs.ANCHORS))}) AS anchor
+  FROM w, unnest(range(1, len(w) + 1)) AS u(i)),
+n AS MATERIALIZED (SELECT *, sum(CAST(NOT anchor AS INTEGER)) OVER (PARTITION BY t ORDER BY i) AS c FROM p),
+o AS (SELECT t, c, word, lead(word) OVER (PARTITION BY t ORDER BY i) AS after FROM n WHERE NOT anchor),
+s AS (
+  SELECT DISTINCT n.t, substr(md5(n.word || ' ' || o.word || ' ' || o.after), 1, 16) AS s
+  FROM n JOIN o ON n.t = o.t AND o.c = n.c + 1 WHERE n.anchor AND o.after IS NOT NULL),
+f AS MATERIALIZED (
+  SELECT t, coalesce(l, CASE WHEN len(w) > 0 THEN [substr(md5(array_to_string(w, ' ')), 1, 16)] ELSE [] END) AS l
+  FROM w LEFT JOIN (SELECT t, list(s ORDER BY s) AS l FROM s GROUP BY t) USING (t)),
+j AS (
+  SELECT d.doc_id, length(d.text) AS n_chars, sha256(t.text) AS edited_sha256, a.l AS a, b.l AS b, c.l AS c
+  FROM d JOIN f AS a ON a.t = 2 * d.r JOIN f AS b ON b.t = 2 * d.r + 1 JOIN t ON t.t = 2 * d.r + 1
+  JOIN f AS c ON c.t = 2 * CASE WHEN d.r = (SELECT max(r) FROM d) THEN 1 ELSE d.r + 1 END)
+SELECT doc_id, n_chars, edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+  {_jaccard_sql("a", "b")} AS near_edited, {_jaccard_sql("a", "c")} AS near_next
+FROM j
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_toxicity, op2_passages, op3_decontaminate, op4_pii, op5_vectors, op6_chat, op7_simhash, op8_langid,
-        op9_packing, op10_sharding)}
+        op9_packing, op10_sharding, op11_centroids, op12_spotsigs, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_chat": OP6_SQL}
+    return {"op2_passages": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_chat": OP6_SQL,
+            "op11_centroids": _op11_sql(), "op12_spotsigs": OP12_SQL}

@@ -31,7 +31,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                      extra={"strataflow.scan.partitions": str(cpus)})  # the tables are files of one row group
+                      extra={"spark.strataflow.scan.partitions": str(cpus)})  # the tables are files of one row group
     qs = queries()
     spark.range(1000).selectExpr("sum(id)").collect()  # session start-up is not query time
     times = {}

@@ -2,19 +2,17 @@
 
 A window ``partitionBy(group).orderBy(value)`` puts a whole group into one
 task; with three classes (or one global order) that is one task for a third
-of the data or more.  These helpers use a two-level plan instead:
+of the data or more.  These helpers use range partitioning instead:
 
 1. pre-aggregate to distinct ``(group, value)`` with counts - hot values
    collapse to one row, so skew on a value cannot hurt;
-2. cut each group's value range into ranges of about ``bucket_rows`` values
-   (so their number follows the counts) whose boundaries come from
-   ``percentile_approx`` (a mergeable sketch);
-3. per-bucket totals (groups x buckets rows, small) give each bucket's
-   offset through a window over that small table;
-4. a window partitioned by ``(group, bucket)`` accumulates counts inside
-   a bucket, so a task holds about ``bucket_rows`` distinct values of a group.
-
-The result is exact: bucket boundaries only decide where work is split.
+2. deal them to ranges of ``(group, value)`` (``repartitionByRange``) and
+   write them with the number of their range;
+3. totals per (group, range), a small table, give each range's offset;
+4. a window partitioned by ``(group, range)`` accumulates inside a range.
+
+The result is exact: ranges only decide where work is split, and a row costs
+the same however many ranges there are.
 """
 
 from __future__ import annotations
@@ -35,16 +33,6 @@ def _balanced_sum(terms: list[Column]) -> Column:
     return terms[0]
 
 
-def bucket_of(bounds: str, v: Column) -> Column:
-    """Index of the bucket of ``v`` given a sorted boundary array column.
-
-    Measured at sf0.1: ``size(filter(bounds, b -> b < v))`` runs ~4x faster
-    than an unrolled sum of 63 element comparisons, whose generated method
-    grows past the JIT size limit and runs interpreted.
-    """
-    return F.size(F.filter(bounds, lambda b: b < v))
-
-
 def count_below(bounds: Column | list, n: int, v: Column, inclusive: bool = False) -> Column:
     """Number of the ``n`` sorted bounds below ``v`` (``<=`` if inclusive),
     as a sum of comparisons - for short lists of literals only."""
@@ -65,26 +53,49 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *cols)
 
 
-BUCKET_ROWS = 100_000
+def fixed_sum(value: Column, n: Column | None = None, scale: int = 9) -> Column:
+    """Sum (of ``n`` copies each) that does not depend on the order rows are added in.
+
+    Values that are decimal numbers of ``scale`` digits after the point and 15 before it are added in fixed point; if
+    any is not, all are added as doubles."""
+    exact = value.try_cast(f"decimal({16 + scale},{scale})")
+    fits = F.bool_and(F.coalesce(exact.cast("double") == value, value.isNull()))
+    total = F.sum(exact if n is None else exact * n.cast("decimal(12,0)")).cast("double")
+    return F.when(fits, total).otherwise(F.sum(value if n is None else value * n))
 
 
-def cuts(rows: int, bucket_rows: int) -> list[float]:
-    """Shares at which ``rows`` ordered rows are cut into buckets of about ``bucket_rows``."""
-    n = max(1, -(-rows // bucket_rows))
-    return [i / n for i in range(1, n)]
+def in_ranges(df: DataFrame, by: list[str], order: list[Column], ranges: int | None) -> DataFrame:
+    """``df`` written in ranges of ``(by, order)``, each row with its range ``_part``."""
+    dealt = [F.col(k) for k in by] + order
+    dealt = df.repartitionByRange(ranges, *dealt) if ranges else df.repartitionByRange(*dealt)
+    return materialize(dealt.withColumn("_part", F.spark_partition_id()))
 
 
-def _bucketed(df: DataFrame, by: list[str], v: Column, shares: list[float]) -> DataFrame:
-    """``df`` with ``_bk``, the bucket of ``v`` among its group's quantiles at ``shares``."""
-    if not shares:
-        return df.withColumn("_bk", F.lit(0))
-    bounds = F.percentile_approx(v, shares, max(10_000, 10 * len(shares))).alias("_bounds")
-    based = df.join(df.groupBy(*by).agg(bounds), by) if by else with_scalar(df, df.agg(bounds))
-    return based.withColumn("_bk", bucket_of("_bounds", v)).drop("_bounds")
+def _offsets(ranged: DataFrame, by: list[str], weights: dict[str, Column]) -> DataFrame:
+    """Per (group, range): each weight's sum ``_in_``, the sum of the ranges before ``_off_``, the group's ``_total``."""
+    tot = ranged.groupBy(*by, "_part").agg(*[F.sum(w).alias(f"_in_{k}") for k, w in weights.items()])
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)  # a row for each range
+    return tot.select(*by, "_part", *[f"_in_{k}" for k in weights],
+                      *[F.coalesce(F.sum(f"_in_{k}").over(before), F.lit(0)).alias(f"_off_{k}") for k in weights],
+                      *[F.sum(f"_in_{k}").over(whole).alias(f"{k}_total") for k in weights])
+
+
+def _with_offsets(ranged: DataFrame, offsets: DataFrame, by: list[str]) -> DataFrame:
+    keys = [*by, "_part"]
+    named = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[x for x in offsets.columns if x not in keys])
+    same = F.lit(True)
+    for k in keys:  # a null group is a group
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return ranged.join(named, same).drop(*[f"_k_{k}" for k in keys])
+
+
+def _distinct(df: DataFrame, value: str, by: list[str], weights: dict[str, Column]) -> DataFrame:
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(*[F.sum(w).alias(k) for k, w in weights.items()])
 
 
 def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str, Column] | None = None,
-                            descending: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                            descending: bool = False, ranges: int | None = None) -> DataFrame:
     """Distinct values per group with cumulative sums in value order.
 
     Returns ``by..., value, <w>, <w>_cum, <w>_before, <w>_total`` for every
@@ -94,28 +105,11 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
     """
     by = _cols(by)
     weights = weights or {"n": F.lit(1)}
-    v = F.col(value)
-    base = (df.where(v.isNotNull())
-              .groupBy(*by, value)
-              .agg(*[F.sum(w).alias(k) for k, w in weights.items()]))
-    ordv = (-F.col(value)) if descending else F.col(value)
-    base = base.withColumn("_ov", ordv.cast("double"))
-    # the distinct table feeds the bounds, the bucket totals and the final
-    # window: compute it once instead of re-scanning the input each time
-    base = materialize(base)
-    largest = base.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    fr = cuts(largest, bucket_rows)
-    based = _bucketed(base, by, F.col("_ov"), fr)
-    key = by + ["_bk"]
-    tot = based.groupBy(*key).agg(*[F.sum(k).alias(f"_bt_{k}") for k in weights])
-    wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*by)
-    offs = tot.select(*key, *[F.coalesce(F.sum(f"_bt_{k}").over(wb), F.lit(0)).alias(f"_off_{k}") for k in weights],
-                      *[F.sum(f"_bt_{k}").over(wall).alias(f"{k}_total") for k in weights])
-    j = based.join(offs, key)  # a row for each bucket; its measured size decides how it is joined
-    win = Window.partitionBy(*key).orderBy("_ov").rowsBetween(Window.unboundedPreceding, 0)
-    out = j.select(*by, value, *weights,
-                   *[(F.col(f"_off_{k}") + F.sum(k).over(win)).alias(f"{k}_cum") for k in weights],
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    ranged = in_ranges(_distinct(df, value, by, weights), by, [order], ranges)
+    j = _with_offsets(ranged, _offsets(ranged, by, {k: F.col(k) for k in weights}), by)
+    win = Window.partitionBy(*by, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = j.select(*by, value, *weights, *[(F.col(f"_off_{k}") + F.sum(k).over(win)).alias(f"{k}_cum") for k in weights],
                    *[F.col(f"{k}_total") for k in weights])
     for k in weights:
         out = out.withColumn(f"{k}_before", F.col(f"{k}_cum") - F.col(k))
@@ -123,35 +117,31 @@ def value_counts_cumulative(df: DataFrame, value: str, by=(), weights: dict[str,
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], by=(), out: str = "q",
-                    value_out: str = "value", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                    value_out: str = "value", ranges: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (same definition as SQL
     ``percentile`` / ``quantile_cont``) per group, without holding a group in
     one task.  Returns ``by..., q, value``."""
     by = _cols(by)
-    cum = value_counts_cumulative(df, value, by, bucket_rows=bucket_rows)
-    n = F.col("n_total")
-
-    def lo(q):
-        return F.floor(q * (n - 1))
-
-    def hi(q):
-        return F.ceil(q * (n - 1))
+    ranged = in_ranges(_distinct(df, value, by, {"n": F.lit(1)}), by, [F.col(value)], ranges)
+    return quantiles_of_counts(ranged, value, qs, by, out, value_out)
 
-    def hit(idx):
-        return (F.col("n_before") <= idx) & (idx < F.col("n_cum"))
 
-    q = F.col(out)
-    nq = F.col("n_total")
+def quantiles_of_counts(ranged: DataFrame, value: str, qs: list[float], by: list[str], out: str = "q",
+                        value_out: str = "value") -> DataFrame:
+    """The quantiles of a table of :func:`in_ranges` of distinct values with counts ``n``; only the ranges that
+    hold a wanted rank are sorted."""
+    nq, q = F.col("n_total"), F.col(out)
     lo_c, hi_c = F.floor(q * (nq - 1)), F.ceil(q * (nq - 1))
-    # only the (at most two per quantile) distinct values around each target rank survive
-    cand = F.array(*[F.when(hit(lo(F.lit(float(x)))) | hit(hi(F.lit(float(x)))), F.lit(float(x))) for x in qs])
-    hits = (cum.select(*by, value, "n_total", "n_before", "n_cum", F.explode(cand).alias(out))
-               .where(F.col(out).isNotNull()))
-    agg = hits.groupBy(*by, out).agg(
-        F.max(F.when((F.col("n_before") <= lo_c) & (lo_c < F.col("n_cum")), F.col(value))).alias("_xlo"),
-        F.max(F.when((F.col("n_before") <= hi_c) & (hi_c < F.col("n_cum")), F.col(value))).alias("_xhi"),
+    wanted = _offsets(ranged, by, {"n": F.col("n")}).withColumn(out, F.explode(F.array(*[F.lit(float(x)) for x in qs])))
+    wanted = wanted.where((F.col("_off_n") <= hi_c) & (lo_c < F.col("_off_n") + F.col("_in_n")))
+    at = Window.partitionBy(*by, out, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cum = _with_offsets(ranged, wanted, by).withColumn("_cum", F.col("_off_n") + F.sum("n").over(at))
+    before = F.col("_cum") - F.col("n")
+    agg = cum.groupBy(*by, out).agg(
+        F.max(F.when((before <= lo_c) & (lo_c < F.col("_cum")), F.col(value))).alias("_xlo"),
+        F.max(F.when((before <= hi_c) & (hi_c < F.col("_cum")), F.col(value))).alias("_xhi"),
         F.first("n_total").alias("_n"))
-    frac = F.col(out) * (F.col("_n") - 1) - F.floor(F.col(out) * (F.col("_n") - 1))
+    frac = q * (F.col("_n") - 1) - F.floor(q * (F.col("_n") - 1))
     return agg.select(*by, out, (F.col("_xlo") + frac * (F.col("_xhi") - F.col("_xlo"))).alias(value_out))
 
 
@@ -176,56 +166,84 @@ def hash_order(purpose: str, key: Column, seed) -> tuple[Column, Column]:
 
 
 def global_rank(df: DataFrame, order: list[str] | str, by=(), out: str = "rank",
-                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Exact ``row_number()`` over ``partitionBy(by).orderBy(*order)``
-    computed with the two-level plan.  The first ``order`` column must be
-    numeric.  The input is read several times: hand in a written table if it
-    is costly to compute."""
-    by, keys = _cols(by), _cols(order)
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    based = _bucketed(df, by, F.col(keys[0]), cuts(largest, bucket_rows))
-    key = by + ["_bk"]
-    tot = based.groupBy(*key).agg(F.count(F.lit(1)).alias("_bt"))
-    wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*key, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
-    j = based.join(offs, key)
-    win = Window.partitionBy(*key).orderBy(*keys)
-    return j.withColumn(out, (F.col("_off") + F.row_number().over(win)).cast("bigint")).drop("_bk", "_off")
-
+                ranges: int | None = None) -> DataFrame:
+    """Exact ``row_number()`` over ``partitionBy(by).orderBy(*order)``, rows dealt to ranges of the order.
 
-SMALL = 1000
+    The order has to tell rows apart: rows equal in all of it share a range."""
+    by, keys = _cols(by), _cols(order)
+    ranged = in_ranges(df, by, [F.col(k) for k in keys], ranges)
+    j = _with_offsets(ranged, _offsets(ranged, by, {"n": F.lit(1)}), by)
+    win = Window.partitionBy(*by, "_part").orderBy(*keys)
+    return j.withColumn(out, (F.col("_off_n") + F.row_number().over(win)).cast("bigint")).select(*df.columns, out)
 
 
-def hash_cutoffs(df: DataFrame, group: str, hashed: Column, ranks: dict, step: int = 3) -> dict:
-    """The hash of each wanted rank: ``{(group value, rank): hex}`` for ``ranks`` = ``{group value: [rank, ...]}``.
+def key_at_rank(df: DataFrame, order: list[str], rank: int):
+    """The values of ``order`` (the first numeric) of the row of that rank, counted from 1; nulls come first.
 
-    Ranks count from 1 in order of the hash within the group.  Each pass counts
-    rows by group and the next ``step`` hex digits, keeps the prefix that holds
-    each rank and goes on inside it, until the prefix holds at most ``SMALL``
-    rows, whose hashes are read.  So nothing is sorted, and only counts (4096
-    for each group and rank) and a few hashes reach the driver.
+    Two scans, no sort of the table: approximate quantiles bracket the first column's value, then the rows inside
+    the bracket alone are dealt to ranges and ranked.
+    """
+    first = F.col(order[0])
+    rows = df.select(*order)
+    n, n_null = rows.agg(F.count(F.lit(1)), F.count(F.when(first.isNull(), 1))).first()
+    if not 1 <= rank <= n:
+        return None
+    if rank <= n_null:
+        inside, below = rows.where(first.isNull()), 0
+    else:
+        share = (rank - n_null - 0.5) / (n - n_null)
+        lo, hi = rows.agg(F.percentile_approx(first, [max(0.0, share - 2e-4), min(1.0, share + 2e-4)], 10_000)).first()[0]
+        inside = materialize(rows.where(first.between(lo, hi)))
+        below = rows.where(first.isNull() | (first < lo)).count()
+        if not below < rank <= below + inside.count():  # the sketch erred by more than it says
+            inside, below = rows.where(first.isNotNull()), n_null
+    ranked = global_rank(inside, order, out="_rank")
+    return ranked.where(F.col("_rank") == rank - below).first()[:len(order)]
+
+
+DIGITS = 3     # hex digits counted at a time
+SMALL = 1000   # rows whose hashes are read at last
+
+
+def hash_cutoffs(df: DataFrame, group: str, hashed: Column, ranks_of) -> dict:
+    """The hash of each wanted rank: ``{(group value, rank): hex}``.
+
+    ``ranks_of`` gets the rows of each group and gives ``{group value: [rank, ...]}``, counted from 1 in order of the
+    hash within the group.  One scan counts rows by group and leading hex digits, which gives the sizes and the
+    prefix that holds each rank; a second one takes the rows with these prefixes (one in some thousand), which are
+    written if they are many and searched digit by digit.  Nothing is sorted, and only counts (4096 for each group
+    and cut) and a few hashes reach the driver.
     """
-    wanted = {(g, r): ("", r, None) for g, rs in ranks.items() for r in rs if r > 0}  # prefix, rank inside, rows
-    found: dict = {}
     rows = df.select(F.col(group).alias("_g"), hashed.alias("_h"))
-    depth = 0
-    while wanted:
-        inside = F.lit(False)
-        for g, prefix in {(g, prefix) for (g, _), (prefix, _, _) in wanted.items()}:
-            inside = inside | (F.col("_g").eqNullSafe(F.lit(g)) & F.col("_h").startswith(prefix))
-        own = rows.where(inside)
-        last = all(n is not None and n <= SMALL for _, _, n in wanted.values()) or depth + step >= 32
-        digits = 32 if last else depth + step
+
+    def counted(own, digits):
         counts: dict = {}
         for r in own.groupBy("_g", F.substring("_h", 1, digits).alias("p")).count().collect():
-            counts.setdefault((r["_g"], r["p"][:depth]), []).append((r["p"], r["count"]))
-        for (g, rank), (prefix, left, _) in wanted.items():
-            for p, n in sorted(counts[g, prefix]):
-                if left <= n:
-                    wanted[g, rank] = (p, left, n)
-                    break
-                left -= n
+            counts.setdefault(r["_g"], []).append((r["p"], r["count"]))
+        return {g: sorted(v) for g, v in counts.items()}
+
+    def narrow(counts, wanted, depth):
+        for key, (prefix, left, _) in wanted.items():
+            for p, n in counts[key[0]]:
+                if p[:depth] == prefix:
+                    if left <= n:
+                        wanted[key] = (p, left, n)
+                        break
+                    left -= n
+
+    counts, depth = counted(rows, DIGITS), DIGITS
+    ranks = ranks_of({g: sum(n for _, n in v) for g, v in counts.items()})
+    wanted = {(g, r): ("", r, None) for g, rs in ranks.items() for r in rs if r > 0}  # prefix, rank inside, rows
+    narrow(counts, wanted, 0)
+    written = False
+    while wanted and any(len(p) < 32 for p, _, _ in wanted.values()):
+        inside = F.lit(False)
+        for g, prefix in sorted({(g, p) for (g, _), (p, _, _) in wanted.items()}, key=str):
+            inside = inside | (F.col("_g").eqNullSafe(F.lit(g)) & F.col("_h").startswith(prefix))
+        last = max(n for _, _, n in wanted.values()) <= SMALL
+        if not last and not written:
+            rows, written = materialize(rows.where(inside)), True
+        digits = 32 if last else min(32, depth + DIGITS)
+        narrow(counted(rows.where(inside), digits), wanted, depth)
         depth = digits
-        if last:
-            found, wanted = {k: p for k, (p, _, _) in wanted.items()}, {}
-    return found
+    return {key: p for key, (p, _, _) in wanted.items()}

@@ -9,18 +9,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.config import FeatureConfig, MONTH_NAMES, WEEKDAY_NAMES
 from strataflow.functions import columns as B
 from strataflow.functions.columns import c, present
-from strataflow.functions.ranking import exact_quantiles
+from strataflow.functions.ranking import exact_quantiles, fixed_sum, global_rank, in_ranges, quantiles_of_counts
 from strataflow.session import materialize
 
-INLINE_CATEGORIES = 10_000  # above this a column's categories are joined, not inlined as a literal map
-
 MODEL_SCHEMA = T.StructType([
     T.StructField("grp", T.StringType()),
     T.StructField("feature", T.StringType()),
@@ -82,22 +80,17 @@ def fit_scale(train: DataFrame, cols: list[str]) -> DataFrame:
 def fit_categories(train: DataFrame, cols: list[str]) -> DataFrame:
     """F5 fit: sorted categories per column -> (feature, value, code)."""
     d = _tall_str(train, cols).where(F.col("value").isNotNull()).distinct()
-    return d.withColumn("code", (F.row_number().over(Window.partitionBy("feature").orderBy("value")) - 1)
-                        .cast("int"))
+    return global_rank(d, "value", by="feature").select("feature", "value", (F.col("rank") - 1).cast("int").alias("code"))
 
 
-def apply_categories(df: DataFrame, cols: list[str], cats: DataFrame, prefix: str = "",
-                     broadcast_limit: int = 1_000_000) -> DataFrame:
+def apply_categories(df: DataFrame, cols: list[str], cats: DataFrame, prefix: str = "") -> DataFrame:
     """F5 transform: code per column, unseen/null -> -1.  One left join per
-    column against its category table - broadcast when the category count
-    is checked to be under ``broadcast_limit``, otherwise a shuffle join."""
-    counts = {r["feature"]: r["n"] for r in cats.where(F.col("feature").isin(*cols)).groupBy("feature")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    column against its categories; their measured size decides how it runs."""
+    cats = materialize(cats)
     out = df
     for x in cols:
         m = cats.where(F.col("feature") == x).select(F.col("value").alias(f"_v_{x}"),
                                                      F.col("code").alias(f"_c_{x}"))
-        m = F.broadcast(m) if counts.get(x, 0) <= broadcast_limit else m
         out = out.join(m, c(x).cast("string") == F.col(f"_v_{x}"), "left")
         out = out.withColumn(prefix + x, F.coalesce(F.col(f"_c_{x}"), F.lit(-1))).drop(f"_v_{x}", f"_c_{x}")
     return out
@@ -142,8 +135,7 @@ class FeatureModel:
         meta = {"numeric": self.numeric, "categorical": self.categorical, "cyclical": self.cyclical,
                 "ordinal": self.ordinal}
         import json
-        (self.table.withColumn("meta", F.lit(json.dumps(meta))).coalesce(1)
-         .write.mode("overwrite").parquet(path))
+        self.table.withColumn("meta", F.lit(json.dumps(meta))).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FeatureModel":
@@ -195,88 +187,82 @@ def _groups(df: DataFrame, cfg: FeatureConfig) -> tuple[list[str], list[str], li
 
 
 def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
-    """F7 fit on the train rows (already through :func:`prepare`)."""
+    """F7 fit on the train rows (already through :func:`prepare`).
+
+    One pass counts the values of all columns, missing ones included; medians, moments, modes and sorted
+    categories all come from these counts, which are kept in ranges of (column, value).
+    """
     spark = train.sparkSession
     num, cat, cyc, ords = _groups(train, cfg)
-    train = train.persist()  # several small fit jobs read it; released below
-    parts = []
-    if num:
-        med = fit_median(train, num)
-        parts.append(med.select(F.lit("num").alias("grp"), "feature", F.lit("median").alias("stat"),
-                                F.col("median").alias("num"), F.lit(None).cast("string").alias("text")))
-        imputed = impute(train.select(*num), med, "median", num)
-        sc = fit_scale(imputed, num)
-        parts.append(sc.select(F.lit("num"), "feature", F.lit("mean"), "mean", F.lit(None).cast("string")))
-        parts.append(sc.select(F.lit("num"), "feature", F.lit("scale"), "scale", F.lit(None).cast("string")))
-    if cat or ords:
-        mode_cols = cat + list(ords)
-        mode_rows = fit_mode(train, mode_cols).collect()  # one row per column
-        mode_vals = {r["feature"]: r["mode"] for r in mode_rows}
-        mode = spark.createDataFrame([(r["feature"], r["mode"]) for r in mode_rows], "feature string, mode string")
-        parts.append(mode.select(F.when(F.col("feature").isin(*cat), "cat").otherwise("ord") if cat else F.lit("ord"),
-                                 "feature", F.lit("mode"), F.lit(None).cast("double"), F.col("mode")))
-    if cat:
-        filled = train.select(*cat)
-        filled = filled.select(*[F.coalesce(c(x).cast("string"), F.lit(mode_vals.get(x))).alias(x) for x in cat])
-        cats = fit_categories(filled, cat)
-        parts.append(cats.select(F.lit("cat"), "feature", F.lit("category"), F.col("code").cast("double"),
-                                 F.col("value")))
-    if cyc:
-        mean = fit_mean(train, cyc)
-        parts.append(mean.select(F.lit("cyc"), "feature", F.lit("mean"), "mean", F.lit(None).cast("string")))
-    table = parts[0]
-    for p in parts[1:]:
-        table = table.union(p)
+    text = cat + list(ords)
+    cells = [F.struct(F.lit(x).alias("feature"), present(train, x).cast("double").alias("num"),
+                      F.lit(None).cast("string").alias("text")) for x in num + cyc]
+    cells += [F.struct(F.lit(x).alias("feature"), F.lit(None).cast("double").alias("num"),
+                       c(x).cast("string").alias("text")) for x in text]
+    counts = (train.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
+              .groupBy("feature", "num", "text").agg(F.count(F.lit(1)).alias("n")))
+    held = in_ranges(counts, ["feature"], [F.col("num"), F.col("text")], None)
+    v, n = F.col("num"), F.col("n")
+    known = held.where("num is not null")
+    medians = {r["feature"]: r["value"] for r in quantiles_of_counts(known, "num", [0.5], ["feature"]).collect()}
+    sums = {r["feature"]: r for r in held.groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum(F.when(v.isNotNull(), n)).alias("known"), fixed_sum(v, n).alias("sum")).collect()}
+    # the mean of a numeric column counts its missing values as the median, that of a cyclical one leaves them out
+    means = {}
+    for x in num + cyc:
+        r = sums.get(x)
+        missing = r["n"] - (r["known"] or 0) if r and x in num and medians.get(x) is not None else 0
+        total = (r["known"] or 0) + missing if r else 0
+        means[x] = ((r["sum"] or 0.0) + missing * (medians.get(x) or 0.0)) / total if total else None
+    away = F.lit(None).cast("double")
+    for x in num:
+        if means[x] is not None:
+            away = F.when(F.col("feature") == x, F.coalesce(v, F.lit(float(medians[x]))) - F.lit(means[x])).otherwise(away)
+    squares = {r["feature"]: r["s"] for r in held.groupBy("feature").agg((F.sum(n * away * away) / F.sum("n")).alias("s")).collect()}
+    most = held.where("text is not null").groupBy("feature").agg(F.max("n").alias("n"))
+    modes = {r["feature"]: r["mode"] for r in held.where("text is not null").join(most, ["feature", "n"])
+             .groupBy("feature").agg(F.min("text").alias("mode")).collect()}
+    rows = []  # a few for each column
+    for x in num:
+        scale = squares.get(x) or 0.0
+        rows += [("num", x, "median", medians.get(x), None), ("num", x, "mean", means[x], None),
+                 ("num", x, "scale", scale ** 0.5 if scale > 0 else 1.0, None)]
+    rows += [("cyc", x, "mean", means[x], None) for x in cyc]
+    rows += [("cat" if x in cat else "ord", x, "mode", None, modes.get(x)) for x in text]
+    table = spark.createDataFrame(rows, MODEL_SCHEMA)
+    if cat:  # missing categories became the mode, which is one of those counted
+        ranked = global_rank(held.where(F.col("text").isNotNull() & F.col("feature").isin(*cat)).select("feature", "text"),
+                             "text", by="feature")
+        table = table.union(ranked.select(F.lit("cat"), "feature", F.lit("category"), (F.col("rank") - 1).cast("double"), "text"))
     # stays distributed (categories can be many): written once, lineage cut
-    table = materialize(table.select(*[F.col(f.name).cast(f.dataType) for f in MODEL_SCHEMA.fields]))
-    train.unpersist()
-    return FeatureModel(table, num, cat, cyc, ords)
+    return FeatureModel(materialize(table), num, cat, cyc, ords)
 
 
 def transform_pipeline(df: DataFrame, model: FeatureModel, keep: list[str] = ("row_id", "label"),
                        vector: str | None = "features") -> DataFrame:
-    """F7 transform: one projection (plus one broadcast join per categorical
-    column).  Output columns ``group__col`` and, optionally, an array."""
+    """F7 transform: one projection, and one join per categorical column with its categories (their measured size
+    decides how it runs).  Output columns ``group__col`` and, optionally, an array."""
     # per-feature statistics only (features x stats rows); categories stay in the table
     rows = model.table.where(F.col("stat") != "category").collect()
     st = {(r["feature"], r["stat"]): (r["num"], r["text"]) for r in rows}
-    n_cats = {r["feature"]: r["n"] for r in model.table.where(F.col("stat") == "category")
-              .groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [x for x in model.categorical if n_cats.get(x, 0) <= INLINE_CATEGORIES]
-    if small:
-        rows = rows + model.table.where((F.col("stat") == "category") & F.col("feature").isin(*small)).collect()
     sel = [c(k) for k in keep if k in df.columns]
     for x in model.numeric:
         med, mean, scale = st[(x, "median")][0], st[(x, "mean")][0], st[(x, "scale")][0]
         v = F.coalesce(c(x).cast("double"), F.lit(med))
         sel.append(((v - F.lit(mean)) / F.lit(scale)).alias(f"num__{x}"))
+    for x in model.categorical:
+        sel.append(F.coalesce(c(x).cast("string"), F.lit(st[(x, "mode")][1])).alias(f"cat__{x}"))
     for x in model.cyclical:
         sel.append(F.coalesce(c(x), F.lit(st[(x, "mean")][0])).alias(f"cyc__{x}"))
     for x, order in model.ordinal.items():
         v = F.coalesce(c(x).cast("string"), F.lit(st[(x, "mode")][1]))
         sel.append(ordinal_fixed(v, order).cast("double").alias(f"ord__{x}"))
-    cat_maps = {}
-    for r in rows:
-        if r["stat"] == "category":
-            cat_maps.setdefault(r["feature"], []).append((r["text"], int(r["num"])))
-    for x in model.categorical:
-        v = F.coalesce(c(x).cast("string"), F.lit(st[(x, "mode")][1]))
-        pairs = cat_maps.get(x, [])
-        if x in small:
-            m = F.create_map(*[y for k, code in pairs for y in (F.lit(k), F.lit(code))]) if pairs else None
-            code = F.coalesce(m[v], F.lit(-1)) if m is not None else F.lit(-1)
-            sel.append(code.cast("double").alias(f"cat__{x}"))
-        else:  # very many categories: a join instead of a literal map
-            sel.append(v.alias(f"cat__{x}"))
     out = df.select(*sel)
-    big = [x for x in model.categorical if x not in small]
-    if big:
-        cats = model.table.where(F.col("stat") == "category").select(
-            "feature", F.col("text").alias("value"), F.col("num").cast("int").alias("code"))
-        out = apply_categories(out, [f"cat__{x}" for x in big],
-                               cats.withColumn("feature", F.concat(F.lit("cat__"), "feature")))
-        for x in big:
-            out = out.withColumn(f"cat__{x}", F.col(f"cat__{x}").cast("double"))
+    categories = model.table.where(F.col("stat") == "category")
+    for x in model.categorical:
+        own = categories.where(F.col("feature") == x).select(F.col("text").alias("_text"), F.col("num").alias("_code"))
+        out = out.join(own, F.col(f"cat__{x}") == F.col("_text"), "left").withColumn(
+            f"cat__{x}", F.coalesce("_code", F.lit(-1.0))).drop("_text", "_code")
     if vector:
         out = out.withColumn(vector, F.array(*[c(x) for x in model.output_columns]))
     return out

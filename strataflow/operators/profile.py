@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c, present, safe_corr
 from strataflow.session import materialize
-from strataflow.functions.ranking import count_below, exact_quantiles, value_counts_cumulative, with_scalar
+from strataflow.functions.ranking import (count_below, exact_quantiles, fixed_sum, in_ranges, quantiles_of_counts,
+                                          value_counts_cumulative, with_scalar)
 
 
 def _r(x: Column, nd: int = 6) -> Column:
@@ -80,23 +81,36 @@ def crosstab_share(df: DataFrame, row: str, col: str, top_k: int | None = None)
     return counts.select("row_key", "col_key", "n", _r(F.col("n") / F.sum("n").over(w)).alias("share"))
 
 
-def describe_exact(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, std (sample), min, exact quartiles, max per column."""
-    t = tall(df, cols)
-    basic = t.groupBy("feature").agg(
-        F.count("value").alias("count"), _r(F.avg("value")).alias("mean"), _r(F.stddev_samp("value")).alias("std"),
+def describe_exact(df: DataFrame, cols: list[str], ranges: int | None = None) -> DataFrame:
+    """Count, mean, std (sample), min, exact quartiles, max per column, unrounded.
+
+    One scan: everything is taken from the distinct values with their counts."""
+    counts = (tall(df, cols).where(F.col("value").isNotNull()).groupBy("feature", "value")
+              .agg(F.count(F.lit(1)).alias("n")))
+    held = in_ranges(counts, ["feature"], [F.col("value")], ranges)
+    value, n = F.col("value"), F.col("n")
+    basic = held.groupBy("feature").agg(
+        F.sum("n").alias("count"), (fixed_sum(value, n) / F.sum("n")).alias("mean"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(t, "value", [0.25, 0.5, 0.75], by="feature")
-    qw = q.groupBy("feature").agg(*[_r(F.max(F.when(F.col("q") == x, F.col("value")))).alias(n)
-                                    for x, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    return basic.join(qw, "feature", "left")
+    # squares of distances to the mean: no cancellation in columns with a large one
+    spread = (held.join(basic.select(F.col("feature").alias("_f"), F.col("mean").alias("_m")), F.col("feature") == F.col("_f"))
+              .groupBy("feature").agg((F.sum(n * (value - F.col("_m")) * (value - F.col("_m")))).alias("_ss"), F.sum("n").alias("_n"))
+              .select(F.col("feature").alias("_g"), F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))).alias("std")))
+    q = quantiles_of_counts(held, "value", [0.25, 0.5, 0.75], ["feature"])
+    qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("q") == x, F.col("value"))).alias(name)
+                                    for x, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    found = basic.join(spread, F.col("feature") == F.col("_g")).drop("_g").join(qw, "feature", "left")
+    every = df.sparkSession.createDataFrame([(x,) for x in cols], "feature string")  # a column without values has a row
+    return every.join(found, "feature", "left").select(
+        "feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
 def group_means(df: DataFrame, by: Column | str, cols: list[str], key_name: str = "key") -> DataFrame:
-    """Mean of ``cols`` per group key (a column or expression)."""
+    """Mean of ``cols`` per group key (a column or expression), unrounded."""
     key = c(by) if isinstance(by, str) else by
     return df.groupBy(key.alias(key_name)).agg(
-        F.count(F.lit(1)).alias("n"), *[_r(F.avg(c(x))).alias(f"mean_{x}") for x in cols])
+        F.count(F.lit(1)).alias("n"),
+        *[(fixed_sum(present(df, x).cast("double")) / F.count(present(df, x))).alias(f"mean_{x}") for x in cols])
 
 
 def pairwise_correlation(df: DataFrame, cols: list[str]) -> np.ndarray:

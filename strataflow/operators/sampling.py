@@ -7,14 +7,14 @@ layout and has an exact SQL equivalent.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c
-from strataflow.functions.ranking import global_rank, hash_cutoffs, hash_hex, hash_order, with_scalar
-from strataflow.session import materialize
+from strataflow.functions.ranking import global_rank, hash_cutoffs, hash_hex, key_at_rank, with_scalar
 
 
 def _dec(x: float) -> Column:
@@ -43,6 +43,18 @@ def allocate(counts: DataFrame, total_k: Column, label: str = "label", n: str =
     return t.select(label, n, (F.col("_base") + (rk <= extra).cast("bigint")).alias(out))
 
 
+def quotas(sizes: dict, total: int) -> dict:
+    """``total`` rows dealt to groups in proportion to their sizes: floors, then one more for the largest remainders
+    (ties: the smaller group value).  The same as :func:`allocate`, on a dict of one entry a group."""
+    whole = sum(sizes.values())
+    if not whole:
+        return dict.fromkeys(sizes, 0)
+    base = {g: total * n // whole for g, n in sizes.items()}
+    by_rest = sorted(sizes, key=lambda g: (-(total * sizes[g] % whole), g is not None, g))
+    more = set(by_rest[:total - sum(base.values())])
+    return {g: v + (g in more) for g, v in base.items()}
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, val_share: float = 0.2,
                      seed: int = 42, split_col: str = "split") -> DataFrame:
     """Exact stratified train / val / test split.
@@ -51,36 +63,50 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     ``ceil(val_share / (1 - test_share) * (n - n_test))`` of the rest; each is
     divided over classes by largest remainder.  A class's rows are ordered by
     the seeded hash of the key; rows up to its n_test-th hash are test, up to
-    its (n_test + n_val)-th val.  Only the two cut-off hashes of each class are
-    looked up (see ``hash_cutoffs``); the rows themselves are labelled where
-    they are, without a shuffle or a sort.  Rows with one key go together.
+    its (n_test + n_val)-th val.  Two scans of key and label look up the two
+    cut-off hashes of each class (see ``hash_cutoffs``); the rows themselves
+    are labelled where they are, hashed once, without a shuffle or a sort.
+    Rows with one key go together.
     """
-    h = hash_hex("split", c(key), seed)
-    counts = df.groupBy(c(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
-    # over the per-class table only: a few rows
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    k_test = F.ceil(_dec(test_share) * F.sum("n").over(whole)).cast("bigint")
-    q_test = materialize(allocate(counts, k_test, label, out="n_test"))
-    rem = q_test.select(label, (F.col("n") - F.col("n_test")).alias("n_rest"), "n_test")
-    rel_val = val_share / (1.0 - test_share)
-    k_val = F.ceil(_dec(round(rel_val, 12)) * F.sum("n_rest").over(whole)).cast("bigint")
-    quota = (allocate(rem, k_val, label, n="n_rest", out="n_val")
-             .join(rem.select(label, "n_test"), label).collect())  # one row per class
-    ranks = {r[label]: (r["n_test"], r["n_test"] + r["n_val"]) for r in quota}
-    last = hash_cutoffs(df, label, h, ranks)
-    split = F.lit("train")
-    for g, (n_test, n_val) in ranks.items():
-        mine = c(label).eqNullSafe(F.lit(g))
-        split = (F.when(mine & (h <= last.get((g, n_test), "")), F.lit("test"))
-                  .when(mine & (h <= last.get((g, n_val), "")), F.lit("val")).otherwise(split))
-    return df.withColumn(split_col, split)
+    return apply_cutoffs(df, split_cutoffs(df, label, key, test_share, val_share, seed), label, key, seed, split_col)
+
+
+def split_cutoffs(df: DataFrame, label: str, key: str, test_share: float = 0.2, val_share: float = 0.2,
+                  seed: int = 42) -> dict:
+    """``{class: (last test hash, last val hash)}`` of :func:`stratified_split`; reads only ``label`` and ``key``."""
+    ranks: dict = {}
+
+    def wanted(sizes: dict) -> dict:
+        n_test = quotas(sizes, math.ceil(Decimal(repr(float(test_share))) * sum(sizes.values())))
+        rest = {g: n - n_test[g] for g, n in sizes.items()}
+        of_rest = Decimal(repr(round(val_share / (1.0 - test_share), 12)))
+        n_val = quotas(rest, math.ceil(of_rest * sum(rest.values())))
+        ranks.update({g: (n_test[g], n_test[g] + n_val[g]) for g in sizes})
+        return ranks
+
+    last = hash_cutoffs(df.select(c(label).alias(label), c(key).alias(key)), label, hash_hex("split", c(key), seed), wanted)
+    return {g: tuple(last.get((g, r), "") for r in rs) for g, rs in ranks.items()}
+
+
+def apply_cutoffs(df: DataFrame, cutoffs: dict, label: str, key: str, seed: int = 42, split_col: str = "split") -> DataFrame:
+    """Label rows by the cut-offs of :func:`split_cutoffs`."""
+    def cut(i: int) -> Column:
+        out = F.lit("")
+        for g, hashes in cutoffs.items():
+            out = F.when(c(label).eqNullSafe(F.lit(g)), F.lit(hashes[i])).otherwise(out)
+        return out
+
+    # a projection of its own, so that the hash is computed once a row
+    hashed = df.withColumn("_h", hash_hex("split", c(key), seed))
+    split = F.when(F.col("_h") <= cut(0), F.lit("test")).when(F.col("_h") <= cut(1), F.lit("val")).otherwise(F.lit("train"))
+    return hashed.withColumn(split_col, split).drop("_h")
 
 
 def k_fold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold") -> DataFrame:
     """Stratified k-fold assignment: fold = (rank within class - 1) mod k."""
-    h, num = hash_order("fold", c(key), seed)
-    ranked = global_rank(df.withColumn("_h", h).withColumn("_hn", num), ["_hn", "_h", key], by=label, out="_rank")
-    return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_hn", "_rank")
+    hashed = df.withColumn("_h", hash_hex("fold", c(key), seed))
+    ranked = global_rank(hashed, ["_h", key], by=label, out="_rank")
+    return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank")
 
 
 def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42, purpose: str = "sample") -> DataFrame:
@@ -114,13 +140,19 @@ def balanced_resample(df: DataFrame, weight: Column, n_out: int | Column | None,
 def ordered_holdout(df: DataFrame, order: list[str] | str, share: float = 0.9, out: str = "holdout",
                     ) -> DataFrame:
     """E5: the first ``int(share * n)`` rows by an explicit order key (first
-    column numeric, the others break ties) are kept for fitting, the rest are
-    the hold-out.  The rank uses the two-level plan."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_rank(df, [order] if isinstance(order, str) else list(order), out="_rank")
-    j = with_scalar(ranked, n)  # row count as a literal
-    cut = F.floor(_dec(share) * F.col("_n"))
-    return j.withColumn(out, F.col("_rank") > cut).drop("_rank", "_n")
+    column numeric, the others break ties, nulls first) are kept for fitting,
+    the rest are the hold-out.  Only the key of the last kept row is looked up
+    (:func:`key_at_rank`); rows are compared with it where they are."""
+    order = [order] if isinstance(order, str) else list(order)
+    last = key_at_rank(df, order, int(Decimal(repr(float(share))) * df.count()))
+    if last is None:
+        return df.withColumn(out, F.lit(True))
+    kept, equal = F.lit(False), F.lit(True)
+    for name, v in zip(order, last, strict=True):
+        x, v = c(name), F.lit(v).cast(df.schema[name].dataType)
+        kept = kept | (equal & F.coalesce(x < v, x.isNull() & v.isNotNull()))
+        equal = equal & x.eqNullSafe(v)
+    return df.withColumn(out, ~(kept | equal))
 
 
 def stack_splits(parts: dict[str, DataFrame], split_col: str = "split") -> DataFrame:

@@ -74,20 +74,24 @@ DESC_COLS = ["hour", "x1", "x2", "x3", "n_harmed", "driver_age"]
 
 
 @register("describe_exact", _union(
-    "SELECT '{col}' AS feature, count({col}) AS count, round(avg({col}), 6) AS mean, "
+    "SELECT '{col}' AS feature, count({col}) AS count, "
+    "round(CAST(sum(CAST({col} AS DECIMAL(25, 9))) AS DOUBLE) / count({col}), 6) AS mean, "
     "round(stddev_samp({col}), 6) AS std, CAST(min({col}) AS DOUBLE) AS min, CAST(max({col}) AS DOUBLE) AS max, "
     "round(quantile_cont({col}, 0.25), 6) AS q25, round(quantile_cont({col}, 0.5), 6) AS q50, "
     "round(quantile_cont({col}, 0.75), 6) AS q75 FROM " + RECS, DESC_COLS))
 def q_describe_exact(spark, sf_dir):
-    return D.describe_exact(recs(spark, sf_dir), DESC_COLS)
+    d = D.describe_exact(recs(spark, sf_dir), DESC_COLS)
+    return d.select("feature", "count", "min", "max", *[F.round(x, 6).alias(x) for x in ("mean", "std", "q25", "q50", "q75")])
 
 
 @register("group_means", f"""
 SELECT CASE WHEN driver_age > 15 AND driver_age <= 35 THEN '(15, 35]' WHEN driver_age > 35 AND driver_age <= 100
-       THEN '(35, 100]' END AS key, count(*) AS n, round(avg(x1), 6) AS mean_x1, round(avg(x2), 6) AS mean_x2
+       THEN '(35, 100]' END AS key, count(*) AS n, round(CAST(sum(CAST(x1 AS DECIMAL(25, 9))) AS DOUBLE) / count(x1), 6) AS mean_x1,
+       round(CAST(sum(CAST(x2 AS DECIMAL(25, 9))) AS DOUBLE) / count(x2), 6) AS mean_x2
 FROM {RECS} GROUP BY 1""")
 def q_group_means(spark, sf_dir):
-    return D.group_means(recs(spark, sf_dir), B.bucket_label(F.col("driver_age"), [15, 35, 100]), ["x1", "x2"])
+    g = D.group_means(recs(spark, sf_dir), B.bucket_label(F.col("driver_age"), [15, 35, 100]), ["x1", "x2"])
+    return g.select("key", "n", *[F.round(x, 6).alias(x) for x in ("mean_x1", "mean_x2")])
 
 
 CORR_COLS = ["x1", "x2", "x3", "n_harmed", "driver_age"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,12 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder and cut its
-    lineage (reliable ``checkpoint``, never a machine-local one): later
-    references read the files instead of recomputing the input, and a lost
-    executor does not force a recomputation from the source."""
+    """Compute ``df`` once into a table below the shared checkpoint folder and
+    read it back: later references read the files instead of recomputing the
+    input, and a lost executor does not force a recomputation from the source.
+    (``checkpoint`` would run the last stage twice, once to count and once to
+    write; it is left for columns without a type, which files cannot hold.)"""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    schema = df.schema
+    if any(f.dataType.typeName() == "void" for f in schema.fields):
+        return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

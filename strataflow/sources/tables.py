@@ -76,10 +76,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The scan as it is, unless the session sets ``strataflow.scan.partitions``: then its rows are dealt to
+    """The scan as it is, unless the session sets ``spark.strataflow.scan.partitions``: then its rows are dealt to
     that many partitions.  For local runs on files of a single row group, which one task reads; a cluster leaves
     the setting alone."""
-    n = df.sparkSession.conf.get("strataflow.scan.partitions", "")
+    n = df.sparkSession.conf.get("spark.strataflow.scan.partitions", "")
     return df.repartition(int(n)) if n else df
 
 

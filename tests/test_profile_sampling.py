@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.functions import ranking
 from strataflow.functions.ranking import exact_quantiles, global_rank
 from strataflow.operators import features as FE
 from strataflow.operators import imbalance as H
@@ -9,13 +10,13 @@ from strataflow.operators import profile as D
 from strataflow.operators import sampling as E
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 100_000])  # many buckets and one
-def test_exact_quantiles_match_numpy(spark, bucket_rows):
+@pytest.mark.parametrize("ranges", [1200, 1, None])  # very many ranges, one, as many as the session has
+def test_exact_quantiles_match_numpy(spark, ranges):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.normal(size=500).round(2), np.full(300, 1.5)])  # heavy tie
     groups = rng.integers(0, 3, size=len(vals))
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, v double")
-    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", bucket_rows=bucket_rows).collect()}
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.95], by="g", ranges=ranges).collect()}
     for g in range(3):
         for q in (0.1, 0.5, 0.95):
             assert got[(g, q)] == pytest.approx(np.quantile(vals[groups == g], q), abs=1e-9)
@@ -25,7 +26,7 @@ def test_global_rank_equals_row_number(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame([(int(i % 3), float(x), int(i)) for i, x in enumerate(rng.normal(size=400))],
                                "g int, x double, id int")
-    r = global_rank(df, ["x", "id"], by="g", bucket_rows=9).collect()
+    r = global_rank(df, ["x", "id"], by="g", ranges=9).collect()
     for g in range(3):
         rows = sorted([(x["x"], x["id"], x["rank"]) for x in r if x["g"] == g])
         assert [t[2] for t in rows] == list(range(1, len(rows) + 1))
@@ -146,3 +147,60 @@ def test_pairwise_correlation_equals_numpy(spark):
         for j in range(3):
             both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
             assert abs(got[i, j] - np.corrcoef(both.T)[0, 1]) < 1e-9
+
+
+@pytest.mark.parametrize("ranges", [1200, None])
+def test_cumulative_counts_of_null_groups_and_both_orders(spark, ranges):
+    rows = [(g, float(v % 7)) for g in ("a", None) for v in range(40)] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for descending in (False, True):
+        got = ranking.value_counts_cumulative(df, "v", by="g", descending=descending, ranges=ranges).collect()
+        assert len(got) == 14
+        for r in got:
+            values = [v % 7 for v in range(40)]
+            upto = sum(v >= r.v if descending else v <= r.v for v in values)
+            assert (r.n_cum, r.n_before, r.n_total) == (upto, upto - values.count(r.v), 40)
+
+
+def test_key_at_rank_with_ties_and_nulls(spark):
+    rows = [(None, i) for i in range(5)] + [(1.0, i) for i in range(3000)] + [(float(i), i) for i in range(2, 500)]
+    df = spark.createDataFrame(rows, "x double, id int").repartition(6)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0.0, r[1]))
+    for rank in (1, 5, 6, 1500, 3005, 3006, len(rows)):
+        assert tuple(ranking.key_at_rank(df, ["x", "id"], rank)) == ordered[rank - 1]
+    assert ranking.key_at_rank(df, ["x", "id"], 0) is None
+    held = E.ordered_holdout(df, ["x", "id"], 0.9).where("holdout").count()
+    assert held == len(rows) - int(0.9 * len(rows))
+
+
+def test_cutoffs_where_a_prefix_holds_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SMALL", 3)
+    monkeypatch.setattr(ranking, "DIGITS", 1)
+    df = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"))
+    got = {r["k"]: r["split"] for r in E.stratified_split(df, "y", "k").collect()}
+    monkeypatch.undo()
+    assert got == {r["k"]: r["split"] for r in E.stratified_split(df, "y", "k").collect()}
+    ranked = df.withColumn("h", ranking.hash_hex("split", F.col("k"), 42)).collect()
+    for y in range(3):
+        order = [r["k"] for r in sorted((r for r in ranked if r["y"] == y), key=lambda r: r["h"])]
+        splits = [got[k] for k in order]
+        assert splits == sorted(splits, key=["test", "val", "train"].index)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 13])
+def test_means_do_not_depend_on_the_layout(spark, parts):
+    df = spark.range(60_000).select((F.col("id") % 11 / 100).alias("x"), (F.col("id") % 3).alias("g")).repartition(parts)
+    d = D.describe_exact(df, ["x"]).first()
+    total = sum(i % 11 for i in range(60_000))
+    assert d["mean"] == total / 100 / 60_000 and d["count"] == 60_000
+    sizes = {r["key"]: r["mean_x"] for r in D.group_means(df, "g", ["x"]).collect()}
+    assert sizes == {g: sum(i % 11 for i in range(g, 60_000, 3)) / 100 / 20_000 for g in range(3)}
+
+
+def test_describe_of_other_numbers(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=400) * 1e-13, [1e18, -3e17]])
+    df = spark.createDataFrame([(float(v), None) for v in x], "x double, none double")
+    d = {r["feature"]: r for r in D.describe_exact(df, ["x", "none"]).collect()}
+    assert d["x"]["mean"] == pytest.approx(x.mean()) and d["x"]["std"] == pytest.approx(x.std(ddof=1))
+    assert d["none"]["count"] == 0 and d["none"]["mean"] is None

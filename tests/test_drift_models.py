@@ -35,7 +35,7 @@ def test_mmd_matches_numpy_and_detects_shift(spark):
     kxx, kyy = k(ref, ref), k(new, new)
     mmd2 = ((kxx.sum() - np.trace(kxx)) / (100 * 99) + (kyy.sum() - np.trace(kyy)) / (50 * 49)
             - 2 * k(ref, new).mean())
-    got = DR.mmd_rbf(x, y, "z", "k", bw)
+    got = DR.mmd_rbf_pairs(x, y, "z", "k", bw)
     assert got == pytest.approx(math.sqrt(max(mmd2, 0)), abs=1e-9) and got >= 0
     assert not DR.detect_drift(x, y, "z", "k").first()["is_drifted"]
     assert DR.detect_drift(x, _vecs(spark, new + 10, 1000), "z", "k").first()["is_drifted"]
@@ -53,7 +53,7 @@ def test_all_pairs_count_above_one_block(spark):
     kxx, kyy = k(ref, ref), k(new, new)
     mmd2 = (kxx.sum() - 23) / (23 * 22) + (kyy.sum() - 310) / (310 * 309) - 2 * k(ref, new).mean()
     for block in (16, 4096):  # 2 and 20 blocks, one block
-        assert DR.mmd_rbf(x, y, "z", "k", 1.0, block) == pytest.approx(math.sqrt(mmd2), abs=1e-9)
+        assert DR.mmd_rbf_pairs(x, y, "z", "k", 1.0, block) == pytest.approx(math.sqrt(mmd2), abs=1e-9)
 
 
 def test_ks_matches_brute_force(spark):

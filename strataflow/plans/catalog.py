@@ -29,6 +29,7 @@ _MODULES = (
     "strataflow.plans.q_rules_metrics",
     "strataflow.plans.q_ledger",
     "strataflow.plans.q_stats",
+    "strataflow.plans.q_neighbours",
     "strataflow.plans.q_audit",
     "strataflow.plans.q_fitted",
     "strataflow.plans.q_streaming",

@@ -13,11 +13,11 @@ from pyspark.ml.util import DefaultParamsReader, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.operators import latent, models
+from strataflow.operators import latent, models, training
 
 # Parts that a champion may be made of, by the name they are stored under.
-PARTS = {c.__name__: c for c in (latent.Encoder, latent.Layer, models.OvrTrees, models.MlpModel, models.LrModel,
-                                 models.GmmClassifier, models.SubspaceClassifier, models.Champion)}
+PARTS = {c.__name__: c for c in (latent.Encoder, latent.Layer, models.OvrTrees, training.Network, training.FocalLogistic,
+                                 models.LrModel, models.GmmClassifier, models.SubspaceClassifier, models.Champion)}
 
 
 def save_champion(spark: SparkSession, champion: models.Champion, path: str) -> None:

@@ -1,4 +1,4 @@
-"""Classifier families on MLlib (J1-J7) and model-based rules (K3, K5).
+"""Classifier families on MLlib (J1, J3-J7) and model-based rules (K3, K5); see ``training`` for J2 and the focal loss.
 
 Training data is one table ``row_id, split, label, features array<double>``.
 MLlib estimators do the distributed fitting; the driver only holds model
@@ -13,8 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -82,35 +81,6 @@ def train_trees(data: DataFrame, n_classes: int = 3, features: str = "features",
     return OvrTrees(models, n_classes)
 
 
-# ------------------------------------------------------------------ J2 MLP
-
-@dataclass
-class MlpModel:
-    model: object
-
-    def predict(self, df: DataFrame, features: str = "features") -> DataFrame:
-        out = self.model.transform(with_vector(df, features))
-        out = out.withColumn("probs", vector_to_array("probability")).drop(VEC, "rawPrediction", "probability")
-        return out.withColumn("prediction", predict_argmax(F.col("probs")))
-
-
-def train_mlp(data: DataFrame, n_features: int, n_classes: int = 3, hidden: int = 64, features: str = "features",
-              label: str = "label", max_iter: int = 100, seed: int = 0, balance: bool = True,
-              key: str = "row_id") -> MlpModel:
-    """``MultilayerPerceptronClassifier(layers=[d, hidden, k])`` (sigmoid
-    hidden units in MLlib).  It has no weight column, so class balance comes
-    from the deterministic weighted resample (E4)."""
-    from strataflow.operators.sampling import balanced_resample
-    tr = data.where(F.col("split") == "train")
-    if balance:
-        w = class_weights(tr, label, n_classes)
-        tr = balanced_resample(with_row_weights(tr, w, label, "_w"), F.col("_w"), None, key, seed).drop("_w", "copy")
-    mlp = MultilayerPerceptronClassifier(featuresCol=VEC, labelCol="_y", layers=[n_features, hidden, n_classes],
-                                         maxIter=max_iter, seed=seed)
-    m = mlp.fit(with_vector(tr, features).withColumn("_y", F.col(label).cast("double")))
-    return MlpModel(m)
-
-
 # ------------------------------------------------------------------ J3 focal re-weighting
 
 @dataclass

@@ -27,6 +27,7 @@ from strataflow.operators import registry as RG
 from strataflow.operators import sampling as E
 from strataflow.operators import search as N
 from strataflow.operators import stats as M
+from strataflow.operators import training as TR
 from strataflow.operators.champion import save_champion
 from strataflow.sources import io as IO
 
@@ -126,7 +127,7 @@ def run_pipeline(spark: SparkSession, records: DataFrame, cfg: PipelineConfig |
     k = cfg.latent_dim
     fams = {
         "ml": lambda s: J.train_trees(data, 3, max_iter=cfg.tree_iter, seed=s),
-        "dl": lambda s: J.train_mlp(data, k, 3, max_iter=cfg.mlp_iter, seed=s, key=fc.key),
+        "dl": lambda s: TR.train_network(data, k, 3, lr=0.02, epochs=cfg.mlp_iter, seed=s, key=fc.key),
         "gmm": lambda s: J.train_gmm_classifier(data, cfg.gmm_components, n_init=1, seed=s),
     }
     ledgers, best = [], {}

@@ -17,6 +17,7 @@ from strataflow.operators import models as J
 from strataflow.operators import search as N
 from strataflow.operators import registry as RG
 from strataflow.operators import selection as G
+from strataflow.operators import training as TR
 from strataflow.operators.champion import champion_of, save_champion
 from strataflow.plans.catalog import register
 from strataflow.plans.q_features import pipeline_frame
@@ -99,7 +100,14 @@ def q_train_trees(spark, sf_dir):
 @register("train_mlp")
 def q_train_mlp(spark, sf_dir):
     lat = latent_table(spark, sf_dir)
-    m = J.train_mlp(lat, 8, 3, max_iter=50, seed=0)
+    m = TR.train_network(lat, 8, 3, hidden=64, lr=0.02, epochs=60, seed=0)
+    return eval_frame(spark, m.predict(lat))
+
+
+@register("train_focal_newton")
+def q_train_focal_newton(spark, sf_dir):
+    lat = latent_table(spark, sf_dir)
+    m = TR.train_focal_newton(lat, 8, 3, gamma=2.0)
     return eval_frame(spark, m.predict(lat))
 
 

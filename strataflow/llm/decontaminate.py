@@ -60,19 +60,22 @@ class Windows:
         self.prefixes: dict[int, tuple[np.ndarray, ...]] = {}
 
     def _row_codes(self, row: int, s: int) -> np.ndarray:
-        return self.shingles(self.ids[row, :self.lengths[row]], s)
+        return self.shingles(self.ids[row, :self.lengths[row]], s)[0]
 
-    def shingles(self, ids: np.ndarray, s: int) -> np.ndarray:
-        """A code for each run of ``s`` word ids; runs with a word foreign to the block get -1."""
+    def shingles(self, ids: np.ndarray, s: int) -> tuple[np.ndarray, np.ndarray]:
+        """A code for each run of ``s`` word ids, and whether all its words are the block's.
+
+        Codes are taken modulo 2^64, so with very many words different runs may share one; that only adds
+        candidates, whose words are verified."""
         n = len(ids) - s + 1
         if n <= 0:
-            return np.empty(0, dtype=np.int64)
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
         code, known = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
         for k in range(s):
             part = ids[k:k + n]
-            code = code * self.base + part
+            code = code * np.int64(self.base) + part
             known &= part > 0
-        return np.where(known, code, -1)
+        return code, known
 
     def order(self, counts: dict[tuple[int, int], int]) -> None:
         """Choose each window's rarest shingle (the first of equals) as its prefix."""
@@ -97,7 +100,7 @@ class Windows:
         """Starts and windows of all occurrences in a document's word ids."""
         starts, found, n = [], [], len(ids)
         for s, (keys, first, many, place, window) in self.prefixes.items():
-            at, slot = _lookup(self.shingles(ids, s), keys)
+            at, slot = _lookup(*self.shingles(ids, s), keys)
             for lo in range(0, len(at), CHECKED):
                 k = many[slot[lo:lo + CHECKED]]
                 entry = np.repeat(first[slot[lo:lo + CHECKED]] - np.cumsum(k) + k, k) + np.arange(k.sum())
@@ -116,11 +119,11 @@ class Windows:
         return np.concatenate(starts), np.concatenate(found)
 
 
-def _lookup(codes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the codes that are keys, and which keys they are (``keys`` sorted)."""
+def _lookup(codes: np.ndarray, known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the known codes that are keys, and which keys they are (``keys`` sorted)."""
     if not len(keys) or not len(codes):
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    at = np.flatnonzero(codes >= 0)
+    at = np.flatnonzero(known)
     slot = np.minimum(np.searchsorted(keys, codes[at]), len(keys) - 1)
     hit = keys[slot] == codes[at]
     return at[hit], slot[hit]
@@ -145,7 +148,7 @@ def _shingle_counts(docs: DataFrame, text_col: str, windows) -> dict[tuple[int,
             for text in utf8(batch, text_col):
                 ids = own.word_ids(words_of(text))
                 for s in own.sizes:
-                    total[s] += np.bincount(_lookup(own.shingles(ids, s), own.codes[s])[1], minlength=len(total[s]))
+                    total[s] += np.bincount(_lookup(*own.shingles(ids, s), own.codes[s])[1], minlength=len(total[s]))
         for s in own.sizes:
             hit = np.flatnonzero(total[s])
             yield pa.RecordBatch.from_arrays(

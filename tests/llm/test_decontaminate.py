@@ -66,3 +66,20 @@ def test_clashing_columns_and_empty_tables(spark, messy, no_docs):
     assert decontaminate.decontaminate(no_docs, items).count() == 0
     none = decontaminate.decontaminate(messy, items.limit(0)).agg(F.sum(F.size("hit_spans"))).first()[0]
     assert none == 0
+
+
+def test_codes_that_overflow(spark):
+    """With very many words the shingle codes go beyond 64 bits; nothing may be lost."""
+    docs, items = fixture(4)
+    texts = [(str(i), (t or "").encode()) for i, t in items]
+    plain_windows, wide = decontaminate.Windows(texts, 5), decontaminate.Windows(texts, 5)
+    wide.base = (1 << 43) + 3
+    wide.codes = {s: sorted({int(c) for r in range(len(wide.lengths)) if wide.grams[r] == s for c in wide._row_codes(r, s)})
+                  for s in wide.sizes}
+    assert any(c < 0 for codes in wide.codes.values() for c in codes)
+    found = {}
+    for name, w in (("plain", plain_windows), ("wide", wide)):
+        w.order({(s, int(c)): 1 for s in w.sizes for c in w.codes[s]})
+        found[name] = [sorted(zip(*(m.tolist() for m in w.matches(w.word_ids(decontaminate.words_of((t or "").encode()))))))
+                       for _, t in docs]
+    assert found["plain"] == found["wide"] and any(found["wide"])

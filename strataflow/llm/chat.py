@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.functions.ranking import global_rank
 from strataflow.llm.common import map_batches
 from strataflow.session import materialize
 
@@ -135,3 +136,27 @@ def pair_by_opening(convs: DataFrame) -> DataFrame:
                            F.when(swap, F.col("one")).otherwise(F.col("other")).alias("r"))
     return picked.select(F.col("c.conv_id").alias("chosen_id"), F.col("c.turns").alias("chosen"),
                          F.col("r.conv_id").alias("rejected_id"), F.col("r.turns").alias("rejected"))
+
+
+def with_other_answers(pairs: DataFrame) -> DataFrame:
+    """``pairs`` of ``pair_by_opening``, those without a rejected side completed by another conversation's answer.
+
+    The rejected side has the same turns up to the last assistant turn of the chosen one and there the words of the
+    last assistant turn of the next such conversation by id (after the last, the first), whose id is ``rejected_id``.
+    Conversations without an assistant turn or without an id neither get nor give an answer, and one that is alone
+    in that gets none. Equal words give two equal sides.
+    """
+    said = F.array_max(F.filter(F.transform("chosen", lambda t, i: F.when(t["role"].isin(*TRAINED), i)), lambda i: i.isNotNull()))
+    open_side = F.col("rejected").isNull() & F.col("chosen_id").isNotNull()
+    placed = global_rank(pairs.where(open_side).select("chosen_id", "chosen", said.alias("at")).where("at is not null"),
+                         "chosen_id", out="place")
+    many = placed.count()
+    if many < 2:
+        return pairs
+    donors = placed.select((F.pmod(F.col("place") - 2, F.lit(many)) + 1).alias("place"), F.col("chosen_id").alias("rejected_id"),
+                           F.get("chosen", F.col("at"))["text"].alias("answer"))
+    other = F.array(F.struct(F.get("chosen", F.col("at"))["role"].alias("role"), F.col("answer").alias("text")))
+    made = placed.join(donors, "place").select("chosen_id", F.col("rejected_id").alias("_id"), F.concat(
+        F.slice("chosen", F.lit(1), F.col("at")), other).cast(TURNS).alias("_turns"))
+    return pairs.join(made, "chosen_id", "left").select(
+        "chosen_id", "chosen", F.coalesce("rejected_id", "_id").alias("rejected_id"), F.coalesce("rejected", "_turns").alias("rejected"))

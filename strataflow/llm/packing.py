@@ -53,19 +53,20 @@ def _codes(values: pd.Series) -> list[int]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         cluster_col: str | None = None, tokens_col: str | None = None, capacity: int = 2048,
+         cluster_col: str | None = None, tokens_col: str | None = None, chars_col: str | None = None, capacity: int = 2048,
          chars_per_token: int = 4, lane: int = LANE) -> DataFrame:
     """One row per piece: the id, the source, ``piece``, ``start_char``/``end_char`` (end exclusive; the piece's
     text), ``n_tokens``, ``bin_id`` (long) and ``bin_offset`` (tokens before it in its bin).
 
     A token is ``chars_per_token`` characters, the last one maybe fewer, unless ``tokens_col`` holds exact
-    counts (then a piece's characters are its share of the text). Every document is packed whole: one of more
+    counts (then a piece's characters are its share of the text). With ``chars_col``, the texts' code points, and
+    ``cluster_col`` the text itself is not read. Every document is packed whole: one of more
     than ``capacity`` tokens becomes several pieces. Documents without tokens (null or empty) give one row
     with null ``bin_id``. No bin holds two pieces of a source or of a duplicate cluster (``cluster_col``; by
     default texts equal up to letter case and white space); a null source or cluster conflicts with nothing.
     Repeated rows are packed as often as they occur. Output depends on the files of the input alone.
     """
-    length = F.coalesce(F.char_length(text_col), F.lit(0))
+    length = F.coalesce(F.col(chars_col).cast("int") if chars_col else F.char_length(text_col), F.lit(0))
     tokens = F.coalesce(F.col(tokens_col), F.lit(0)).cast("long") if tokens_col else F.ceil(length / chars_per_token)
     cluster = (F.xxhash64(F.col(cluster_col)) if cluster_col
                else F.xxhash64(F.lower(F.trim(F.regexp_replace(text_col, r"\s+", " ")))))

@@ -90,7 +90,7 @@ def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    made = chat.format_pairs(chat.pair_by_opening(chat.conversations(turns)))
+    made = chat.format_pairs(chat.with_other_answers(chat.pair_by_opening(chat.conversations(turns))))
     return made.select(
         "chosen_id", "rejected_id", "n_common", "prompt", "chosen_completion", "rejected_completion",
         *[F.array_join(F.transform(f"{side}_mask", lambda x: F.concat_ws(
@@ -111,10 +111,19 @@ OP6_SQL = f"""
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 c AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn, role, text) AS turns FROM t GROUP BY 1),
 k AS (SELECT *, row_number() OVER w AS n, lead(conv_id) OVER w AS other_id, lead(turns) OVER w AS other
-      FROM c WINDOW w AS (PARTITION BY turns[1], conv_id // 1024 ORDER BY conv_id)),
-p AS (SELECT *, other_id IS NOT NULL AND length(other[-1].text) > length(turns[-1].text) AS swap FROM k WHERE n % 2 = 1),
-q AS (SELECT CASE WHEN swap THEN other_id ELSE conv_id END AS chosen_id, CASE WHEN swap THEN conv_id ELSE other_id END AS rejected_id,
-             CASE WHEN swap THEN other ELSE turns END AS a, coalesce(CASE WHEN swap THEN turns ELSE other END, []) AS b FROM p),
+      FROM c WINDOW w AS (PARTITION BY turns[1] ORDER BY conv_id)),
+o AS (SELECT *, CASE WHEN other_id IS NULL THEN list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant'))
+             END AS said FROM k WHERE n % 2 = 1),
+l AS (SELECT conv_id, turns[said].text AS answer, row_number() OVER (ORDER BY conv_id) AS place, count(*) OVER () AS many
+      FROM o WHERE said IS NOT NULL),
+g AS (SELECT x.conv_id, y.conv_id AS donor, y.answer FROM l AS x JOIN l AS y ON y.place = x.place % x.many + 1 WHERE x.many > 1),
+p AS (SELECT o.*, donor, answer, other_id IS NOT NULL AND length(other[-1].text) > length(turns[-1].text) AS swap
+      FROM o LEFT JOIN g USING (conv_id)),
+q AS (SELECT CASE WHEN swap THEN other_id ELSE conv_id END AS chosen_id,
+             CASE WHEN swap THEN conv_id ELSE coalesce(other_id, donor) END AS rejected_id,
+             CASE WHEN swap THEN other ELSE turns END AS a,
+             CASE WHEN swap THEN turns WHEN other_id IS NOT NULL THEN other WHEN donor IS NOT NULL
+                  THEN list_append(turns[1:said - 1], struct_pack(role := turns[said].role, text := answer)) ELSE [] END AS b FROM p),
 m AS (SELECT *, CAST(coalesce(list_min(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] IS DISTINCT FROM b[i])) - 1,
                               least(len(a), len(b))) AS INTEGER) AS n_common FROM q),
 r AS (SELECT *, a[n_common + 1:] AS chosen_rest, b[n_common + 1:] AS rejected_rest FROM m),
@@ -139,8 +148,11 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return packing.pack(docs)
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "source", F.char_length("text").alias("n_chars"))
+    # a duplicate cluster is a component of near copies
+    clustered = simhash.add_components(docs, words=3, max_bits=2, drop=("text",))
+    return packing.pack(clustered, chars_col="n_chars", cluster_col="component_id")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

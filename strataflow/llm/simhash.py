@@ -4,11 +4,11 @@ Fingerprints at most two bits apart, cut into two halves, agree in one half up t
 Every half is indexed under 32 variants, each with one bit masked, so such a pair meets under an
 equal key; the full distance is verified after the equality join.
 
-A key under which many fingerprints meet (large families of near copies) is not paired out. Two
-fingerprints at most two bits apart also share a neighbour one flip away from both, and all
-fingerprints around one such centre are at most two bits apart from each other. So the members of
-crowded keys are linked through the centres: at most 65 rows per fingerprint, groups of at most 65,
-no pair lost and none to verify.
+The fingerprints that meet another under some key are verified without pairing a key's members out
+(families of near copies may be large, and in a large corpus many meet by chance). Two fingerprints at
+most two bits apart share a neighbour one flip away from both, and all fingerprints around one such
+centre are at most two bits apart from each other. So linking every centre's fingerprints verifies the
+full distance exactly: at most 65 rows per fingerprint, groups of at most 65, no pair lost or added.
 """
 
 from __future__ import annotations
@@ -63,11 +63,11 @@ def _mapped(docs: DataFrame, text_col: str, words: int, name: str, drop: tuple[s
     return map_batches(docs, start, [T.StructField(name, T.LongType())], drop)
 
 
-def links(prints: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Links ``(a, b)`` that connect exactly the fingerprints at most ``max_bits`` (0 to 2) apart.
 
-    ``prints`` has a long column ``fingerprint``; repeats and nulls are ignored. A key with more than
-    ``crowd`` fingerprints goes through the centres instead (see the module's text).
+    ``prints`` has a long column ``fingerprint``; repeats and nulls are ignored. Two fingerprints one centre
+    apart may be linked through a third one instead of to each other.
     """
     if max_bits not in (0, 1, 2):
         raise ValueError("max_bits must be 0, 1 or 2")
@@ -81,23 +81,14 @@ def links(prints: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
     half = "(shiftrightunsigned(fingerprint, 32 * int(p div 32)) & 4294967295L)"
     variants = (spread.select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("p"))
                 .selectExpr("fingerprint", f"(shiftleft(bigint(p), 32) | ({half} & ~shiftleft(1L, p % 32))) as k"))
-    keys = stage(variants.groupBy("k").agg(F.count("*").alias("n"), F.min("fingerprint").alias("a"),
-                                           F.max("fingerprint").alias("b")).where("n > 1"), "keys")
-    near = f"bit_count(a ^ b) <= {max_bits}"
-    two = keys.where("n = 2").select("a", "b").where(near)
+    keys = stage(variants.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "keys")
     # shuffled at any size: as a broadcast the keys would do for small inputs alone
-    met = stage(variants.hint("merge").join(keys.where("n > 2").select("k", "n"), "k"), "met")
-    few = met.where(F.col("n") <= crowd)
-    # a pair equal in the whole half meets under all 32 of its variants: taken under the first alone
-    once = ("(k div 4294967296) % 32 = 0 or "
-            "((case when k div 4294967296 < 32 then a ^ b else shiftrightunsigned(a ^ b, 32) end) & 4294967295L) <> 0")
-    some = (few.select("k", F.col("fingerprint").alias("a")).join(few.select("k", F.col("fingerprint").alias("b")), "k")
-            .where(F.col("a") < F.col("b")).where(near).where(once).select("a", "b"))
-    crowded = met.where(F.col("n") > crowd).select("fingerprint").distinct()
-    return two.union(some).union(_through_centres(crowded, max_bits))
+    met = stage(variants.hint("merge").join(keys, "k").select("fingerprint").distinct(), "met")
+    return _through_centres(met, max_bits)
 
 
 def _through_centres(prints: DataFrame, max_bits: int) -> DataFrame:
+    """Links among fingerprints, all of them at most ``max_bits`` (1 or 2) long: each centre's to its smallest."""
     if max_bits == 1:  # one apart: equal but for one masked bit of the whole fingerprint
         masked = prints.select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("p")).selectExpr(
             "fingerprint", "p", "fingerprint & ~shiftleft(1L, p) as centre")
@@ -124,6 +115,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(components(rows, id_col, max_bits), "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
+def add_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 2,
+                   out: str = "component_id", drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` without the columns ``drop``, each row with its component (see ``near_duplicates``) as ``out``.
+
+    A column of that name is replaced, all others pass through; every row stays as often as it occurs.
+    """
+    place = _free("near", docs.columns)
+    rows = stage(_mapped(docs.drop(out), text_col, words, place, drop), "near")
+    found = components(rows.select(F.col(place).alias("fingerprint"), F.col(id_col).alias("_id")), "_id", max_bits)
+    found = found.select(F.col("fingerprint").alias(place), F.col("component_id").alias(out))
+    return rows.join(found, place).drop(place)
+
+
 def components(rows: DataFrame, id_col: str, max_bits: int) -> DataFrame:
     """``(fingerprint, component_id)`` for the fingerprints of ``rows``."""
     per = stage(rows.groupBy("fingerprint").agg(F.min(id_col).alias("_least")), "least")

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.llm import packing
+from strataflow.llm import packing, simhash
 
 
 def plain(sizes, sources, clusters, capacity):
@@ -71,3 +71,27 @@ def test_exact_counts_and_clusters(spark):
 
 def test_empty(no_docs):
     assert packing.pack(no_docs).count() == 0
+
+
+def test_near_copies_of_other_sources_share_no_bin(spark):
+    rng = random.Random(1)
+    words = [f"word{i}" for i in range(400)]
+    rows = []
+    for family in range(6):
+        base = [rng.choice(words) for _ in range(600)]
+        for copy in range(8):
+            text = list(base)
+            text[rng.randrange(600)] = "changed"
+            rows.append((100 * family + copy, " ".join(text), f"source{copy}-{family}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clustered = simhash.add_components(docs.withColumn("n", F.char_length("text")), drop=("text",))
+    component = {r.doc_id: r.component_id for r in clustered.collect()}
+    assert any(list(component.values()).count(c) > 4 for c in component.values())
+    bins = defaultdict(list)
+    for r in packing.pack(clustered, chars_col="n", cluster_col="component_id", capacity=4096).collect():
+        bins[r.bin_id].append(component[r.doc_id])
+    assert all(len(own) == len(set(own)) for own in bins.values()) and any(len(own) > 1 for own in bins.values())
+    free = defaultdict(list)
+    for r in packing.pack(docs, capacity=4096).collect():  # copies by exact text only
+        free[r.bin_id].append(component[r.doc_id])
+    assert any(len(own) > len(set(own)) for own in free.values())

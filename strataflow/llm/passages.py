@@ -9,8 +9,9 @@ segments that are equal as a whole are repeated throughout. The segments left ov
 common anchor, go to one shard, whose suffix array is built by induced sorting; neighbours in it whose common
 prefix (computed in text order, from each suffix to its predecessor) has ``length`` bytes are repeats.
 
-An anchor under which very many different segments meet is not given to one task: its segments are taken apart
-into their single windows, which are spread by a 128-bit digest and counted.
+An anchor under which very many different segments meet is not given to one task: its segments are dealt again by
+a second, longer anchor of each window, those that still meet in crowds by a third, and so on up to an anchor as
+long as the window, under which only equal windows meet. Suffix arrays find the repeats at every level.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ BLOCK = 1 << 20   # bytes hashed at once
 SHARD = 2 << 20   # bytes of segments sorted by one call, on average
 STACK = 1 << 20   # letters in one stack of suffix arrays
 ALONE = 4 << 10   # bytes from which an anchor's segments are sorted by themselves
-CROWD = 2048      # different segments under one anchor that a suffix array takes
+CROWD = 2048      # different segments under one anchor in one task; more are dealt again by longer anchors
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -256,21 +256,86 @@ def _sorted_shard(length: int, gram: int):
     return run
 
 
-def _windows(length: int):
-    """A digest (128 bits) of each window of crowded segments, and the window's place about the anchor."""
+def _resegment(length: int, gram: int):
+    """The segments of segments under the anchors of ``gram`` bytes: parent ``ph, ps, pn``, first window ``off`` in it,
+    and the part's own ``h, s, n, bytes``."""
     def run(batches):
         for batch in batches:
-            rows = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "s", "n", "bytes")]
-            out = [(h, s, n, i, xxhash.xxh3_128_digest(b[i:i + length]))
-                   for h, s, n, b in zip(*rows, strict=True) for i in range(n)]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            h, s, n, pieces = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "s", "n", "bytes"))
+            rows = []
+            for held in _slices([len(p) for p in pieces], length):
+                text = np.frombuffer(b"".join(pieces[d][lo:hi] for d, lo, hi in held), dtype=np.uint8)
+                if len(text) < length:
+                    continue
+                ends = np.cumsum([hi - lo for _, lo, hi in held])
+                starts = np.append(0, ends[:-1])
+                for anchor, content, at, many, own in zip(*(x.tolist() for x in segments(text, starts, ends, length, gram)), strict=True):
+                    d, lo, _ = held[own]
+                    off = at - int(starts[own]) + lo
+                    rows.append((h[d], s[d], n[d], off, anchor, content, many, pieces[d][off:off + many + length - 1]))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                                             ["h", "s", "n", "i", "digest"])
+                                             ["ph", "ps", "pn", "off", "h", "s", "n", "bytes"])
 
     return run
 
 
+def _places(kinds: DataFrame, crowd: int, shard_bytes: int) -> DataFrame:
+    """``h, place``: the shard of each anchor of ``kinds`` (h, kinds, bytes), -1 where more than ``crowd`` segments meet.
+
+    Anchors of similar size sort together, in shards of about ``shard_bytes``."""
+    sizes = (kinds.where(F.col("kinds") <= crowd).groupBy(_size_class("bytes").alias("class"))
+             .agg(F.sum("bytes").alias("bytes")).collect())  # a row for each size class, under 64
+    split = {int(r["class"]): max(1, -(-r["bytes"] // shard_bytes)) for r in sizes}
+    by_class = F.coalesce(*[F.when(F.col("class") == c, F.pmod(F.xxhash64("h"), F.lit(k)) * 64 + c) for c, k in split.items()],
+                          F.lit(-1).cast("long")) if split else F.lit(-1).cast("long")
+    return kinds.withColumn("class", _size_class("bytes")).select(
+        "h", F.when(F.col("kinds") > crowd, F.lit(-1)).otherwise(by_class).cast("int").alias("place"))
+
+
+def _kinds(distinct: DataFrame, length: int) -> DataFrame:
+    """Anchors under which different segments meet, how many and how long they are together."""
+    return distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + F.lit(length)).alias("bytes")).where("kinds > 1")
+
+
+def _joined(hits: DataFrame) -> DataFrame:
+    """The flags of segments ``h, s, n`` put together from those of their parts (``hits``: structs of off, n, bits)."""
+    @F.pandas_udf("binary")
+    def join(n: pd.Series, parts: pd.Series) -> pd.Series:
+        out = []
+        for size, own in zip(n, parts, strict=True):
+            flags = np.zeros(size, dtype=bool)
+            for p in own:
+                flags[p["off"]:p["off"] + p["n"]] |= True if p["bits"] is None else np.unpackbits(
+                    np.frombuffer(p["bits"], dtype=np.uint8), count=p["n"]).astype(bool)
+            out.append(_bits(flags))
+        return pd.Series(out, dtype=object)
+
+    return hits.select("h", "s", "n", join("n", "hits").alias("bits"))
+
+
+def _crowded(pieces: DataFrame, length: int, grams: list[int], crowd: int, shard_bytes: int) -> DataFrame:
+    """The repeats ``h, s, n, bits`` inside the different segments ``h, s, n, bytes`` of crowded anchors, found under
+    anchors of the next length of ``grams``, and so on."""
+    parts = stage(pieces.mapInArrow(_resegment(length, grams[0]),
+                                    "ph long, ps long, pn int, off long, h long, s long, n int, bytes binary"), "parts")
+    distinct = stage(parts.groupBy("h", "s", "n").agg(F.count("*").alias("times"), F.any_value("bytes").alias("bytes")), "kinds")
+    kinds = _kinds(distinct, length)
+    last = len(grams) == 1  # under anchors as long as a window only equal windows meet
+    dealt = stage(distinct.join(_places(kinds, (1 << 31) - 1 if last else crowd, shard_bytes), "h")
+                  .select("h", "s", "n", "place", "bytes"), "pieces")
+    found = dealt.where("place >= 0").groupBy("place").applyInPandas(
+        _sorted_shard(length, grams[0]), "h long, s long, n int, bits binary")
+    if not last and dealt.where("place < 0").limit(1).count():
+        found = found.union(_crowded(dealt.where("place < 0").select("h", "s", "n", "bytes"), length, grams[1:], crowd, shard_bytes))
+    whole = distinct.where("times > 1").select("h", "s", "n", F.lit(None).cast("binary").alias("bits"))
+    found = found.join(whole.select("h", "s", "n"), ["h", "s", "n"], "left_anti").union(whole)
+    hits = (parts.drop("bytes").join(found, ["h", "s", "n"]).groupBy("ph", "ps", "pn")
+            .agg(F.collect_list(F.struct("off", "n", "bits")).alias("hits")))  # parts of one segment
+    return _joined(hits.toDF("h", "s", "n", "hits"))
+
+
 def _removed(size: int, hits: list[dict], length: int) -> list[tuple[int, int]]:
     """Maximal removed runs of a document of ``size`` bytes."""
     edge = np.zeros(size + 1, dtype=np.int64)
@@ -342,15 +407,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     # segments by content, and how many different ones share the anchor
     distinct = stage(shared.groupBy("h", "s", "n").agg(
         F.sum(F.size("at")).alias("times"), F.min(F.struct("row", F.get("at", F.lit(0)).alias("at"))).alias("one")), "distinct")
-    kinds = distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + F.lit(length)).alias("bytes")).where("kinds > 1")
-    # anchors of similar size sort together, in shards of about shard_bytes
-    sizes = (kinds.where(F.col("kinds") <= crowd).groupBy(_size_class("bytes").alias("class"))
-             .agg(F.sum("bytes").alias("bytes")).collect())  # a row for each size class, under 64
-    split = {int(r["class"]): max(1, -(-r["bytes"] // shard_bytes)) for r in sizes}
-    by_class = F.coalesce(*[F.when(F.col("class") == c, F.pmod(F.xxhash64("h"), F.lit(k)) * 64 + c) for c, k in split.items()],
-                          F.lit(-1).cast("long")) if split else F.lit(-1).cast("long")
-    placed = kinds.withColumn("class", _size_class("bytes")).select(
-        "h", F.when(F.col("kinds") > crowd, F.lit(-1)).otherwise(by_class).cast("int").alias("place"))
+    placed = _places(_kinds(distinct, length), crowd, shard_bytes)
     wanted = (distinct.join(placed, "h").groupBy("one.row")
               .agg(F.collect_list(F.struct("h", "s", "n", F.col("one.at").alias("at"), "place")).alias("wanted")))
     pieces = stage(scanned.select("row", "blob").join(wanted, "row").select("blob", "wanted").mapInArrow(
@@ -358,12 +415,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     sorted_ = pieces.where("place >= 0").groupBy("place").applyInPandas(
         _sorted_shard(length, gram), "h long, s long, n int, bits binary")
     whole = distinct.where("times > 1").select("h", "s", "n", F.lit(None).cast("binary").alias("bits"))
-    windows = stage(pieces.where("place < 0").select("h", "s", "n", "bytes").mapInArrow(
-        _windows(length), "h long, s long, n int, i int, digest binary"), "windows")
-    twice = windows.groupBy("digest").count().where("count > 1").select("digest")
-    crowded = (windows.join(twice, "digest", "left_semi").groupBy("h", "s", "n")
-               .agg(F.collect_set("i").alias("i"))).select("h", "s", "n", _mask("i").alias("bits"))  # n windows at most
-    found = sorted_.union(crowded).join(whole.select("h", "s", "n"), ["h", "s", "n"], "left_anti").union(whole)
+    if pieces.where("place < 0").limit(1).count():
+        longer = [*(g for g in (2 * gram, 4 * gram) if g < length), length]
+        sorted_ = sorted_.union(_crowded(pieces.where("place < 0").select("h", "s", "n", "bytes"), length, longer, crowd, shard_bytes))
+    found = sorted_.join(whole.select("h", "s", "n"), ["h", "s", "n"], "left_anti").union(whole)
     hits = (shared.join(found, ["h", "s", "n"]).groupBy("row")
             .agg(F.collect_list(F.struct("n", "at", "bits")).alias("hits")))  # of one document
     rest = T.BinaryType() if with_text else T.StringType()
@@ -379,15 +434,6 @@ def _size_class(col: str):
     return F.least(F.floor(F.log(F.col(col).cast("double")) / float(np.log(1.25))), F.lit(63))
 
 
-def _mask(col: str):
-    """Window numbers as the bits that ``np.packbits`` makes of their flags."""
-    @F.pandas_udf("binary")
-    def mask(numbers: pd.Series) -> pd.Series:
-        return numbers.map(lambda x: _bits(np.bincount(np.asarray(x), minlength=1) > 0))
-
-    return mask(col)
-
-
 def with_digest(done: DataFrame) -> DataFrame:
     """``n_removed`` and ``n_spans`` from ``removed``."""
     total = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])

@@ -63,6 +63,30 @@ def test_against_brute_force(spark, monkeypatch, seed, crowd, block):
     assert {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in done} == dict(enumerate(want))
 
 
+def test_more_segments_under_one_anchor_than_a_task_takes(spark):
+    """2,300 texts around one passage, which is too short to repeat by itself; some share what surrounds it, too."""
+    rng = random.Random(8)
+    letters = range(97, 123)
+    passage = bytes(rng.choices(letters, k=150))
+    hedge = [bytes(rng.choices(letters, k=130)) for _ in range(40)]
+    texts = []
+    for i in range(2300):
+        before = rng.choice(hedge) if i % 9 == 0 else bytes(rng.choices(letters, k=130))
+        after = rng.choice(hedge) if i % 13 == 0 else bytes(rng.choices(letters, k=130))
+        texts.append(before + passage + after)
+    df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    seen = []
+    real = passages._crowded
+    passages._crowded = lambda *a: seen.append(1) or real(*a)
+    try:
+        done = passages.with_digest(passages.remove_repeats(df, with_text=False)).collect()
+    finally:
+        passages._crowded = real
+    want = plain(texts, 200)
+    assert seen and {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in done} == dict(enumerate(want))
+    assert sum(n > 0 for n, _, _ in want) > 100
+
+
 def test_slices_see_every_window_once(monkeypatch):
     monkeypatch.setattr(passages, "BLOCK", 50)
     text = bytes(random.Random(1).choices(range(97, 100), k=700))

@@ -1,9 +1,10 @@
 """Approximate nearest neighbours with a permutation index.
 
 Every vector is represented by the order of its nearest pivots and posted, with each pivot's place in that
-order, to the pivots' inverted files. A query adds up, file by file, the differences between its own places
-and the posted ones (the footrule distance); the vectors of least footrule distance are ranked again by their
-true distance.
+order, to the inverted files of these few pivots alone. A query reads the files of its own nearest pivots and
+adds up the differences between its places and the posted ones, a pivot that a vector was not posted to counting
+as the place after its last (the footrule distance on the query's pivots); the vectors of least footrule distance
+are ranked again by their true distance.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import stage
+from strataflow.llm.common import cells, packed, stage
 
-PIVOTS = 256     # vectors sampled as pivots, at most (a place is one byte)
-SHARE = 0.1      # of the vectors of an index block are ranked again for each query
-LEAST = 256      # but so many of a block at least
+PIVOTS = 1024    # vectors sampled as pivots, at most
+POSTED = 128     # files a vector is posted to
+ASKED = 64       # files a query reads
+SHARE = 0.15     # of the vectors of an index block are ranked again for each query
+LEAST = 64       # but so many of a block at least
+STRIP = 2048     # vectors whose distances to all pivots are held at once
 QUERIES = 2000   # queries in a block, on average
 
 
@@ -28,39 +32,40 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             .select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v")))
 
 
-def _places(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Each pivot's place in each vector's order of nearness; equally near ones in order of number."""
-    near = (pivots ** 2).sum(axis=1) - 2 * x @ pivots.T
-    order = np.argsort(near, axis=1, kind="stable")
-    places = np.empty(order.shape, dtype=np.uint8)
-    np.put_along_axis(places, order, np.arange(order.shape[1], dtype=np.uint8)[None].repeat(len(x), 0), axis=1)
-    return places
+def _near(x: np.ndarray, pivots: np.ndarray, many: int) -> np.ndarray:
+    """The numbers of each vector's ``many`` nearest pivots, nearest first; equally near ones in order of number."""
+    out = np.empty((len(x), many), dtype="<u2")
+    for at in range(0, len(x), STRIP):
+        far = (pivots ** 2).sum(axis=1) - 2 * x[at:at + STRIP] @ pivots.T
+        out[at:at + STRIP] = np.argsort(far, axis=1, kind="stable")[:, :many]
+    return out
 
 
 def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS,
-                ) -> tuple[DataFrame, int]:
-    """A written table ``row, vec_id, v, places`` of every usable vector, and the vectors' length.
+                posted: int = POSTED) -> tuple[DataFrame, int]:
+    """A written table ``row, vec_id, v, near`` of every usable vector with the pivots it is posted to, and the
+    vectors' length.
 
     Vectors that are null, zero, or hold null or non-finite components, those of another length than most
-    pivots, and those with a null id are left out. Pivots: the ``pivots`` (256 at most) rows of least id hash.
+    pivots, and those with a null id are left out. Pivots: the ``pivots`` (65,536 at most) rows of least id hash.
     """
-    if not 1 <= pivots <= 256:
-        raise ValueError("1 to 256 pivots")
+    if not 1 <= pivots <= 1 << 16:
+        raise ValueError("1 to 65,536 pivots")
     valid = _valid(vectors, id_col, vector_col)
     sample = [r["v"] for r in valid.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(pivots).collect()]
     lengths = [len(v) for v in sample]
     size = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
     chosen = np.array([v for v in sample if len(v) == size], dtype=np.float64).reshape(-1, size or 1)
 
-    def places(batches):
+    many = min(posted, len(chosen))
+
+    def near(batches):
         for batch in batches:
-            x = _matrix(batch, size)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([r.tobytes() for r in _places(x, chosen)], pa.binary())],
-                [*batch.schema.names, "places"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, cells(_near(_matrix(batch, size), chosen, many))],
+                                             [*batch.schema.names, "near"])
 
     rows = valid.where(F.size("v") == size).withColumn("row", F.monotonically_increasing_id())
-    return stage(rows.mapInArrow(places, "vec_id long, v array<double>, row long, places binary"), "index"), size
+    return stage(rows.mapInArrow(near, "vec_id long, v array<double>, row long, near binary"), "index"), size
 
 
 def _matrix(batch: pa.RecordBatch, size: int) -> np.ndarray:
@@ -69,7 +74,7 @@ def _matrix(batch: pa.RecordBatch, size: int) -> np.ndarray:
 
 
 def nearest(index: DataFrame, size: int, queries: DataFrame, k: int = 10, share: float = SHARE,
-            least: int = LEAST) -> DataFrame:
+            least: int = LEAST, asked: int = ASKED) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest found by Euclidean distance.
 
     ``queries`` are rows of the index; a query never finds its own row (but finds another row of the same id or
@@ -81,11 +86,11 @@ def nearest(index: DataFrame, size: int, queries: DataFrame, k: int = 10, share:
     blocks = max(1, -(-queries.count() // QUERIES))
     parts = []
     for b in range(blocks):
-        own = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).select("row", "vec_id", "v", "places").collect()
+        own = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).select("row", "vec_id", "v", "near").collect()
         shipped = spark.sparkContext.broadcast((
             np.array([r["row"] for r in own], dtype=np.int64), np.array([r["vec_id"] for r in own], dtype=np.int64),
             np.array([r["v"] for r in own], dtype=np.float64),
-            np.array([np.frombuffer(r["places"], dtype=np.uint8) for r in own], dtype=np.int16)))
+            np.array([np.frombuffer(r["near"], dtype="<u2")[:asked] for r in own], dtype=np.int64)))
         found = index.mapInArrow(_search(shipped, size, k, share, least),
                                  "query_row long, query_id long, row long, vec_id long, score double")
         parts.append(stage(found, "found") if blocks > 1 else found)
@@ -97,23 +102,43 @@ def nearest(index: DataFrame, size: int, queries: DataFrame, k: int = 10, share:
             .select("query_id", "rank", "vec_id", "score"))
 
 
+class Files:
+    """The inverted files of one block: for each pivot the vectors posted to it and their places."""
+
+    def __init__(self, near: np.ndarray):
+        n, self.posted = near.shape
+        flat = near.ravel().astype(np.int64)
+        order = np.argsort(flat, kind="stable")
+        self.rows, self.places = order // self.posted, order % self.posted
+        self.ends = np.cumsum(np.bincount(flat, minlength=int(flat.max(initial=-1)) + 1))
+        self.n = n
+
+    def footrule(self, asked: np.ndarray) -> np.ndarray:
+        """Every vector's distance to a query whose nearest pivots are ``asked``; only their files are read."""
+        asked = asked[asked < len(self.ends)]
+        lo = np.where(asked > 0, self.ends[asked - 1], 0)
+        sizes = self.ends[asked] - lo
+        at = np.repeat(lo - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        own = np.repeat(np.arange(len(asked)), sizes)
+        # what a posted place is nearer than an absent one
+        less = (self.posted - own) - np.abs(self.places[at] - own)
+        return -np.bincount(self.rows[at], weights=less, minlength=self.n)
+
+
 def _search(shipped, size: int, k: int, share: float, least: int):
     def search(batches):
-        query_rows, query_ids, query_vectors, query_places = shipped.value
+        query_rows, query_ids, query_vectors, query_near = shipped.value
         best: list[list[tuple[float, int, int]]] = [[] for _ in query_rows]
         for batch in batches:
             x, n = _matrix(batch, size), batch.num_rows
+            if not n:
+                continue
             rows, ids = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("row", "vec_id"))
-            posted = np.frombuffer(b"".join(batch.column(batch.schema.get_field_index("places")).to_pylist()), np.uint8)
-            files = np.ascontiguousarray(posted.reshape(n, -1).T.astype(np.int16))  # one inverted file a pivot
+            width = len(batch.column(batch.schema.get_field_index("near"))[0].as_py()) // 2
+            files = Files(packed(batch, "near", "<u2", width))
             again = min(n, max(least, int(np.ceil(share * n))))
-            total, part = np.empty(n, dtype=np.uint16), np.empty(n, dtype=np.int16)
             for q in range(len(query_rows)):
-                total[:] = 0
-                for file, place in zip(files, query_places[q], strict=True):
-                    np.subtract(file, place, out=part)
-                    np.abs(part, out=part)
-                    total += part.view(np.uint16)
+                total = files.footrule(query_near[q])
                 near = np.flatnonzero(total <= np.partition(total, again - 1)[again - 1])
                 near = near[rows[near] != query_rows[q]]
                 score = np.sqrt(((x[near] - query_vectors[q]) ** 2).sum(axis=1))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strataflow.llm import queries, vectors
@@ -53,3 +54,32 @@ def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     index, size = vectors.build_index(df)
     assert vectors.nearest(index, size, index).count() == 0
+
+
+@pytest.mark.parametrize("d", [64, 128])
+def test_recall_and_rows_touched_without_structure(spark, d):
+    """Gaussian vectors, the hardest case: every direction is alike."""
+    rng = np.random.default_rng(d)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(10_000, d)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(1)
+    index, size = vectors.build_index(df)
+    got = vectors.nearest(index, size, index.where("vec_id % 100 = 0"), least=0).collect()
+    want = brute(rows)
+    recall = sum(r.vec_id in {i for i, _ in want[r.query_id]} for r in got) / (10 * len(want))
+    assert recall >= 0.9, recall
+    near = np.array([np.frombuffer(r.near, "<u2") for r in index.select("near").collect()])
+    files = vectors.Files(near)
+    lengths = np.diff(np.concatenate([[0], files.ends]))
+    read = np.mean([lengths[near[q, :vectors.ASKED]].sum() for q in range(0, 10_000, 100)])
+    print(f"recall {recall}, postings read {read / near.size}")
+    assert read < 0.15 * near.size, read / near.size  # of all postings
+
+
+def test_footrule_is_that_of_its_definition():
+    rng = np.random.default_rng(2)
+    near = np.array([rng.permutation(20)[:6] for _ in range(50)])
+    asked = np.array([3, 17, 0, 9])
+    got = vectors.Files(near).footrule(asked)
+    want = [sum(abs((list(r).index(p) if p in r else 6) - i) for i, p in enumerate(asked)) for r in near]
+    assert (got - got.min()).tolist() == [w - min(want) for w in want]
+    assert vectors.Files(near[:0]).footrule(asked[:0]).tolist() == []

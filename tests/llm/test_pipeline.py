@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from strataflow.llm import decontaminate, pii, simhash
 from strataflow.llm.common import read_table
@@ -39,3 +42,35 @@ def test_run_covers_the_stages(spark, sf_dir):
     done = corpus_pipeline.run(spark, sf_dir)
     assert done.count() > 0 and done.where("bin_id is not null").groupBy("bin_id").sum("n_tokens").where("`sum(n_tokens)` > 2048").isEmpty()
     assert simhash and decontaminate
+
+
+CLASHES = ("_toxicity", "N_WORDS", "hit_spans", "hit_items", "fingerprint", "component_id", "row", "near", "spans", "bin_id", "n_words_")
+
+
+def clashing(docs):
+    for i, name in enumerate(CLASHES):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    return docs
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]])
+def test_stages_on_messy_rows_with_clashing_names(spark, messy, no_docs, sf_dir, stage):
+    docs = clashing(messy)
+    kept = stage(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and kept.schema["N_WORDS"].dataType == docs.schema["N_WORDS"].dataType
+    before = {}
+    for r in docs.collect():
+        before.setdefault(r.doc_id, set()).add(tuple(r[c] for c in ("lang", "source", *CLASHES)))
+    rows = kept.collect()
+    assert rows and all(tuple(r[c] for c in ("lang", "source", *CLASHES)) in before[r.doc_id] for r in rows)
+    assert {r.doc_id for r in stage(spark, messy, sf_dir).collect()} == {r.doc_id for r in rows}
+    assert stage(spark, clashing(no_docs), sf_dir).count() == 0
+    nulls = messy.limit(3).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in messy.schema])
+    assert stage(spark, nulls, sf_dir).count() in (1, 3)
+
+
+def test_packing_of_messy_rows(spark, messy, no_docs, sf_dir):
+    got = corpus_pipeline.pack(spark, clashing(messy), sf_dir)
+    assert got.columns == ["doc_id", "source", "piece", "start_char", "end_char", "n_tokens", "bin_id", "bin_offset"]
+    assert got.where("piece = 0").count() == messy.count()
+    assert corpus_pipeline.pack(spark, no_docs, sf_dir).count() == 0

@@ -32,6 +32,7 @@ _MODULES = (
     "strataflow.plans.q_neighbours",
     "strataflow.plans.q_audit",
     "strataflow.plans.q_fitted",
+    "strataflow.plans.q_dependence",
     "strataflow.plans.q_streaming",
 )
 

@@ -117,12 +117,12 @@ def pairwise_correlation(df: DataFrame, cols: list[str]) -> np.ndarray:
     """Pearson correlations, pairwise complete, unrounded; NaN where a column is constant or pairs are missing.
 
     One pass: each Arrow batch adds the products X'X, X'M, (X^2)'M and M'M of its values X and presence M, so
-    only 4 p^2 numbers a task are shuffled.  Values are shifted by the first row, which keeps the sums exact
-    enough for columns with a large mean."""
+    only 4 p^2 numbers a task are shuffled.  Values are shifted by six digits of their mean, which keeps the sums
+    exact enough for columns with a large one and does not depend on the layout."""
     p = len(cols)
     data = df.select(*[c(x).cast("double").alias(f"c{i}") for i, x in enumerate(cols)])
-    first = data.first()
-    shift = np.array([0.0 if first is None or first[i] is None or not np.isfinite(first[i]) else first[i] for i in range(p)])
+    about = data.agg(*[F.avg(F.when(F.abs(F.col(f"c{i}")) < float("inf"), F.col(f"c{i}"))) for i in range(p)]).first()
+    shift = np.array([0.0 if m is None or not np.isfinite(m) else float(f"{m:.6g}") for m in about])
 
     def products(batches):
         total = np.zeros((4, p, p))
@@ -221,20 +221,56 @@ def mutual_info_target(df: DataFrame, numeric: list[str], categorical: list[str]
               .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mi"), "feature")).cast("bigint")))
 
 
+def pair_counts(wide: DataFrame, feats: list[str]) -> DataFrame:
+    """``feature_a, feature_b, a, b, n``: how often each two labels of each pair of columns occur together (nulls left out).
+
+    Counted per Arrow batch on the columns' codes, so a batch hands on the label pairs that occur in it, not a row for
+    each row and pair of columns."""
+    def count(batches):
+        for batch in batches:
+            coded = []
+            for x in feats:
+                d = batch.column(batch.schema.get_field_index(x)).dictionary_encode()
+                coded.append((d.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary))
+            out = [[], [], [], [], []]
+            for i, j in combinations(range(len(feats)), 2):
+                (x, names), (y, others) = coded[i], coded[j]
+                both = (x >= 0) & (y >= 0)
+                code, n = np.unique(x[both] * max(1, len(others)) + y[both], return_counts=True)
+                out[0].append(pa.array([feats[i]] * len(code), pa.string()))
+                out[1].append(pa.array([feats[j]] * len(code), pa.string()))
+                out[2].append(names.take(pa.array(code // max(1, len(others)))))
+                out[3].append(others.take(pa.array(code % max(1, len(others)))))
+                out[4].append(pa.array(n.astype(np.int64)))
+            if len(feats) > 1:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([c.cast(t) for c in col]) for col, t in zip(
+                    out, (pa.string(),) * 4 + (pa.int64(),), strict=True)], ["feature_a", "feature_b", "a", "b", "n"])
+
+    found = wide.select(*[c(x) for x in feats]).mapInArrow(count, "feature_a string, feature_b string, a string, b string, n long")
+    return found.groupBy("feature_a", "feature_b", "a", "b").agg(F.sum("n").alias("n"))
+
+
+def distinct_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
+    """The number of different values of each column (nulls left out), all in one pass."""
+    def text(x: str) -> Column:  # 0.0 and -0.0 are one value
+        number = df.schema[x].dataType.typeName() in ("double", "float")
+        return ((c(x) + F.lit(0.0)) if number else c(x)).cast("string")
+
+    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("feature"), text(x).alias("value")) for x in cols]))
+    values = df.select(cells.alias("s")).select("s.*").where(F.col("value").isNotNull()).distinct()
+    found = {r["feature"]: r["count"] for r in values.groupBy("feature").count().collect()}  # one row a column
+    return {x: found.get(x, 0) for x in cols}
+
+
 def mutual_info_matrix(df: DataFrame, numeric: list[str], categorical: list[str], id_col: str,
                        n_bins: int = 10) -> DataFrame:
     """Binned MI for every feature pair (a < b), scaled by the maximum.
 
-    Each row emits one (pair, bin_a, bin_b) tuple per pair; the map-side
-    partial aggregate shrinks that to pairs x bins^2 before the shuffle.
+    The bins of all pairs are counted in one pass (:func:`pair_counts`).
     """
     feats = list(numeric) + list(categorical)
     wide = binned(df, numeric, categorical, n_bins)
-    pairs = list(combinations(sorted(feats), 2))
-    arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                             c(a).alias("a"), c(b).alias("b")) for a, b in pairs])
-    ex = wide.select(F.explode(arr).alias("s")).select("s.*").where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    joint = ex.groupBy("feature_a", "feature_b", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    joint = pair_counts(wide, sorted(feats))
     mi = materialize(mi_from_joint(joint, ["feature_a", "feature_b"]))  # one row per pair; read twice
     mx = mi.agg(F.max("mi").alias("_mx"))
     return with_scalar(mi, mx).select(
@@ -256,8 +292,8 @@ def feature_ranking(df: DataFrame, numeric: list[str], categorical: list[str], m
     for x in categorical:
         aggs += [F.count(c(x)).alias(f"{x}\u0001nn")]
     wide = df.agg(*aggs)
-    for x in categorical:  # each on its own: several distinct counts in one aggregate repeat every row
-        wide = with_scalar(wide, df.agg(F.countDistinct(c(x)).alias(f"{x}\u0001nd")))
+    for x, n in distinct_counts(df, categorical).items() if categorical else ():
+        wide = wide.withColumn(f"{x}\u0001nd", F.lit(n).cast("long"))
     rows = []
     for x in numeric:
         nn, sd, mean = (F.col(f"`{x}\u0001{s}`") for s in ("nn", "sd", "mean"))
@@ -320,7 +356,7 @@ def importance_join(corr: DataFrame, mi: DataFrame, k: int = 5) -> DataFrame:
 
 def table_summary(df: DataFrame, sums: list[str] = (), ranges: list[str] = (), distinct: list[str] = (),
                   sum_scale: int = 2) -> DataFrame:
-    """Row count, sums, min/max and distinct counts in one aggregate.
+    """Row count, sums, min/max in one aggregate, all distinct counts in one more pass.
 
     Sums run in fixed-point decimal (``sum_scale`` digits), so the result does
     not depend on the order partitions are combined in."""
@@ -328,8 +364,8 @@ def table_summary(df: DataFrame, sums: list[str] = (), ranges: list[str] = (), d
                   *[F.sum(c(x).cast(f"decimal(18,{sum_scale})")).cast("double").alias(f"sum_{x}") for x in sums],
                   *[F.min(c(x)).alias(f"min_{x}") for x in ranges],
                   *[F.max(c(x)).alias(f"max_{x}") for x in ranges])
-    for x in distinct:  # each on its own: several distinct counts in one aggregate repeat every row
-        out = with_scalar(out, df.agg(F.countDistinct(c(x)).alias(f"distinct_{x}")))
+    for x, n in distinct_counts(df, list(distinct)).items() if distinct else ():
+        out = out.withColumn(f"distinct_{x}", F.lit(n).cast("long"))
     return out
 
 

@@ -17,9 +17,12 @@ the same however many ranges there are.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.functions.columns import c, present
 from strataflow.session import materialize
 
 
@@ -64,6 +67,32 @@ def fixed_sum(value: Column, n: Column | None = None, scale: int = 9) -> Column:
     return F.when(fits, total).otherwise(F.sum(value if n is None else value * n))
 
 
+def column_counts(df: DataFrame, numeric: list[str], text: list[str] = ()) -> DataFrame:
+    """``feature, num, text, n``: how often each value of each column occurs, missing ones (both null) included.
+
+    ``numeric`` columns are counted as doubles (NaN is missing), ``text`` columns as strings.  Counted per Arrow batch
+    first, so a batch hands on its different values and not a row for each cell."""
+    cells = [present(df, x).cast("double").alias(f"n{i}") for i, x in enumerate(numeric)]
+    cells += [c(x).cast("string").alias(f"t{i}") for i, x in enumerate(text)]
+    names = [*numeric, *text]
+
+    def count(batches):
+        for batch in batches:
+            parts = []
+            for i, name in enumerate(names):
+                seen = pc.value_counts(batch.column(i))
+                values, n = seen.field("values"), seen.field("counts").cast(pa.int64())
+                none = pa.nulls(len(values), pa.string() if i < len(numeric) else pa.float64())
+                parts.append([pa.array([name] * len(values), pa.string()), *((values, none) if i < len(numeric) else (none, values)), n])
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([col.cast(t) for col in cols]) for cols, t in zip(
+                    zip(*parts, strict=True), (pa.string(), pa.float64(), pa.string(), pa.int64()), strict=True)],
+                    ["feature", "num", "text", "n"])
+
+    return (df.select(*cells).mapInArrow(count, "feature string, num double, text string, n long")
+            .groupBy("feature", "num", "text").agg(F.sum("n").alias("n")))
+
+
 def in_ranges(df: DataFrame, by: list[str], order: list[Column], ranges: int | None) -> DataFrame:
     """``df`` written in ranges of ``(by, order)``, each row with its range ``_part``."""
     dealt = [F.col(k) for k in by] + order
@@ -216,9 +245,13 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: Column, ranks_of) -> dict:
     """
     rows = df.select(F.col(group).alias("_g"), hashed.alias("_h"))
 
+    names: dict = {}  # each group value as Spark writes it
+
     def counted(own, digits):
         counts: dict = {}
-        for r in own.groupBy("_g", F.substring("_h", 1, digits).alias("p")).count().collect():
+        found = own.groupBy("_g", F.substring("_h", 1, digits).alias("p")).count()
+        for r in found.withColumn("s", F.col("_g").cast("string")).collect():
+            names[r["_g"]] = r["s"]
             counts.setdefault(r["_g"], []).append((r["p"], r["count"]))
         return {g: sorted(v) for g, v in counts.items()}
 
@@ -237,9 +270,9 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: Column, ranks_of) -> dict:
     narrow(counts, wanted, 0)
     written = False
     while wanted and any(len(p) < 32 for p, _, _ in wanted.values()):
-        inside = F.lit(False)
-        for g, prefix in sorted({(g, p) for (g, _), (p, _, _) in wanted.items()}, key=str):
-            inside = inside | (F.col("_g").eqNullSafe(F.lit(g)) & F.col("_h").startswith(prefix))
+        # one test of the hash a row: pushed below the projection, every mention of it would be computed again
+        named = F.concat(F.substring("_h", 1, depth), F.coalesce(F.concat(F.lit("="), F.col("_g").cast("string")), F.lit("")))
+        inside = named.isin(*{p + ("" if g is None else f"={names[g]}") for (g, _), (p, _, _) in wanted.items()})
         last = max(n for _, _, n in wanted.values()) <= SMALL
         if not last and not written:
             rows, written = materialize(rows.where(inside)), True

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from strataflow.config import FeatureConfig, MONTH_NAMES, WEEKDAY_NAMES
 from strataflow.functions import columns as B
 from strataflow.functions.columns import c, present
-from strataflow.functions.ranking import exact_quantiles, fixed_sum, global_rank, in_ranges, quantiles_of_counts
+from strataflow.functions.ranking import (column_counts, exact_quantiles, fixed_sum, global_rank, in_ranges,
+                                          quantiles_of_counts)
 from strataflow.session import materialize
 
 MODEL_SCHEMA = T.StructType([
@@ -195,12 +196,7 @@ def fit_pipeline(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     spark = train.sparkSession
     num, cat, cyc, ords = _groups(train, cfg)
     text = cat + list(ords)
-    cells = [F.struct(F.lit(x).alias("feature"), present(train, x).cast("double").alias("num"),
-                      F.lit(None).cast("string").alias("text")) for x in num + cyc]
-    cells += [F.struct(F.lit(x).alias("feature"), F.lit(None).cast("double").alias("num"),
-                       c(x).cast("string").alias("text")) for x in text]
-    counts = (train.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
-              .groupBy("feature", "num", "text").agg(F.count(F.lit(1)).alias("n")))
+    counts = column_counts(train, num + cyc, text)
     held = in_ranges(counts, ["feature"], [F.col("num"), F.col("text")], None)
     v, n = F.col("num"), F.col("n")
     known = held.where("num is not null")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.columns import c, present, safe_corr
 from strataflow.session import materialize
-from strataflow.functions.ranking import (count_below, exact_quantiles, fixed_sum, in_ranges, quantiles_of_counts,
+from strataflow.functions.ranking import (column_counts, count_below, exact_quantiles, fixed_sum, in_ranges, quantiles_of_counts,
                                           value_counts_cumulative, with_scalar)
 
 
@@ -85,8 +85,7 @@ def describe_exact(df: DataFrame, cols: list[str], ranges: int | None = None) ->
     """Count, mean, std (sample), min, exact quartiles, max per column, unrounded.
 
     One scan: everything is taken from the distinct values with their counts."""
-    counts = (tall(df, cols).where(F.col("value").isNotNull()).groupBy("feature", "value")
-              .agg(F.count(F.lit(1)).alias("n")))
+    counts = column_counts(df, cols).where("num is not null").select("feature", F.col("num").alias("value"), "n")
     held = in_ranges(counts, ["feature"], [F.col("value")], ranges)
     value, n = F.col("value"), F.col("n")
     basic = held.groupBy("feature").agg(
@@ -175,8 +174,8 @@ def bin_edges(df: DataFrame, numeric: list[str], n_bins: int = 10) -> dict[str,
     """
     if not numeric:
         return {}
-    t = tall(df, numeric).where(F.col("value").isNotNull())
-    cum = value_counts_cumulative(t, "value", by="feature")
+    t = column_counts(df, numeric).select("feature", F.col("num").alias("value"), "n")
+    cum = value_counts_cumulative(t, "value", by="feature", weights={"n": F.col("n")})
     edges = cum.groupBy("feature").agg(*[
         F.min(F.when(F.col("n_before") * n_bins >= j * F.col("n_total"), F.col("value"))).alias(f"t{j}")
         for j in range(1, n_bins)]).collect()  # features x (n_bins - 1) values
@@ -252,12 +251,9 @@ def pair_counts(wide: DataFrame, feats: list[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
     """The number of different values of each column (nulls left out), all in one pass."""
-    def text(x: str) -> Column:  # 0.0 and -0.0 are one value
-        number = df.schema[x].dataType.typeName() in ("double", "float")
-        return ((c(x) + F.lit(0.0)) if number else c(x)).cast("string")
-
-    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("feature"), text(x).alias("value")) for x in cols]))
-    values = df.select(cells.alias("s")).select("s.*").where(F.col("value").isNotNull()).distinct()
+    # doubles as numbers: 0.0 and -0.0 are one value
+    numbers = [x for x in cols if df.schema[x].dataType.typeName() in ("double", "float")]
+    values = column_counts(df, numbers, [x for x in cols if x not in numbers]).where("num is not null or text is not null")
     found = {r["feature"]: r["count"] for r in values.groupBy("feature").count().collect()}  # one row a column
     return {x: found.get(x, 0) for x in cols}
 

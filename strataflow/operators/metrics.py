@@ -270,17 +270,22 @@ def compare_models(df: DataFrame, model_a: str, model_b: str, model: str = "mode
 
 
 def seed_variability(ledger: DataFrame, metric: str = "macro_f1", recall: str = "class_recall",
-                     group: str = "experiment", f1_gate: float = 0.30, recall_gate: float = 0.50) -> DataFrame:
+                     group: str = "experiment", f1_gate: float = 0.30, recall_gate: float = 0.50,
+                     in_sample: str | None = None) -> DataFrame:
     """Per experiment: runs, distinct metric values, mean, std, min, max,
-    mean recall and the gate result on the means."""
+    mean recall and the gate result on the means; with ``in_sample``, the
+    metric on the train rows, also its mean and the gap to ``metric``
+    (positive = overfit)."""
     agg = ledger.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_runs"), F.countDistinct(metric).alias("n_distinct"),
         F.avg(metric).alias("_m"), F.stddev_samp(metric).alias("_s"), F.min(metric).alias("_lo"),
-        F.max(metric).alias("_hi"), F.avg(recall).alias("_r"))
+        F.max(metric).alias("_hi"), F.avg(recall).alias("_r"), *([F.avg(in_sample).alias("_in")] if in_sample else []))
+    overfit = [_r(F.col("_in")).alias("mean_in"), _r(F.col("_m")).alias("mean_out"), _r(F.col("_in") - F.col("_m")).alias("gap")]
     return agg.select(group, "n_runs", "n_distinct", _r(F.col("_m")).alias("mean_f1"),
                       _r(F.col("_s")).alias("std_f1"), _r(F.col("_lo")).alias("min_f1"),
                       _r(F.col("_hi")).alias("max_f1"), _r(F.col("_r")).alias("mean_recall"),
-                      ((F.col("_m") > f1_gate) & (F.col("_r") > recall_gate)).alias("gates_passed"))
+                      ((F.col("_m") > f1_gate) & (F.col("_r") > recall_gate)).alias("gates_passed"),
+                      *(overfit if in_sample else []))
 
 
 def softmax_rows(df: DataFrame, logits: str, out: str = "probs") -> DataFrame:

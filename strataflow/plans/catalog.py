@@ -31,6 +31,7 @@ _MODULES = (
     "strataflow.plans.q_stats",
     "strataflow.plans.q_neighbours",
     "strataflow.plans.q_audit",
+    "strataflow.plans.q_fixed",
     "strataflow.plans.q_fitted",
     "strataflow.plans.q_dependence",
     "strataflow.plans.q_streaming",

@@ -215,16 +215,25 @@ def q_feature_ranking(spark, sf_dir):
 GC_COLS = ["x1", "x2", "x3", "hour"]
 
 
-@register("group_comparison", "SELECT feature, round(tm, 6) AS target_mean, round(rm, 6) AS rest_mean, "
+_GC_MI = _mi_sql(f"""(SELECT feature, bin AS a, severity AS b, count(*) AS n FROM {_bins_sql(GC_COLS, [])}
+  JOIN records USING (row_id) GROUP BY 1, 2, 3)""", "feature")
+_GC_TC = "SELECT feature, round(corr, 6) AS corr FROM (" + _union(
+    "SELECT '{col}' AS feature, corr({col}, " + FATAL + ") AS corr FROM records", GC_COLS) + ")"
+
+
+@register("group_comparison", "SELECT g.*, c.corr, m.mi FROM (SELECT feature, round(tm, 6) AS target_mean, round(rm, 6) AS rest_mean, "
           "round(tmed, 6) AS target_median, round(rmed, 6) AS rest_median, round(tm - rm, 6) AS difference, "
           "round((tm - rm) / (rm + 1e-10) * 100, 4) AS pct_change FROM (" + _union(
               "SELECT '{col}' AS feature, avg({col}) FILTER (WHERE severity = 'Fatal') AS tm, "
               "avg({col}) FILTER (WHERE severity <> 'Fatal') AS rm, "
               "quantile_cont({col}, 0.5) FILTER (WHERE severity = 'Fatal') AS tmed, "
-              "quantile_cont({col}, 0.5) FILTER (WHERE severity <> 'Fatal') AS rmed FROM records", GC_COLS) + ")")
+              "quantile_cont({col}, 0.5) FILTER (WHERE severity <> 'Fatal') AS rmed FROM records", GC_COLS) + f""")) AS g
+JOIN ({_GC_TC}) AS c USING (feature) JOIN (SELECT feature, round(mi, 6) AS mi FROM {_GC_MI}) AS m USING (feature)""")
 def q_group_comparison(spark, sf_dir):
     r = tables(spark, sf_dir).records()
-    return D.group_comparison(r, GC_COLS, F.col("severity") == "Fatal")
+    corr = D.target_correlation(r, GC_COLS, (F.col("severity") == "Fatal").cast("int"))
+    mi = D.mutual_info_target(r, GC_COLS, [], "severity", "row_id")
+    return D.group_comparison(r, GC_COLS, F.col("severity") == "Fatal", corr, mi)
 
 
 IJ_NUM = ["x2", "x3", "n_vehicles", "hour", "x1", "speed_limit"]

@@ -27,12 +27,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, header: bool = True,
-             na_values: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+             na_values: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """A1: CSV with header; a declared schema (preferred) or inferred types.
 
-    Quotes inside a quoted field are doubled, and a quoted field may hold line
-    breaks (``multi_line=False`` lets one file be split over tasks where none
-    does).  ``nullValue`` accepts one token, so the full NA list is applied as
+    Quotes inside a quoted field are doubled.  With ``multi_line`` a quoted
+    field may hold line breaks; a file is then read by one task, otherwise it
+    is split over tasks.  ``nullValue`` accepts one token, so the full NA list is applied as
     one projection on string columns before casting.  Inference is one
     aggregate over the present values: bigint, else double, else string.
     """

@@ -178,3 +178,19 @@ def test_best_trials_limits_before_numbering(spark):
     assert [(r["trial"], r["rank"]) for r in out.orderBy("rank").collect()] == [(9, 1), (19, 2), (29, 3)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("GlobalLimit 3")  # the window stands above the limit
+
+
+@pytest.mark.parametrize("block", [3, 16, 4096])
+def test_prior_medians_equal_brute_force(spark, block):
+    rng = np.random.default_rng(block)
+    rows = [(s, t, float(rng.integers(0, 12)) if rng.random() > 0.1 else None) for s in range(4) for t in range(90) if rng.random() > 0.2]
+    rows += [(9, 0, None), (9, 1, 5.0), (9, 2, None)]
+    df = spark.createDataFrame(rows, "step int, trial int, value double").withColumn("trial_index", F.col("trial").cast("long")).repartition(3)
+    got = {(r["step"], r["trial"]): r["prior_median"] for r in N.prior_medians(df, "trial", "step", "value", "trial_index", block).collect()}
+    want = {}
+    for s, t, _ in rows:
+        earlier = [v for a, b, v in rows if a == s and b < t and v is not None]
+        if earlier:
+            want[s, t] = float(np.median(earlier))
+    assert got == want
+    assert N.prior_medians(df.limit(0), "trial", "step", "value", "trial_index").count() == 0

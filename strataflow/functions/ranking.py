@@ -187,13 +187,6 @@ def hash_hex(purpose: str, key: Column, seed) -> Column:
     return F.md5(F.concat(F.lit(f"{purpose}|"), key.cast("string"), F.lit(f"|{seed}")))
 
 
-def hash_order(purpose: str, key: Column, seed) -> tuple[Column, Column]:
-    """``(hex, num)`` where ``num`` (first 60 bits, numeric) sorts like the
-    hex string; ties on ``num`` are broken by the hex string."""
-    h = hash_hex(purpose, key, seed)
-    return h, F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
-
-
 def global_rank(df: DataFrame, order: list[str] | str, by=(), out: str = "rank",
                 ranges: int | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(by).orderBy(*order)``, rows dealt to ranges of the order.

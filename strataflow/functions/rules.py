@@ -28,21 +28,9 @@ def predict_threshold(probs: Column, tau: float | Column, minority: int = 2, n_c
     return F.when(p_min >= t, F.lit(minority)).otherwise(predict_argmax(others)).cast("int")
 
 
-def log_sum_exp(logits: Column) -> Column:
-    m = F.array_max(logits)
-    return m + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, v: acc + F.exp(v - m)))
-
-
 def softmax(logits: Column) -> Column:
     """K4: max-shifted softmax of a logit / log-posterior array."""
     m = F.array_max(logits)
     ex = F.transform(logits, lambda v: F.exp(v - m))
     s = F.aggregate(ex, F.lit(0.0), lambda acc, v: acc + v)
     return F.transform(ex, lambda v: v / s)
-
-
-def add_log_boost(log_post: Column, cls: int, boost: float) -> Column:
-    """K3 helper: add ``log(boost)`` to one class's log posterior."""
-    import math
-    lb = math.log(boost)
-    return F.transform(log_post, lambda v, i: F.when(i == cls, v + F.lit(lb)).otherwise(v))

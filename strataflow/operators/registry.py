@@ -23,15 +23,6 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
 ])
 
-REGISTRY_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("version", T.LongType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("experiment", T.StringType()),
-    T.StructField("alias", T.StringType()),
-    T.StructField("published_at", T.TimestampNTZType()),
-])
-
 
 def run_records(df: DataFrame, metric_cols: list[str], param_cols: list[str] = (), experiment: str = "experiment",
                 run_id: str = "run_id", seed: str = "seed", status: str = "status",

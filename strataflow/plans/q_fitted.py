@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataflow.config import SearchSpace
 from strataflow.operators import audit as AU
 from strataflow.operators import explain as P
 from strataflow.operators import latent as LT
@@ -18,6 +19,7 @@ from strataflow.operators import search as N
 from strataflow.operators import registry as RG
 from strataflow.operators import selection as G
 from strataflow.operators import training as TR
+from strataflow.operators import tuning as TU
 from strataflow.operators.champion import champion_of, save_champion
 from strataflow.plans.catalog import register
 from strataflow.plans.q_features import pipeline_frame
@@ -238,6 +240,16 @@ def q_grid_search(spark, sf_dir):
     return spark.createDataFrame(res)
 
 
+@register("pruned_search")
+def q_pruned_search(spark, sf_dir):
+    """Search with a latent refit per size and one augmented table per ratio; pruned trials marked in the ledger."""
+    feats, model = feature_table(spark, sf_dir)
+    params, width = SearchSpace().params, len(model.output_columns)
+    space = {k: params[k] for k in ("target_ratio", "threshold", "focal_gamma")} | {
+        "latent_dim": ("choice", tuple(d for d in params["latent_dim"][1] if d <= width)), "lr": ("loguniform", 0.005, 0.05)}
+    return TU.tune(TU.TuningTables(feats), space, gates_passed=False, n_trials=6, rungs=2, epochs=5, n_startup=2, n_warmup=0)
+
+
 @register("run_pipeline")
 def q_run_pipeline(spark, sf_dir):
     from strataflow.plans.pipeline import run_pipeline

@@ -7,6 +7,7 @@ a table with many columns spreads over many tasks.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -88,20 +89,23 @@ def describe_exact(df: DataFrame, cols: list[str], ranges: int | None = None) ->
     counts = column_counts(df, cols).where("num is not null").select("feature", F.col("num").alias("value"), "n")
     held = in_ranges(counts, ["feature"], [F.col("value")], ranges)
     value, n = F.col("value"), F.col("n")
-    basic = held.groupBy("feature").agg(
+    basic = {r["feature"]: r for r in held.groupBy("feature").agg(
         F.sum("n").alias("count"), (fixed_sum(value, n) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+        F.min("value").alias("min"), F.max("value").alias("max")).collect()}  # a row a column
     # squares of distances to the mean: no cancellation in columns with a large one
-    spread = (held.join(basic.select(F.col("feature").alias("_f"), F.col("mean").alias("_m")), F.col("feature") == F.col("_f"))
-              .groupBy("feature").agg((F.sum(n * (value - F.col("_m")) * (value - F.col("_m")))).alias("_ss"), F.sum("n").alias("_n"))
-              .select(F.col("feature").alias("_g"), F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))).alias("std")))
-    q = quantiles_of_counts(held, "value", [0.25, 0.5, 0.75], ["feature"])
-    qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("q") == x, F.col("value"))).alias(name)
-                                    for x, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    found = basic.join(spread, F.col("feature") == F.col("_g")).drop("_g").join(qw, "feature", "left")
-    every = df.sparkSession.createDataFrame([(x,) for x in cols], "feature string")  # a column without values has a row
-    return every.join(found, "feature", "left").select(
-        "feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "max", "q25", "q50", "q75")
+    away = F.lit(0.0)
+    for x, r in basic.items():
+        away = F.when(F.col("feature") == x, value - F.lit(r["mean"])).otherwise(away)
+    squares = {r["feature"]: r["s"] for r in held.groupBy("feature").agg(F.sum(n * away * away).alias("s")).collect()}
+    cuts = {(r["feature"], r["q"]): r["value"] for r in quantiles_of_counts(held, "value", [0.25, 0.5, 0.75], ["feature"]).collect()}
+    rows = []
+    for x in cols:
+        r = basic.get(x)  # a column without values has a row, too
+        count = r["count"] if r else 0
+        rows.append((x, count, r["mean"] if r else None, math.sqrt(squares[x] / (count - 1)) if count > 1 else None,
+                     r["min"] if r else None, r["max"] if r else None, *(cuts.get((x, q)) for q in (0.25, 0.5, 0.75))))
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, count long, mean double, std double, min double, max double, q25 double, q50 double, q75 double")
 
 
 def group_means(df: DataFrame, by: Column | str, cols: list[str], key_name: str = "key") -> DataFrame:

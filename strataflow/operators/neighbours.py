@@ -21,6 +21,7 @@ from strataflow.session import materialize
 PIVOTS = 64
 BLOCK = 4096
 STRIP = 256  # queries of a block compared at once
+PAIRS = 16384  # of near candidates, measured exactly at once
 
 
 def _packed(df: DataFrame, vec: str, key: str, size: int) -> DataFrame:
@@ -94,8 +95,7 @@ def knn_join(queries: DataFrame, rows: DataFrame, vec: str, key: str, k: int, ex
     between = _to_pivots(chosen, chosen)
 
     def visit(batches):
-        for batch in batches:
-            ids, cells, cell_rows, bound = batch.column(0), [], [], []
+        for batch in (b.slice(at, STRIP) for b in batches for at in range(0, b.num_rows, STRIP)):  # a query may visit every cell
             far = _to_pivots(_matrix(batch.column(1).to_pylist(), size), chosen)
             reach = far[:, :, None] + near[None]
             limit = np.partition(reach.reshape(len(far), -1), need - 1, axis=1)[:, need - 1] * (1 + 1e-9) + 1e-300
@@ -113,15 +113,16 @@ def knn_join(queries: DataFrame, rows: DataFrame, vec: str, key: str, k: int, ex
     asked = _packed(queries, vec, key, size)
     q_kind = asked.schema["id"].dataType.simpleString()
     visits = materialize(asked.mapInArrow(visit, f"id {q_kind}, v binary, cell int"))
-    parts = max(1, -(-visits.count() // (block * len(chosen))))  # of the queries, for each block of rows
+    asked_of = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # pivots
+    parts_of = F.lit([-(-asked_of.get(c, 0) // block) or 1 for c in range(len(chosen))])  # of a cell's queries, for each block of its rows
     sub_of = F.lit([int(max(1, s)) for s in subs])
     one = F.lit(1).cast("int")
     r_side = dealt.select(F.lit(None).cast(q_kind).alias("query"), F.col("id"), "v", "cell",
                           F.pmod(F.xxhash64("id", F.lit("block")), F.get(sub_of, F.col("cell"))).cast("int").alias("sub"),
-                          F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+                          F.explode(F.sequence(F.lit(0), F.get(parts_of, F.col("cell")) - one)).alias("part"))
     q_side = visits.select(F.col("id").alias("query"), F.lit(None).cast(kind).alias("id"), "v", "cell",
                            F.explode(F.sequence(F.lit(0), F.get(sub_of, F.col("cell")) - one)).alias("sub"),
-                           F.pmod(F.xxhash64("id", F.lit("part")), F.lit(parts)).cast("int").alias("part"))
+                           F.pmod(F.xxhash64("id", F.lit("part")), F.get(parts_of, F.col("cell"))).cast("int").alias("part"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         is_row = pdf["query"].isna().to_numpy()
@@ -129,22 +130,28 @@ def knn_join(queries: DataFrame, rows: DataFrame, vec: str, key: str, k: int, ex
         if not len(mine) or not len(theirs):
             return pd.DataFrame({"query_id": [], "id": [], "distance": []})
         ids, x = theirs["id"].to_numpy(), _matrix(theirs["v"], size)
+        place = np.unique(ids, return_inverse=True)[1]  # keys by their order
         found = []
         for at in range(0, len(mine), STRIP):
             strip = mine.iloc[at:at + STRIP]
-            y = _matrix(strip["v"], size)
+            names, y = strip["query"].to_numpy(), _matrix(strip["v"], size)
             rough = _far(y, x)
             slack = 1e-12 * ((y * y).sum(1)[:, None] + (x * x).sum(1)[None, :])
             rank = min(need, len(x)) - 1
             cut = np.partition(rough + slack, rank, axis=1)[:, rank]
-            for r, name in enumerate(strip["query"].to_numpy()):
-                some = np.flatnonzero(rough[r] - slack[r] <= cut[r])
-                if exclude_self:
-                    some = some[ids[some] != name]
-                d = np.sqrt(((x[some] - y[r]) ** 2).sum(axis=1))
-                order = np.lexsort((ids[some], d))[:k]
-                found += [(name, ids[some[o]], d[o]) for o in order]
-        return pd.DataFrame(found, columns=["query_id", "id", "distance"])
+            q, some = np.nonzero(rough - slack <= cut[:, None])
+            if exclude_self:
+                other = ids[some] != names[q]
+                q, some = q[other], some[other]
+            d = np.empty(len(q))
+            for i in range(0, len(q), PAIRS):
+                d[i:i + PAIRS] = np.sqrt(((x[some[i:i + PAIRS]] - y[q[i:i + PAIRS]]) ** 2).sum(axis=1))
+            order = np.lexsort((place[some], d, q))
+            q, some, d = q[order], some[order], d[order]
+            first = np.searchsorted(q, q)  # of the query's own
+            keep = np.arange(len(q)) - first < k
+            found.append(pd.DataFrame({"query_id": names[q[keep]], "id": ids[some[keep]], "distance": d[keep]}))
+        return pd.concat(found, ignore_index=True)
 
     pairs = (q_side.unionByName(r_side).groupBy("cell", "sub", "part")
              .applyInPandas(compare, f"query_id {q_kind}, id {kind}, distance double"))

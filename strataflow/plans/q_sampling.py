@@ -64,7 +64,8 @@ SELECT label, CAST((rnk - 1) % 5 AS INTEGER) AS fold, count(*) AS n FROM (
   SELECT {LABEL_SQL} AS label, row_number() OVER (PARTITION BY severity ORDER BY md5('fold|' || row_id || '|7'), row_id) AS rnk
   FROM records) GROUP BY 1, 2""")
 def q_k_fold(spark, sf_dir):
-    f = E.k_fold(labelled(spark, sf_dir), "label", "row_id", k=5, seed=7)
+    rows = labelled(spark, sf_dir).select("label", "row_id")  # folds need no other column: ranking writes all it is given
+    f = E.k_fold(rows, "label", "row_id", k=5, seed=7)
     return f.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 

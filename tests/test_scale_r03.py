@@ -5,8 +5,10 @@ import pyarrow as pa
 import pytest
 
 from strataflow.functions import arrow as A
+from strataflow.operators import models as J
 from strataflow.operators import neighbours as NB
 from strataflow.operators import sampling as E
+from strataflow.operators import training as TR
 from strataflow.plans import q_sampling
 from strataflow.sources import io as IO
 
@@ -42,3 +44,27 @@ def test_matrix_and_lists():
     for bad in ([[1.0], None], [[1.0], [1.0, 2.0]]):
         with pytest.raises(ValueError):
             A.matrix(pa.array(bad))
+
+
+def _split_rows(spark):
+    rows = [(i, "val" if i % 4 == 0 else "train", i % 3, [float(i % 7), float(i % 3)]) for i in range(60)]
+    return spark.createDataFrame(rows, "row_id long, split string, label int, features array<double>")
+
+
+def test_training_rows_are_written_as_blocks(spark, monkeypatch):
+    monkeypatch.setattr(TR, "STRIP", 8)
+    rows = TR.prepared_rows(_split_rows(spark).coalesce(1), 2, 3, "features", "label", "split", "row_id", ("train", "val"))
+    assert rows.columns == ["x", "y", "h", "val"] and 8 <= rows.count() <= 60
+    back = sorted((tuple(r["features"]), r["label"]) for r in TR.validation_rows(rows, 2).collect())
+    assert back == sorted(((float(i % 7), float(i % 3)), i % 3) for i in range(0, 60, 4))
+
+
+def test_a_sweep_keeps_no_copy_of_its_rows(spark):
+    df, kept = _split_rows(spark), []
+
+    class Model:
+        def predict(self, rows):
+            return rows.withColumn("prediction", rows["label"])
+
+    J.seed_sweep(df, lambda s: (kept.append(df.storageLevel.useMemory), Model())[1], [0, 1], "m")
+    assert kept == [False, False]

@@ -122,13 +122,8 @@ def expect_in_set(df: DataFrame, column: str, values, mostly: float = 1.0) -> Da
     return run_rules(df, [Rule(1, column, "in_set", mostly, values=tuple(values))])
 
 
-def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Evaluate every rule in ONE aggregate; return one row per rule.
-
-    Columns: rule_id, column_name, rule, mostly, n_checked, n_ok, ok_share,
-    success.  A rule with nothing to check passes.
-    """
-    schema = df.schema
+def suite_counts(rules: list[Rule], schema: T.StructType) -> Column:
+    """The counts of all rules over a table of this schema, as one aggregate; may be used for many tables."""
     structs = []
     for r in rules:
         checked, ok = _rule_counts(r, schema)
@@ -140,13 +135,27 @@ def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
             checked.alias("n_checked"),
             ok.alias("n_ok"),
         ))
-    counts = df.agg(F.array(*structs).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    return F.array(*structs)
+
+
+def suite_results() -> list[Column]:
+    """The result columns of a rule from its counts."""
     share = F.when(F.col("n_checked") > 0, F.col("n_ok") / F.col("n_checked"))
-    return counts.select(
-        "rule_id", "column_name", "rule", "mostly", "n_checked", "n_ok",
-        F.round(share, 6).alias("ok_share"),
-        F.coalesce(share >= F.col("mostly"), F.lit(True)).alias("success"),
-    )
+    return [*map(F.col, ("rule_id", "column_name", "rule", "mostly", "n_checked", "n_ok")),
+            F.round(share, 6).alias("ok_share"),
+            F.coalesce(share >= F.col("mostly"), F.lit(True)).alias("success")]
+
+
+def run_rules(df: DataFrame, rules: list[Rule], counts: Column | None = None, results: list[Column] | None = None) -> DataFrame:
+    """Evaluate every rule in ONE aggregate; return one row per rule.
+
+    Columns: rule_id, column_name, rule, mostly, n_checked, n_ok, ok_share,
+    success.  A rule with nothing to check passes.  ``counts`` and ``results``
+    are those of the suite, when the caller has built them before.
+    """
+    counts = suite_counts(rules, df.schema) if counts is None else counts
+    found = df.agg(counts.alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    return found.select(*(results or suite_results()))
 
 
 class ValidationError(RuntimeError):

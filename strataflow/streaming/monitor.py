@@ -27,9 +27,11 @@ def validate_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
     Q.pre_validate(stream, rules)
+    # built once: making some hundred expressions takes longer than a small batch's rows do
+    counts, results = Q.suite_counts(rules, schema), Q.suite_results()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        Q.run_rules(batch, rules).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        Q.run_rules(batch, rules, counts, results).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

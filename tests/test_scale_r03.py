@@ -3,14 +3,19 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 
 from strataflow.functions import arrow as A
+from strataflow.operators import latent as LT
 from strataflow.operators import models as J
 from strataflow.operators import neighbours as NB
+from strataflow.operators import quality as Q
 from strataflow.operators import sampling as E
 from strataflow.operators import training as TR
 from strataflow.plans import q_sampling
 from strataflow.sources import io as IO
+from strataflow.streaming import monitor as S
 
 
 def test_folds_rank_no_more_than_they_need(spark, sf_dir, monkeypatch):
@@ -68,3 +73,36 @@ def test_a_sweep_keeps_no_copy_of_its_rows(spark):
 
     J.seed_sweep(df, lambda s: (kept.append(df.storageLevel.useMemory), Model())[1], [0, 1], "m")
     assert kept == [False, False]
+
+
+def test_rules_of_a_stream_are_built_once(spark, tmp_path, monkeypatch):
+    built, count = [], Q._rule_counts
+    monkeypatch.setattr(Q, "_rule_counts", lambda rule, schema: (built.append(rule.name), count(rule, schema))[1])
+    df = spark.createDataFrame([(i if i else None,) for i in range(6)], "a int").repartition(3)
+    df.write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "in"))
+    query = S.validate_stream(spark, str(tmp_path / "in"), df.schema, {"a": {"min": 2, "max": 9}}, str(tmp_path / "out"),
+                              str(tmp_path / "ck"), max_files_per_trigger=2)
+    query.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert built == ["not_null [a]", "between [a]"] and out.select("batch_id").distinct().count() == 3
+    assert [(r["n_checked"], r["n_ok"]) for r in S.rule_totals(out).orderBy("rule_id").collect()] == [(6, 5), (5, 4)]
+
+
+def test_latent_space_in_one_pass_as_mllib(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 5)) @ rng.normal(size=(5, 5)) + 1000.0
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "f array<double>")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    fit = LT.latent_pca(df.mapInArrow(counted, df.schema), "f", 3)
+    assert read.value < 2 * len(x)  # all rows once, and the first one to shift by
+    model = PCA(k=3, inputCol="v", outputCol="p").fit(df.select(array_to_vector("f").alias("v")))
+    assert np.allclose(fit.components, model.pc.toArray(), atol=1e-7)  # signs included
+    assert np.allclose(fit.explained, model.explainedVariance.toArray()) and np.allclose(fit.mean, x.mean(axis=0))
+    with pytest.raises(ValueError):
+        LT.latent_pca(df.limit(1), "f", 3)

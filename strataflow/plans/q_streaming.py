@@ -29,17 +29,13 @@ def q_stream_validate(spark, sf_dir):
 
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
-    """Feature rows arrive as files; each micro-batch is scored by
+    """Feature rows arrive as files, those of the feature table; they are scored by
     the champion (PCA encoder + focal logistic model)."""
-    from pyspark.sql import functions as F
     from strataflow.operators import models as J
-    from strataflow.plans.q_fitted import feature_table, latent_table, pca_fit
+    from strataflow.plans.q_fitted import feature_files, feature_table, latent_table, pca_fit
     feats, _ = feature_table(spark, sf_dir)
     champ = J.Champion(pca_fit(spark, sf_dir).encoder(), J.train_focal(latent_table(spark, sf_dir), 3))
-    src = IO.fresh_path(spark, "score-src")
-    feats.write.option("maxRecordsPerFile", FILE_ROWS).parquet(src)
     out, ck = IO.fresh_path(spark, "score-out"), IO.fresh_path(spark, "score-ck")
-    schema = spark.read.parquet(src).schema
-    q = S.score_stream(spark, src, schema, champ, out, ck, keep=["row_id", "label"])
+    q = S.score_stream(spark, feature_files(spark, sf_dir), feats.schema, champ, out, ck, keep=["row_id", "label"])
     q.awaitTermination()
     return spark.read.parquet(out)

@@ -1,5 +1,10 @@
 """Queries that must not write their rows more often than they need."""
 
+import os
+
+from pyspark.sql import functions as F
+
+from strataflow.operators import counterfactuals as CF
 from strataflow.plans import q_fitted, q_streaming
 from strataflow.sources import io as IO
 
@@ -14,3 +19,24 @@ def test_a_stream_of_features_reads_the_files_of_their_table(spark, sf_dir, monk
     got, want = scored.select("row_id", "label"), feats.select("row_id", "label")
     assert scored.columns[:3] == ["row_id", "label", "prediction"] and scored.where("prediction is null").count() == 0
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_counterfactuals_write_the_kept_states_alone(spark, monkeypatch):
+    def predict(df):
+        total = F.aggregate("features", F.lit(0.0), lambda a, v: a + v)
+        return df.withColumn("probs", F.array(-total, total)).withColumn("prediction", (total > 3).cast("int"))
+
+    rows = spark.createDataFrame([(i, [0.0, 0.1 * (i % 7), 0.0]) for i in range(30)], "id long, features array<double>")
+    written, keep = [], CF.materialize
+    monkeypatch.setattr(CF, "materialize", lambda d: (written.append((m := keep(d)).count()), m)[1])
+    moves = {j: [0.5, 1.0, 2.0] for j in range(3)}
+    found = CF.counterfactuals(predict, rows, "id", moves, 1, beam=2, max_changes=2).collect()
+    assert written == [30, 60, 30]  # nine states were tried of each row, then twice as many
+    assert {(r["n_changes"], r["cost"], str(r["changes"])) for r in found if r["id"] % 7 == 0} == {
+        (2, 4.0, "[Row(feature=0, value=2.0), Row(feature=1, value=2.0)]")}
+
+
+def test_tables_of_a_session_are_packed(spark, sf_dir):
+    path = q_fitted.feature_files(spark, sf_dir)
+    names = os.listdir(path.removeprefix("file:"))
+    assert any(n.endswith(".zstd.parquet") for n in names)

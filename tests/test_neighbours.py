@@ -100,3 +100,17 @@ def test_keys_of_text(spark):
     rows = [(f"r{i:03d}", z, y) for i, z, y in clustered(5, 60)]
     df = spark.createDataFrame(rows, "k string, z array<double>, y int")
     assert got(NB.knn_join(df, df, "z", "k", 2, True, 4, 16)) == brute(rows, rows, 2, True)
+
+
+def test_a_vector_is_sent_for_each_lot_not_for_each_cell(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(2 ** 60 + i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(600, 24)).astype(np.float32))]  # every cell is visited
+    df = spark.createDataFrame(rows, "k long, z array<float>, y int").repartition(4)
+    seen, real = {}, NB.materialize
+    monkeypatch.setattr(NB, "materialize", lambda frame: seen.setdefault(tuple(frame.columns), real(frame)))
+    near = NB.knn_join(df, df, "z", "k", 3, exclude_self=True, pivots=40, block=200)
+    assert got(near) == brute([(k, np.array(v, np.float32).astype(float), y) for k, v, y in rows], rows, 3, True)  # keys beyond doubles too
+    visits = seen["id", "v", "cell"].collect()
+    lots = {c for r in visits for c in r["cell"]}
+    assert len(visits) == 600 and 3 <= len(lots) < 20 and sum(len(r["cell"]) for r in visits) > 600 * len(lots) / 2
+    assert {len(r["v"]) for r in visits} == {4 * 24}

@@ -2,9 +2,13 @@
 
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from strataflow.operators import counterfactuals as CF
+from strataflow.operators import latent as LT
+from strataflow.operators import training as TR
+from strataflow.operators import tuning as TU
 from strataflow.plans import q_fitted, q_streaming
 from strataflow.sources import io as IO
 
@@ -40,3 +44,22 @@ def test_tables_of_a_session_are_packed(spark, sf_dir):
     path = q_fitted.feature_files(spark, sf_dir)
     names = os.listdir(path.removeprefix("file:"))
     assert any(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_a_search_writes_the_real_rows_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) * [4, 3, 2, 1]
+    rows = [(i, "val" if i % 4 == 0 else "train", 2 if i % 12 == 1 else i % 2, x[i].tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "row_id long, split string, label int, features array<double>")
+    tables, written, keep = TU.TuningTables(df, widest=3), [], TR.materialize
+    monkeypatch.setattr(TR, "materialize", lambda d: (written.append((m := keep(d))), m)[1])
+    pairs = [(ratio, size) for ratio in (0.2, 0.3) for size in (2, 3)]
+    blocks = {p: tables.encoded(*p) for p in pairs}
+    sizes = [sum(len(r["y"]) // 4 for r in m.collect()) for m in written]
+    assert len(written) == 3 and sorted(sizes)[-1] == 300  # the real rows, and those generated for either ratio
+    for (ratio, size), rows in blocks.items():
+        want = LT.encode_batch(tables.augmented(ratio).where("split = 'val'"), tables.space(size).encoder(), "features", "z", None)
+        got = sorted(list(r["features"]) for r in TR.validation_rows(rows, size).collect())
+        assert np.allclose(got, sorted(list(r["z"]) for r in want.collect())) and len(got) == 75
+        train = tables.augmented(ratio).where("split = 'train'")
+        assert TR._add_up(rows, size, 1, lambda x, y, h, val: np.array([float((~val).sum())]))[0] == train.count()
